@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.stats import count, maximum, mean, minimum
-from gaugeworks.operators import alerts, daily, gate, keep, windows
+from gaugeworks.operators import alerts, daily, drift, flatten, gate, monitor, responses, serving, windows
+from gaugeworks.plans import adapters
 from gaugeworks.plans.adapters import sensor_events, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,3 +175,174 @@ def quality_counters(spark, sf_dir):
 @query
 def critical_field_warnings(spark, sf_dir):
     return gate.critical_field_warnings(sensor_events(spark, sf_dir), by=("city_id", "ingestion_date"))
+
+
+# --- payloads, responses, drift ---------------------------------------------------------------
+
+
+@query
+def payload_flatten(spark, sf_dir):
+    events = flatten.flatten(adapters.payload_pairs(spark, sf_dir))
+    return plain_time(
+        events.select(
+            "city_id",
+            "poll_timestamp",
+            "source",
+            "schema_version",
+            "ingestion_date",
+            "dt",
+            "temp",
+            "humidity",
+            "visibility",
+            "weather_main",
+            "weather_description",
+            "aqi",
+            "pm2_5",
+            "pm10",
+            "no2",
+        ),
+        "poll_timestamp",
+    )
+
+
+@query
+def coord_fallback(spark, sf_dir):
+    pairs = adapters.payload_pairs(spark, sf_dir).withColumn(
+        "city_id", F.concat(F.lit("city_"), (F.col("event_id") % 25).cast("string"))
+    )
+    events = flatten.flatten(flatten.with_city(pairs, adapters.city_dimension(spark, sf_dir)))
+    return plain_time(events.select("city_id", "poll_timestamp", "lat", "lon"), "poll_timestamp")
+
+
+@query
+def corrupt_isolated(spark, sf_dir):
+    return flatten.malformed(adapters.payload_pairs(spark, sf_dir)).select(
+        "city_id", "poll_timestamp", "reason", "weather_text"
+    )
+
+
+@query
+def payload_pairing(spark, sf_dir):
+    pairs = flatten.pair_payloads(adapters.response_log(spark, sf_dir))
+    events = flatten.flatten(pairs)
+    return plain_time(
+        events.select("city_id", "poll_timestamp", "temp", "humidity", "aqi", "pm2_5"), "poll_timestamp"
+    )
+
+
+@query
+def city_lookup(spark, sf_dir):
+    joined = flatten.with_city(sensor_events(spark, sf_dir), adapters.city_dimension(spark, sf_dir))
+    return joined.select("event_id", "city_id", "city_name", "city_lat", "city_lon", "temp")
+
+
+@query
+def response_outcomes(spark, sf_dir):
+    return responses.response_outcomes(adapters.response_log(spark, sf_dir))
+
+
+@query
+def failure_details(spark, sf_dir):
+    return responses.failure_details(adapters.response_log(spark, sf_dir))
+
+
+@query
+def poll_summary(spark, sf_dir):
+    return responses.poll_summary(adapters.response_log(spark, sf_dir))
+
+
+@query
+def failed_cities(spark, sf_dir):
+    return responses.failed_cities(adapters.response_log(spark, sf_dir))
+
+
+@query
+def rate_budget(spark, sf_dir):
+    return responses.rate_budget(adapters.response_log(spark, sf_dir), limit=5)
+
+
+@query
+def schema_drift(spark, sf_dir):
+    pairs = adapters.payload_pairs(spark, sf_dir)
+    return drift.unmapped_fields(flatten.flatten(pairs))
+
+
+# --- serving ----------------------------------------------------------------------------------
+
+
+@query
+def trend_30d(spark, sf_dir):
+    gold = daily.gold_range(sensor_events(spark, sf_dir), "2024-01-01", "2024-01-30", SCALE)
+    return serving.trend(gold, as_of="2024-02-10")
+
+
+@query
+def alerts_for_city(spark, sf_dir):
+    return serving.alerts_for_city(alerts_upserted(spark, sf_dir), "city_3")
+
+
+@query
+def recent_alerts(spark, sf_dir):
+    return serving.recent_alerts(alerts_upserted(spark, sf_dir), "2024-01-10", "2024-01-20", limit=50)
+
+
+@query
+def current_tiles(spark, sf_dir):
+    return serving.current_readings(sensor_events(spark, sf_dir), ties=("event_id",))
+
+
+@query
+def sparkline(spark, sf_dir):
+    series = serving.sparkline(alerts.rolling_averages(sensor_events(spark, sf_dir), scale=SCALE))
+    points = series.select("city_id", "date", F.posexplode("points").alias("position", "p"))
+    return points.select(
+        "city_id", "date", "position", F.col("p.at").alias("window_end_time"), F.col("p.value").alias("avg_temp")
+    )
+
+
+# --- monitoring -------------------------------------------------------------------------------
+
+
+@query
+def lag_listing(spark, sf_dir):
+    return monitor.lag_listing(adapters.broker_log(spark, sf_dir))
+
+
+@query
+def lag_alert(spark, sf_dir):
+    return monitor.lag_alert(adapters.broker_log(spark, sf_dir))
+
+
+@query
+def log_presence(spark, sf_dir):
+    return monitor.lag_presence(adapters.broker_log(spark, sf_dir))
+
+
+@query
+def util_bins(spark, sf_dir):
+    return monitor.utilisation(adapters.metric_log(spark, sf_dir), SCALE)
+
+
+@query
+def util_alert(spark, sf_dir):
+    return monitor.utilisation_alert(adapters.metric_log(spark, sf_dir), scale=SCALE)
+
+
+@query
+def backlog_bins(spark, sf_dir):
+    return monitor.backlog(adapters.metric_log(spark, sf_dir))
+
+
+@query
+def util_backlog_union(spark, sf_dir):
+    return monitor.load_signals(adapters.metric_log(spark, sf_dir), SCALE)
+
+
+@query
+def failed_runs(spark, sf_dir):
+    return monitor.failed_runs(adapters.pipeline_runs(spark, sf_dir), adapters.activity_runs(spark, sf_dir))
+
+
+@query
+def failures_by_stage(spark, sf_dir):
+    return monitor.failures_by_stage(adapters.activity_runs(spark, sf_dir))

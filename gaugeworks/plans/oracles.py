@@ -99,6 +99,59 @@ SELECT *, greatest({time}, max({time}) OVER (PARTITION BY city_id ORDER BY arriv
 FROM {source}"""
 
 
+RESPONSES = f"""
+{EVENTS},
+calls(event_type, endpoint, attempt, status) AS (VALUES
+  ('click', 'weather', 1, 200), ('click', 'air_pollution', 1, 200),
+  ('view', 'weather', 1, 429), ('view', 'weather', 2, 200),
+  ('view', 'air_pollution', 1, 503), ('view', 'air_pollution', 2, 500), ('view', 'air_pollution', 3, 200),
+  ('purchase', 'weather', 1, 200),
+  ('purchase', 'air_pollution', 1, 500), ('purchase', 'air_pollution', 2, 502), ('purchase', 'air_pollution', 3, 504),
+  ('signup', 'weather', 1, NULL), ('signup', 'weather', 2, NULL), ('signup', 'weather', 3, NULL),
+  ('error', 'weather', 1, 401)),
+polls AS (SELECT event_id // 100 AS cycle_id, 'city_' || (event_id % 100) AS city_id, event_type,
+                 poll_timestamp AS responded_at, temp, humidity, aqi, pm2_5
+          FROM sensor_events),
+responses AS (SELECT * FROM polls JOIN calls USING (event_type))
+"""
+
+BROKER = """
+broker AS (
+  SELECT ts AS "TimeGenerated",
+         CASE event_type WHEN 'signup' THEN 'OTHER' ELSE 'MICROSOFT.EVENTHUB' END AS provider,
+         CASE WHEN event_type IN ('view', 'click') THEN 'ConsumerLag' ELSE event_type END AS activity,
+         CASE user_id % 3 WHEN 0 THEN '$Default' WHEN 1 THEN 'stream-analytics-local-emulation' ELSE 'other' END
+           AS "ConsumerGroup",
+         'hub_' || (user_id % 5) AS "EventHubName", CAST(user_id % 4 AS VARCHAR) AS "PartitionId",
+         value * 10 AS "LagCount"
+  FROM events),
+lag AS (SELECT "TimeGenerated", "ConsumerGroup", "EventHubName", "PartitionId", "LagCount" FROM broker
+        WHERE provider = 'MICROSOFT.EVENTHUB' AND activity = 'ConsumerLag' AND "ConsumerGroup" <> 'other')
+"""
+
+METRICS = f"""
+used AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS "TimeGenerated",
+                {exact_mean('value')} AS "AvgUtilization",
+                max(CASE WHEN user_id % 2 = 0 THEN 0.0 ELSE value END) AS "MaxUtilization"
+         FROM events WHERE event_type IN ('view', 'click') GROUP BY 1),
+waiting AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS "TimeGenerated",
+                   max(CASE WHEN user_id % 2 = 0 THEN 0.0 ELSE value END) AS "MaxBacklog"
+            FROM events WHERE event_type = 'error' GROUP BY 1
+            HAVING max(CASE WHEN user_id % 2 = 0 THEN 0.0 ELSE value END) > 0)
+"""
+
+STAGES = """
+activities AS (
+  SELECT l_orderkey AS run, l_linenumber, l_partkey, l_returnflag,
+         CASE l_linenumber % 4 WHEN 0 THEN 'bronze_ingest' WHEN 1 THEN 'silver_clean_dedup'
+                               WHEN 2 THEN 'gold_aggregate_zorder' ELSE 'other' END AS name
+  FROM lineitem WHERE l_returnflag IN ('A', 'R'))
+"""
+
+UPSERTED = """
+upserted AS (SELECT * FROM alerts QUALIFY row_number() OVER (PARTITION BY id ORDER BY detected_at DESC) = 1)
+"""
+
 OBSERVED = "make_timestamp(dt * 1000000) AS observation_timestamp"
 
 ORACLES: dict[str, str] = {
@@ -160,4 +213,113 @@ WITH {EVENTS}
 SELECT city_id, ingestion_date, count(*) AS events, count(*) FILTER (temp IS NULL) AS missing_temp,
        count(*) FILTER (aqi IS NULL) AS missing_aqi
 FROM sensor_events GROUP BY ALL HAVING count(*) FILTER (temp IS NULL OR aqi IS NULL) > 0""",
+    "payload_flatten": f"""
+WITH {EVENTS}
+SELECT 'city_' || event_id AS city_id, poll_timestamp, 'azure-function-timer' AS source, '1.0' AS schema_version,
+       ingestion_date, dt, temp, humidity, CAST(NULL AS INTEGER) AS visibility,
+       CASE WHEN humidity % 5 <> 0 THEN event_type END AS weather_main,
+       CASE WHEN humidity % 5 <> 0 THEN upper(event_type) END AS weather_description,
+       CASE WHEN humidity % 10 <> 9 THEN aqi END AS aqi, CASE WHEN humidity % 10 <> 9 THEN pm2_5 END AS pm2_5,
+       CASE WHEN humidity % 10 <> 9 THEN pm10 END AS pm10, CAST(NULL AS DOUBLE) AS no2
+FROM sensor_events WHERE event_id % 100 <> 99""",
+    "coord_fallback": f"""
+WITH {EVENTS}
+SELECT 'city_' || (event_id % 25) AS city_id, poll_timestamp,
+       CASE humidity % 4 WHEN 0 THEN event_id % 90 + 0.5::DOUBLE WHEN 3 THEN NULL ELSE n_nationkey + 0.5::DOUBLE END AS lat,
+       CASE WHEN humidity % 4 IN (0, 3) THEN event_id % 180 + 0.25::DOUBLE ELSE n_regionkey + 0.25::DOUBLE END AS lon
+FROM sensor_events JOIN nation ON n_nationkey = event_id % 25
+WHERE event_id % 100 <> 99""",
+    "corrupt_isolated": f"""
+WITH {EVENTS}
+SELECT 'city_' || event_id AS city_id, poll_timestamp, 'unreadable payload: weather' AS reason,
+       '{{"coord":{{"lat":1.0' AS weather_text
+FROM sensor_events WHERE event_id % 100 = 99""",
+    "payload_pairing": f"""
+WITH {EVENTS}
+SELECT 'city_' || (event_id % 100) AS city_id, poll_timestamp, temp, humidity,
+       CASE WHEN humidity % 10 <> 9 THEN aqi END AS aqi, CASE WHEN humidity % 10 <> 9 THEN pm2_5 END AS pm2_5
+FROM sensor_events WHERE event_type IN ('click', 'view')""",
+    "city_lookup": f"""
+WITH {EVENTS}
+SELECT event_id, city_id, n_name AS city_name, n_nationkey + 0.5::DOUBLE AS city_lat,
+       n_regionkey + 0.25::DOUBLE AS city_lon, temp
+FROM sensor_events LEFT JOIN nation ON city_id = 'city_' || n_nationkey""",
+    "response_outcomes": f"""
+WITH {RESPONSES},
+ended AS (SELECT cycle_id, city_id, endpoint, max(attempt) AS attempts, arg_max_null(status, attempt) AS last_status
+          FROM responses GROUP BY ALL)
+SELECT *, CASE WHEN last_status = 200 THEN 'ok' WHEN last_status IS NULL THEN 'network_error'
+               WHEN last_status = 401 THEN 'unauthorized' ELSE 'retries_exhausted' END AS outcome
+FROM ended""",
+    "failure_details": f"""
+WITH {RESPONSES}
+SELECT cycle_id, city_id, endpoint, status, left('{{"cod":401,"message":"' || repeat('no ', 90) || '"}}', 200) AS error_text,
+       true AS concerns_all_cities
+FROM responses WHERE status = 401""",
+    "poll_summary": f"""
+WITH {RESPONSES},
+per_city AS (SELECT cycle_id, city_id, event_type IN ('click', 'view') AS succeeded, count(*) AS calls
+             FROM responses GROUP BY ALL)
+SELECT cycle_id, count(*) AS cities, count(*) FILTER (succeeded) AS cities_succeeded,
+       count(*) FILTER (NOT succeeded) AS cities_failed, CAST(sum(calls) AS BIGINT) AS calls
+FROM per_city GROUP BY cycle_id""",
+    "failed_cities": f"""
+WITH {RESPONSES} SELECT cycle_id, city_id FROM polls WHERE event_type NOT IN ('click', 'view')""",
+    "rate_budget": f"""
+WITH {RESPONSES}
+SELECT count(*) AS calls, time_bucket(INTERVAL 1 MINUTE, responded_at) + INTERVAL 1 MINUTE AS minute_end,
+       count(*) > 5 AS over_budget
+FROM responses GROUP BY time_bucket(INTERVAL 1 MINUTE, responded_at)""",
+    "schema_drift": f"""
+WITH {EVENTS}, kept AS (SELECT * FROM sensor_events WHERE event_id % 100 <> 99)
+SELECT 'weather.uvi' AS path, count(*) AS payloads FROM kept WHERE event_type = 'view'
+UNION ALL SELECT 'weather.uvi.now', count(*) FROM kept WHERE event_type = 'view'
+UNION ALL SELECT 'air_pollution.coord', count(*) FROM kept WHERE humidity % 10 <> 9""",
+    "trend_30d": f"""
+WITH {EVENTS}, {ROLLING_7DAY},
+stats AS (SELECT city_id, ingestion_date AS date, {DAILY} FROM sensor_events GROUP BY ALL)
+SELECT city_id, date, avg_temp, avg_aqi, rolling_7day_avg_temp FROM stats JOIN weekly USING (city_id, date)
+WHERE date >= DATE '2024-02-10' - 30 ORDER BY city_id, date""",
+    "alerts_for_city": f"WITH {EVENTS}, {SLIDING}, {UPSERTED} SELECT * FROM upserted WHERE city_id = 'city_3'",
+    "recent_alerts": f"""
+WITH {EVENTS}, {SLIDING}, {UPSERTED}
+SELECT * FROM upserted WHERE detected_at >= TIMESTAMP '2024-01-10' AND detected_at < TIMESTAMP '2024-01-20'
+ORDER BY detected_at DESC, id LIMIT 50""",
+    "current_tiles": f"""
+WITH {EVENTS}
+SELECT city_id, poll_timestamp, temp, aqi FROM sensor_events
+QUALIFY row_number() OVER (PARTITION BY city_id ORDER BY poll_timestamp DESC, event_id) = 1""",
+    "sparkline": f"""
+WITH {EVENTS}, rolling AS ({hopping('poll_timestamp')})
+SELECT city_id, CAST(window_end_time AS DATE) AS date,
+       CAST(row_number() OVER (PARTITION BY city_id, CAST(window_end_time AS DATE) ORDER BY window_end_time) - 1
+            AS INTEGER) AS position,
+       window_end_time, avg_temp
+FROM rolling""",
+    "lag_listing": f'WITH {BROKER} SELECT * FROM lag ORDER BY "TimeGenerated" DESC, "PartitionId"',
+    "lag_alert": f"""
+WITH {BROKER}
+SELECT "EventHubName", "PartitionId", max("LagCount") AS "MaxLag" FROM lag GROUP BY ALL HAVING max("LagCount") > 1000""",
+    "log_presence": f"""
+WITH {BROKER}
+SELECT count(*) AS log_rows,
+       count(*) FILTER (provider = 'MICROSOFT.EVENTHUB' AND activity = 'ConsumerLag') AS matching_rows FROM broker""",
+    "util_bins": f"WITH {METRICS} SELECT * FROM used",
+    "util_alert": f'WITH {METRICS} SELECT * FROM used WHERE "AvgUtilization" > 80',
+    "backlog_bins": f"WITH {METRICS} SELECT * FROM waiting",
+    "util_backlog_union": f"""
+WITH {METRICS}
+SELECT "TimeGenerated", "AvgUtilization", "MaxUtilization", NULL::DOUBLE AS "MaxBacklog", 'ResourceUtilization' AS metric
+FROM used
+UNION ALL SELECT "TimeGenerated", NULL, NULL, "MaxBacklog", 'BacklogedInputEvents' FROM waiting""",
+    "failed_runs": f"""
+WITH {STAGES}
+SELECT o_orderdate AS "PipelineTimeGenerated", CAST(o_orderkey AS VARCHAR) AS "RunId", name AS "FailedActivityName",
+       CAST(l_linenumber AS VARCHAR) AS "ErrorCode", 'part ' || l_partkey AS "ErrorMessage",
+       o_orderdate AS "PipelineStart", o_orderdate + INTERVAL 1 HOUR AS "PipelineEnd", o_orderpriority AS "Parameters"
+FROM orders JOIN activities ON o_orderkey = run
+WHERE o_custkey % 2 = 0 AND o_orderstatus = 'F' AND name <> 'other'""",
+    "failures_by_stage": f"""
+WITH {STAGES}
+SELECT name AS "ActivityName", count(*) AS "FailureCount" FROM activities WHERE name <> 'other' GROUP BY name""",
 }
