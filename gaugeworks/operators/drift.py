@@ -53,20 +53,21 @@ def _inside(text: Column) -> Column:
 
 
 def payload_paths(events: DataFrame, payload: str = "raw_payload_json") -> DataFrame:
-    """(path) for every field of every payload, down to ``DEPTH`` levels."""
-    level = events.select(F.lit("").alias("path"), F.col(payload).alias("text"))
-    levels = []
-    for depth in range(DEPTH):
-        entries = F.map_entries(F.from_json(_inside(F.col("text")), _FIELDS))
-        dot = F.lit(".") if depth else F.lit("")
-        level = level.select("path", F.explode(entries).alias("e")).select(
-            F.concat("path", dot, "e.key").alias("path"), F.col("e.value").alias("text")
+    """(path) for every field of every payload, down to ``DEPTH`` levels.
+
+    One pass over the payloads: a row that holds an object becomes a finished row for its own path
+    and one row per field inside; finished rows have no text left and pass through.
+    """
+    rows = events.select(F.lit("").alias("path"), F.col(payload).alias("text"))
+    for _ in range(DEPTH):
+        fields = F.map_entries(F.from_json(_inside(F.col("text")), _FIELDS))
+        dot = F.when(F.col("path") == "", "").otherwise(".")
+        children = F.transform(
+            fields, lambda f: F.struct(F.concat("path", dot, f["key"]).alias("path"), f["value"].alias("text"))
         )
-        levels.append(level.select("path"))
-    paths = levels[0]
-    for deeper in levels[1:]:
-        paths = paths.union(deeper)
-    return paths
+        own = F.array(F.struct(F.col("path"), F.lit(None).cast("string").alias("text")))
+        rows = rows.select(F.explode(F.concat(own, F.coalesce(children, F.array()))).alias("r")).select("r.*")
+    return rows.filter(F.col("path") != "").select("path")
 
 
 def unmapped_fields(

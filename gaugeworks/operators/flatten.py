@@ -48,13 +48,16 @@ def with_city(df: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 def parse_payloads(paired: DataFrame) -> DataFrame:
-    """Adds the parsed payloads, and ``malformed`` with the name of an unreadable one."""
-    parsed = paired.withColumns(
-        {
-            "_w": F.from_json("weather", WEATHER_PAYLOAD, _PARSE),
-            "_a": F.from_json("air_pollution", AIR_PAYLOAD, _PARSE),
-        }
+    """Adds the parsed payloads, and ``malformed`` with the name of an unreadable one.
+
+    The one-element explode keeps later filters on the parsed payload above the parsing; pushed below
+    it they would parse every payload a second time.
+    """
+    both = F.struct(
+        F.from_json("weather", WEATHER_PAYLOAD, _PARSE).alias("_w"),
+        F.from_json("air_pollution", AIR_PAYLOAD, _PARSE).alias("_a"),
     )
+    parsed = paired.withColumn("_p", F.explode(F.array(both))).select(*paired.columns, "_p._w", "_p._a")
     return parsed.withColumn(
         "malformed",
         F.when(F.col("_w._corrupt").isNotNull(), F.lit("weather")).when(

@@ -45,14 +45,17 @@ def with_reason(bad: DataFrame, required: tuple[str, ...] = SILVER_REQUIRED) ->
     return bad.withColumn("reason", F.concat(F.lit("missing "), F.concat_ws(",", *missing)))
 
 
-def to_silver(good: DataFrame, across_days: bool = True, order: tuple = ("poll_timestamp",)) -> DataFrame:
+def to_silver(good: DataFrame, across_days: bool = False, order: tuple[str, ...] = ("poll_timestamp",)) -> DataFrame:
     """Complete rows, one per city and observation, with the silver columns.
 
     A run handles one ingestion date, so an observation polled on both sides of midnight stays twice
     when days are processed apart. ``across_days=False`` gives that result for several days at once.
+    Only silver columns and the order are read: rows equal in those are interchangeable, and the raw
+    payload, by far the widest bronze column, stays out of the scan and the shuffle.
     """
     keys = ("city_id", "observation_timestamp") + (() if across_days else ("ingestion_date",))
-    return conform(deduplicate(good, keys, order), SILVER)
+    needed = [*SILVER.fieldNames(), *[c for c in order if c not in SILVER.fieldNames()]]
+    return conform(deduplicate(good.select(*needed), keys, order), SILVER)
 
 
 def quality_counters(

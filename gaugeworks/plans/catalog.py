@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from gaugeworks.functions.stats import count, maximum, mean, minimum
 from gaugeworks.operators import alerts, daily, drift, flatten, gate, monitor, responses, serving, windows
-from gaugeworks.plans import adapters
+from gaugeworks.plans import adapters, daily_run
 from gaugeworks.plans.adapters import sensor_events, table
+from gaugeworks.schemas import ALERT, BRONZE, GOLD, ROLLING, SILVER, STREAM_EVENT, conform, wire
+from gaugeworks.session import work_dir
+from gaugeworks.sources import lake, sinks
+from gaugeworks.streaming import jobs, sliding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,8 +34,6 @@ def query(fn: Query) -> Query:
 
 def silver_input(spark, sf_dir):
     """Adapter rows as a bronze batch. All columns that silver needs but the tables lack are null."""
-    from gaugeworks.schemas import SILVER
-
     events = gate.convert(sensor_events(spark, sf_dir))
     lacking = [f for f in SILVER.fields if f.name not in events.columns]
     return events.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
@@ -278,7 +281,8 @@ def trend_30d(spark, sf_dir):
 
 @query
 def alerts_for_city(spark, sf_dir):
-    return serving.alerts_for_city(alerts_upserted(spark, sf_dir), "city_3")
+    of_city = serving.alerts_for_city(alerts.anomaly_alerts(sensor_events(spark, sf_dir)), "city_3")
+    return alerts.newest_alerts(of_city)
 
 
 @query
@@ -346,3 +350,232 @@ def failed_runs(spark, sf_dir):
 @query
 def failures_by_stage(spark, sf_dir):
     return monitor.failures_by_stage(adapters.activity_runs(spark, sf_dir))
+
+
+# --- lake tables and reruns -------------------------------------------------------------------
+
+
+FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
+
+
+def landed(spark, sf_dir, name):
+    """Lake folders whose raw part is as the passthrough stream leaves it."""
+    paths = daily_run.Paths.under(work_dir(spark, name))
+    events = adapters.bronze_events(spark, sf_dir)
+    events.write.mode("append").partitionBy("ingestion_date").option("ignoreNullFields", "false").option(
+        "timestampFormat", flatten.ISO_MICROS
+    ).json(paths.raw)
+    return paths
+
+
+@query
+def bronze_roundtrip(spark, sf_dir):
+    """Raw JSON through the bronze stage and back."""
+    paths = landed(spark, sf_dir, "bronze")
+    daily_run.bronze(spark, paths, FIRST_DAY, LAST_DAY)
+    days = lake.read_days(spark, paths.bronze, FIRST_DAY, LAST_DAY)
+    return plain_time(
+        days.select("city_id", "poll_timestamp", "source", "ingestion_date", "dt", "temp", "humidity", "aqi", "pm2_5"),
+        "poll_timestamp",
+    )
+
+
+@query
+def silver_roundtrip(spark, sf_dir):
+    paths = landed(spark, sf_dir, "silver")
+    daily_run.bronze(spark, paths, FIRST_DAY, LAST_DAY)
+    daily_run.silver(spark, paths, FIRST_DAY, LAST_DAY)
+    days = lake.read_days(spark, paths.silver, FIRST_DAY, LAST_DAY)
+    columns = ("city_id", "observation_timestamp", "ingestion_date", "temp", "humidity", "aqi", "pm2_5", "pm10")
+    return plain_time(days.select(*columns), "observation_timestamp")
+
+
+@query
+def quarantine_roundtrip(spark, sf_dir):
+    paths = landed(spark, sf_dir, "quarantine")
+    daily_run.bronze(spark, paths, FIRST_DAY, LAST_DAY)
+    daily_run.silver(spark, paths, FIRST_DAY, LAST_DAY)
+    bad = lake.read_days(spark, paths.quarantine, FIRST_DAY, LAST_DAY, merge_schema=True)
+    return plain_time(bad.select("city_id", "poll_timestamp", "ingestion_date", "aqi", "reason"), "poll_timestamp")
+
+
+@query
+def rerun_idempotent(spark, sf_dir):
+    """All days at once, then one of them and a range again: gold holds each city and day once."""
+    paths = landed(spark, sf_dir, "rerun")
+    daily_run.run_daily(spark, paths, FIRST_DAY, LAST_DAY)
+    daily_run.run_daily(spark, paths, DAY)
+    daily_run.run_daily(spark, paths, "2024-01-10", "2024-01-20")
+    return lake.read_or_none(spark, paths.gold).select(
+        "city_id", "date", "min_temp", "max_temp", "max_aqi", "observation_count"
+    )
+
+
+@query
+def gold_merge(spark, sf_dir):
+    """Stored gold of all days, then a merge that brings two days again for some cities, and leaves
+    the rows it does not mention."""
+    path = work_dir(spark, "gold")
+    events = sensor_events(spark, sf_dir)
+    stored = daily.gold_range(events, "2024-01-01", "2024-01-30", SCALE)
+    sinks.upsert(stored, path, ["city_id", "date"], "date", cluster=["city_id"])
+    hot = F.col("event_type") == "purchase"
+    again = daily.gold_range(events.filter(hot), "2024-01-15", "2024-01-16", SCALE)
+    sinks.upsert(again, path, ["city_id", "date"], "date", cluster=["city_id"])
+    return lake.read_or_none(spark, path).select("city_id", "date", "avg_temp", "max_temp", "observation_count")
+
+
+@query
+def lake_table(spark, sf_dir):
+    """Gold written clustered by city, declared as a table, and aggregated through SQL."""
+    path = work_dir(spark, "clustered")
+    gold = daily.gold_range(sensor_events(spark, sf_dir), "2024-01-01", "2024-01-30", SCALE)
+    sinks.clustered(gold, "city_id", "date").write.parquet(path)
+    lake.external_table(spark, "gold_city_daily_stats", path, GOLD)
+    return spark.sql(
+        "SELECT city_id, count(*) AS days, max(max_temp) AS max_temp, sum(observation_count) AS observations "
+        "FROM gold_city_daily_stats WHERE city_id >= 'city_3' GROUP BY city_id"
+    )
+
+
+@query
+def lake_view(spark, sf_dir):
+    """Silver by day, seen through a view; the date filter reads one partition."""
+    path = work_dir(spark, "view")
+    sinks.overwrite_partitions(
+        sinks.clustered(silver(spark, sf_dir), "ingestion_date", "city_id", "observation_timestamp"), path
+    )
+    lake.lake_view(spark, "silver_weather_events_view", path)
+    return spark.sql(
+        "SELECT city_id, count(*) AS observations, max(aqi) AS max_aqi FROM silver_weather_events_view "
+        f"WHERE ingestion_date = DATE '{DAY}' GROUP BY city_id"
+    )
+
+
+@query
+def publish_decode(spark, sf_dir):
+    """Every event to its keyed JSON record and back."""
+    path = work_dir(spark, "records")
+    sinks.publish(adapters.bronze_events(spark, sf_dir), path)
+    events = lake.decode(spark.read.parquet(path), BRONZE)
+    return plain_time(
+        events.select(
+            "city_id", "poll_timestamp", "ingestion_date", "dt", "temp", "humidity", "aqi", "pm2_5", "pm10", "no2"
+        ),
+        "poll_timestamp",
+    )
+
+
+# --- streams ----------------------------------------------------------------------------------
+
+PARTS = (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-03-01"))
+
+
+def stream_in_parts(spark, sf_dir, start_job, order="poll_timestamp"):
+    """Publishes all events in three parts, in the order of ``order``. After each part the streaming
+    query is started again from its checkpoint and takes what is new."""
+    topic, checkpoint = work_dir(spark, "topic"), work_dir(spark, "checkpoint")
+    events = sensor_events(spark, sf_dir).withColumns(
+        {c: F.col(c).cast("timestamp") for c in ("poll_timestamp", "arrival_ts")}
+    )
+    schema = StructType([*STREAM_EVENT.fields, StructField("arrival_ts", TimestampType())])
+    for first, end in PARTS:
+        sinks.publish(events.filter((F.col(order) >= F.lit(first)) & (F.col(order) < F.lit(end))), topic)
+        finish(start_job(lake.decode(lake.folder_stream(spark, topic), schema), checkpoint))
+
+
+def finish(stream_query):
+    stream_query.awaitTermination()
+    error = stream_query.exception()
+    if error:
+        raise error
+
+
+@query
+def stream_hopping(spark, sf_dir):
+    rolling = work_dir(spark, "rolling")
+    stream_in_parts(
+        spark, sf_dir, lambda events, at: jobs.rolling_job(jobs.event_time(events), rolling, at, None, SCALE)
+    )
+    return plain_time(lake.read_or_none(spark, rolling).select(*ROLLING.fieldNames()), "window_end_time")
+
+
+@query
+def stream_hopping_late(spark, sf_dir):
+    """Read in order of arrival, with late events moved up instead of dropped."""
+    rolling = work_dir(spark, "rolling")
+    stream_in_parts(
+        spark,
+        sf_dir,
+        lambda events, at: jobs.rolling_job(
+            jobs.event_time(events, arrival="arrival_ts"), rolling, at, None, SCALE
+        ),
+        "arrival_ts",
+    )
+    return plain_time(lake.read_or_none(spark, rolling).select(*ROLLING.fieldNames()), "window_end_time")
+
+
+@query
+def stream_alerts(spark, sf_dir):
+    handler = sliding.SlidingAlerts(work_dir(spark, "alerts"), work_dir(spark, "memory"))
+    stream_in_parts(spark, sf_dir, lambda events, at: sliding.alerts_job(events, handler, at, None))
+    return plain_time(lake.read_or_none(spark, handler.alerts).select(*ALERT.fieldNames()), "detected_at")
+
+
+@query
+def stream_alerts_late(spark, sf_dir):
+    """Read in order of arrival, with both adjustments, each city on its own clock."""
+    handler = sliding.SlidingAlerts(work_dir(spark, "alerts"), work_dir(spark, "memory"), arrival="arrival_ts")
+    stream_in_parts(
+        spark, sf_dir, lambda events, at: sliding.alerts_job(events, handler, at, None), "arrival_ts"
+    )
+    return plain_time(lake.read_or_none(spark, handler.alerts).select(*ALERT.fieldNames()), "detected_at")
+
+
+@query
+def stream_passthrough(spark, sf_dir):
+    """Every event through the unwindowed stream into the raw folder."""
+    topic, folder = work_dir(spark, "topic"), work_dir(spark, "raw")
+    sinks.publish(adapters.bronze_events(spark, sf_dir), topic)
+    events = lake.decode(lake.folder_stream(spark, topic), BRONZE)
+    finish(jobs.passthrough_job(events, folder, work_dir(spark, "checkpoint"), None))
+    landed = spark.read.schema(wire(BRONZE, corrupt=False)).json(folder)
+    return plain_time(
+        conform(landed, BRONZE).select("city_id", "poll_timestamp", "ingestion_date", "dt", "temp", "aqi", "pm10"),
+        "poll_timestamp",
+    )
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Every record published twice; the stream keeps one of each."""
+    topic, folder = work_dir(spark, "topic"), work_dir(spark, "unique")
+    events = adapters.bronze_events(spark, sf_dir)
+    sinks.publish(events.unionByName(events), topic)
+    decoded = lake.decode(lake.folder_stream(spark, topic), BRONZE)
+    once = jobs.without_duplicates(decoded, ("city_id", "poll_timestamp", "temp", "pm2_5", "humidity"))
+    finish(jobs.start(once, work_dir(spark, "checkpoint"), fmt="parquet", path=folder))
+    rows = spark.read.schema(BRONZE).parquet(folder)
+    return plain_time(rows.select("city_id", "poll_timestamp", "temp", "humidity", "aqi"), "poll_timestamp")
+
+
+@query
+def stream_pairing(spark, sf_dir):
+    """Weather and air payloads as two streams, joined by city and cycle."""
+    folder, topics = work_dir(spark, "pairs"), {}
+    answers = adapters.response_log(spark, sf_dir).filter("status = 200")
+    answers = answers.withColumn("responded_at", F.col("responded_at").cast("timestamp"))
+    for endpoint, text, at in (("weather", "weather", "weather_at"), ("air_pollution", "air_pollution", "air_at")):
+        topics[endpoint] = work_dir(spark, endpoint)
+        part = answers.filter(F.col("endpoint") == endpoint)
+        part.select("cycle_id", "city_id", F.col("body").alias(text), F.col("responded_at").alias(at)).write.parquet(
+            topics[endpoint]
+        )
+    columns = "cycle_id BIGINT, city_id STRING, {} STRING, {} TIMESTAMP"
+    weather = lake.folder_stream(spark, topics["weather"], columns.format("weather", "weather_at"))
+    air = lake.folder_stream(spark, topics["air_pollution"], columns.format("air_pollution", "air_at"))
+    finish(jobs.start(jobs.paired_payloads(weather, air), work_dir(spark, "checkpoint"), fmt="parquet", path=folder))
+    events = flatten.flatten(spark.read.parquet(folder))
+    return plain_time(
+        events.select("city_id", "poll_timestamp", "temp", "humidity", "aqi", "pm2_5"), "poll_timestamp"
+    )

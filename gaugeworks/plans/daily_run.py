@@ -12,8 +12,8 @@ from gaugeworks.functions.times import resolve_run_date, trailing_start
 from gaugeworks.operators import daily, gate
 from gaugeworks.schemas import CORRUPT
 from gaugeworks.session import pin_utc
-from gaugeworks.sources.lake import read_days, read_raw_day
-from gaugeworks.sources.sinks import clear_day, clustered, overwrite_partitions, upsert
+from gaugeworks.sources.lake import read_days, read_raw_days
+from gaugeworks.sources.sinks import clear_days, clustered, days_of, replace_days, upsert
 
 
 @dataclass(frozen=True)
@@ -38,75 +38,88 @@ class StageResult:
     counters: dict[str, int] = field(default_factory=dict)
 
 
-def bronze(spark: SparkSession, paths: Paths, run_date: str | date | None = None) -> StageResult:
-    """Lands one day of raw events as Parquet. Unreadable lines go to a folder of their own, under
-    the same day; they cost a second scan only when there are any."""
-    day = resolve_run_date(run_date)
-    raw = read_raw_day(spark, paths.raw, day)
+Day = str | date | None
+
+
+def _days(run_date: Day, through: Day) -> tuple[date, date]:
+    first = resolve_run_date(run_date)
+    return first, resolve_run_date(through) if through else first
+
+
+def bronze(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day = None) -> StageResult:
+    """Lands raw events as Parquet. Unreadable lines go to a folder of their own, under the same day;
+    they cost a second scan only when there are any."""
+    first, last = _days(run_date, through)
+    raw = read_raw_days(spark, paths.raw, first, last)
     if raw is None or raw.isEmpty():
         return StageResult("bronze", "zero_events")
     readable = F.col(CORRUPT).isNull()
     seen = Observation()
     lines = raw.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(~readable).alias("unreadable"))
-    overwrite_partitions(lines.filter(readable).drop(CORRUPT), paths.bronze)
-    counters = dict(seen.get)
-    if counters["unreadable"] == counters["rows_in"]:
-        clear_day(raw.drop(CORRUPT), paths.bronze, day)
-    bad = raw.select("ingestion_date", F.col(CORRUPT).alias("line"), F.lit("unreadable line").alias("reason"))
-    if counters["unreadable"]:
-        overwrite_partitions(bad.filter(F.col("line").isNotNull()), paths.unreadable)
-    else:
-        clear_day(bad, paths.unreadable, day)
+    written = replace_days(lines.filter(readable).drop(CORRUPT), paths.bronze, first, last)
+    counters = dict(seen.get) | {"rows_out": written["rows"]}
+    bad = raw.filter(~readable).select(
+        "ingestion_date", F.col(CORRUPT).alias("line"), F.lit("unreadable line").alias("reason")
+    )
+    _set_aside(bad, paths.unreadable, first, last, counters["unreadable"])
     return StageResult("bronze", "written", counters)
 
 
-def silver(spark: SparkSession, paths: Paths, run_date: str | date | None = None) -> StageResult:
-    """Cleans one day of bronze. Counters come out of the writing job itself."""
-    day = resolve_run_date(run_date)
-    landed = read_days(spark, paths.bronze, day)
+def _set_aside(bad: DataFrame, path: str, first: date, last: date, rows: int) -> None:
+    if rows:
+        replace_days(bad, path, first, last)
+    else:
+        clear_days(bad, path, first, last)
+
+
+def silver(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day = None) -> StageResult:
+    """Cleans bronze. Counters come out of the writing job itself."""
+    first, last = _days(run_date, through)
+    landed = read_days(spark, paths.bronze, first, last)
     if landed is None or landed.isEmpty():
         return StageResult("silver", "zero_rows")
     converted = gate.convert(landed)
     gate.check_columns(converted)
-    before, after = Observation(), Observation()
+    seen = Observation()
     counted = converted.observe(
-        before, F.count(F.lit(1)).alias("rows_in"), F.count_if(gate.is_incomplete()).alias("quarantined")
+        seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(gate.is_incomplete()).alias("quarantined")
     )
     good, _ = gate.split_required(counted)
     rows = clustered(gate.to_silver(good), "ingestion_date", "city_id", "observation_timestamp")
-    overwrite_partitions(rows.observe(after, F.count(F.lit(1)).alias("rows_out")), paths.silver)
-    counters = dict(before.get) | dict(after.get)
+    written = replace_days(rows, paths.silver, first, last)
+    counters = dict(seen.get) | {"rows_out": written["rows"]}
     counters["good"] = counters["rows_in"] - counters["quarantined"]
     counters["duplicates_removed"] = counters["good"] - counters["rows_out"]
-    if not counters["rows_out"]:
-        clear_day(rows, paths.silver, day)
     _, bad = gate.split_required(converted)
-    if counters["quarantined"]:
-        overwrite_partitions(gate.with_reason(bad), paths.quarantine)
-    else:
-        clear_day(gate.with_reason(bad), paths.quarantine, day)
+    _set_aside(gate.with_reason(bad), paths.quarantine, first, last, counters["quarantined"])
     return StageResult("silver", "written", counters)
 
 
-def gold(spark: SparkSession, paths: Paths, run_date: str | date | None = None) -> StageResult:
-    """Aggregates one day and merges it into gold by city and date."""
-    day = resolve_run_date(run_date)
-    week = read_days(spark, paths.silver, trailing_start(day), day)
-    if week is None or week.filter(F.col("ingestion_date") == F.lit(day)).isEmpty():
+def gold(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day = None) -> StageResult:
+    """Aggregates silver by city and day and merges it into gold."""
+    first, last = _days(run_date, through)
+    history = read_days(spark, paths.silver, trailing_start(first), last)
+    if history is None or history.filter(F.col("ingestion_date") >= F.lit(first)).isEmpty():
         return StageResult("gold", "zero_rows")
-    written = Observation()
-    rows = daily.gold_day(week, day).observe(written, F.count(F.lit(1)).alias("rows_merged"))
-    upsert(rows, paths.gold, ["city_id", "date"], "date", cluster=["city_id"], partitions=[day])
-    return StageResult("gold", "merged", dict(written.get))
+    rows = daily.gold_day(history, first) if first == last else daily.gold_range(history, first, last)
+    merged = Observation()
+    rows = rows.observe(merged, F.count(F.lit(1)).alias("rows_merged"))
+    touched = sorted(days_of(first, last))
+    upsert(rows, paths.gold, ["city_id", "date"], "date", cluster=["city_id"], partitions=touched)
+    return StageResult("gold", "merged", dict(merged.get))
+
 
+def run_daily(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day = None) -> list[StageResult]:
+    """The three stages for one day, each only after the one before found something to do.
 
-def run_daily(spark: SparkSession, paths: Paths, run_date: str | date | None = None) -> list[StageResult]:
-    """The three stages for one day, each only after the one before found something to do."""
+    With ``through`` the days run_date..through are handled together, one job per stage, with the
+    same result as day by day; meant for backfills.
+    """
     pin_utc(spark)
-    day = resolve_run_date(run_date)
+    first, last = _days(run_date, through)
     results: list[StageResult] = []
     for stage in (bronze, silver, gold):
-        results.append(stage(spark, paths, day))
+        results.append(stage(spark, paths, first, last))
         if results[-1].status.startswith("zero"):
             break
     return results

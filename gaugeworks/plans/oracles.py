@@ -322,4 +322,71 @@ WHERE o_custkey % 2 = 0 AND o_orderstatus = 'F' AND name <> 'other'""",
     "failures_by_stage": f"""
 WITH {STAGES}
 SELECT name AS "ActivityName", count(*) AS "FailureCount" FROM activities WHERE name <> 'other' GROUP BY name""",
+    "bronze_roundtrip": f"""
+WITH {EVENTS}
+SELECT city_id, poll_timestamp, event_type AS source, ingestion_date, dt, temp, humidity, aqi, pm2_5
+FROM sensor_events""",
+    "silver_roundtrip": f"""
+WITH {EVENTS}
+SELECT city_id, {OBSERVED}, ingestion_date, temp, humidity, aqi, pm2_5, pm10 FROM sensor_events
+WHERE temp IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY city_id, ingestion_date, dt ORDER BY poll_timestamp, event_id) = 1""",
+    "quarantine_roundtrip": f"""
+WITH {EVENTS}
+SELECT city_id, poll_timestamp, ingestion_date, aqi, 'missing temp' AS reason FROM sensor_events
+WHERE temp IS NULL""",
+    "rerun_idempotent": f"""
+WITH {EVENTS},
+kept AS (SELECT * FROM sensor_events
+         WHERE temp IS NOT NULL
+         QUALIFY row_number() OVER (PARTITION BY city_id, dt ORDER BY poll_timestamp, event_id) = 1)
+SELECT city_id, ingestion_date AS date, min(temp) AS min_temp, max(temp) AS max_temp, max(aqi) AS max_aqi,
+       CAST(count(*) AS INTEGER) AS observation_count
+FROM kept GROUP BY city_id, ingestion_date""",
+    "gold_merge": f"""
+WITH {EVENTS},
+stored AS (SELECT city_id, ingestion_date AS date, {DAILY} FROM sensor_events GROUP BY ALL),
+again AS (SELECT city_id, ingestion_date AS date, {DAILY} FROM sensor_events
+          WHERE event_type = 'purchase' AND ingestion_date IN (DATE '2024-01-15', DATE '2024-01-16') GROUP BY ALL)
+SELECT city_id, date, avg_temp, max_temp, observation_count FROM again
+UNION ALL
+SELECT city_id, date, avg_temp, max_temp, observation_count FROM stored ANTI JOIN again USING (city_id, date)""",
+    "lake_table": f"""
+WITH {EVENTS}
+SELECT city_id, count(DISTINCT ingestion_date) AS days, max(temp) AS max_temp, count(*) AS observations
+FROM sensor_events WHERE city_id >= 'city_3' GROUP BY city_id""",
+    "lake_view": f"""
+WITH {EVENTS}
+SELECT city_id, count(DISTINCT dt) AS observations, max(first_aqi) AS max_aqi FROM (
+  SELECT city_id, dt, arg_min(aqi, (poll_timestamp, event_id)) AS first_aqi FROM sensor_events
+  WHERE temp IS NOT NULL AND ingestion_date = DATE '2024-01-15' GROUP BY city_id, dt)
+GROUP BY city_id""",
+    "publish_decode": f"""
+WITH {EVENTS}
+SELECT city_id, poll_timestamp, ingestion_date, dt, temp, humidity, aqi, pm2_5, pm10, CAST(NULL AS DOUBLE) AS no2
+FROM sensor_events""",
+    "stream_hopping": f"WITH {EVENTS} {hopping('poll_timestamp')}",
+    "stream_hopping_late": f"WITH {EVENTS}, {LATE} {hopping('late_ts', 'late')}",
+    "stream_alerts": f"""
+WITH {EVENTS}, {SLIDING},
+due AS (SELECT alerts.* FROM alerts JOIN (SELECT city_id, max(poll_timestamp) AS clock FROM sensor_events GROUP BY city_id)
+        USING (city_id) WHERE detected_at <= clock)
+SELECT * FROM due QUALIFY row_number() OVER (PARTITION BY id ORDER BY detected_at DESC) = 1""",
+    "stream_alerts_late": f"""
+WITH {EVENTS.replace('sensor_events AS', 'arriving AS')},
+late AS (SELECT *, greatest(poll_timestamp, arrival_ts - INTERVAL 5 MINUTE) AS late_ts FROM arriving),
+ordered AS ({out_of_order('late_ts', 'late')}),
+sensor_events AS (SELECT city_id, adjusted_timestamp AS poll_timestamp, temp, aqi, pm2_5 FROM ordered),
+{SLIDING},
+due AS (SELECT alerts.* FROM alerts JOIN (SELECT city_id, max(poll_timestamp) AS clock FROM sensor_events GROUP BY city_id)
+        USING (city_id) WHERE detected_at <= clock)
+SELECT * FROM due QUALIFY row_number() OVER (PARTITION BY id ORDER BY detected_at DESC) = 1""",
+    "stream_passthrough": f"""
+WITH {EVENTS} SELECT city_id, poll_timestamp, ingestion_date, dt, temp, aqi, pm10 FROM sensor_events""",
+    "stream_dedup": f"WITH {EVENTS} SELECT city_id, poll_timestamp, temp, humidity, aqi FROM sensor_events",
+    "stream_pairing": f"""
+WITH {EVENTS}
+SELECT 'city_' || (event_id % 100) AS city_id, poll_timestamp, temp, humidity,
+       CASE WHEN humidity % 10 <> 9 THEN aqi END AS aqi, CASE WHEN humidity % 10 <> 9 THEN pm2_5 END AS pm2_5
+FROM sensor_events WHERE event_type IN ('click', 'view')""",
 }

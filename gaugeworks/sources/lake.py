@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -15,38 +14,39 @@ from gaugeworks.schemas import BRONZE, CITIES, CITY, CORRUPT, RESPONSE_LOG, wire
 TOPIC = "weather-events"
 
 
-def _missing(error: AnalysisException) -> bool:
-    return (error.getCondition() or "").startswith("PATH_NOT_FOUND")
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
 
 
 def read_or_none(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """A Parquet folder, or nothing when it has not been written yet."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if _missing(error):
-            return None
-        raise
-
-
-def read_raw_day(spark: SparkSession, root: str, run_date: str | date | None) -> DataFrame | None:
-    """The JSON events of one day's folder as bronze columns, plus the text of any line that does not
-    parse. The date is that of the folder, so an unreadable line keeps its day. ``None`` without a
-    folder."""
-    folder = f"{root.rstrip('/')}/ingestion_date={resolve_run_date(run_date)}/"
-    reader = (
+    if not exists(spark, path):
+        return None
+    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+
+
+def read_raw_days(
+    spark: SparkSession, root: str, first: str | date | None, last: str | date | None = None
+) -> DataFrame | None:
+    """The JSON events in the folders of the days first..last as bronze columns, plus the text of any
+    line that does not parse. The date is that of the folder, so an unreadable line keeps its day.
+    ``None`` without a folder."""
+    low = resolve_run_date(first)
+    high = resolve_run_date(last) if last else low
+    days = [low + timedelta(days=n) for n in range((high - low).days + 1)]
+    folders = [f"{root.rstrip('/')}/ingestion_date={day}" for day in days]
+    folders = [f for f in folders if exists(spark, f)]
+    if not folders:
+        return None
+    lines = (
         spark.read.schema(wire(BRONZE))
         .option("basePath", root)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .json(folders)
     )
-    try:
-        lines = reader.json(folder)
-    except AnalysisException as error:
-        if _missing(error):
-            return None
-        raise
     columns = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in BRONZE.fields]
     return lines.select(*columns, CORRUPT)
 
@@ -62,12 +62,9 @@ def read_days(
     """The days first..last, both included, of a folder partitioned by date; only their partitions
     are read. ``None`` when the folder does not exist."""
     low, high = resolve_run_date(first), resolve_run_date(last or first)
-    try:
-        days = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
-    except AnalysisException as error:
-        if _missing(error):
-            return None
-        raise
+    if not exists(spark, path):
+        return None
+    days = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
     day = F.col(column)
     return days.filter(day == F.lit(low) if low == high else day.between(F.lit(low), F.lit(high)))
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.flatten import to_wire
 from gaugeworks.operators.keep import first_per_key
-from gaugeworks.sources.lake import read_or_none
+from gaugeworks.sources.lake import exists, read_or_none
 
 # A touched-partition list is brought to the driver only up to this many values.
 LISTED_PARTITIONS = 4096
@@ -31,10 +31,41 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str = "ingestion_d
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def replace_days(
+    df: DataFrame, path: str, first: date, last: date, partition: str = "ingestion_date", **counters: Column
+) -> dict[str, int]:
+    """Makes ``df`` the whole content of the days first..last, and counts on the way.
+
+    A day an earlier run had written but ``df`` has no rows for becomes empty. The result holds the
+    number of ``rows`` written and the aggregates given by name; both come out of the writing job.
+    """
+    seen = Observation()
+    counted = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set(partition).alias("_days"),
+        *[c.alias(n) for n, c in counters.items()],
+    )
+    overwrite_partitions(counted, path, partition)
+    result = dict(seen.get)
+    for day in days_of(first, last) - set(result.pop("_days")):
+        clear_day(df, path, day, partition)
+    return result
+
+
+def days_of(first: date, last: date) -> set[date]:
+    return {first + timedelta(days=n) for n in range((last - first).days + 1)}
+
+
+def clear_days(empty: DataFrame, path: str, first: date, last: date, partition: str = "ingestion_date") -> None:
+    for day in days_of(first, last):
+        clear_day(empty, path, day, partition)
+
+
 def clear_day(empty: DataFrame, path: str, day: date, partition: str = "ingestion_date") -> None:
     """Empties one day's partition if an earlier run wrote it."""
     leaf = f"{path.rstrip('/')}/{partition}={day}"
-    if read_or_none(empty.sparkSession, leaf) is not None:
+    if exists(empty.sparkSession, leaf):
         empty.drop(partition).limit(0).write.mode("overwrite").parquet(leaf)
 
 
