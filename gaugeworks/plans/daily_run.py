@@ -58,9 +58,8 @@ def bronze(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day
     lines = raw.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(~readable).alias("unreadable"))
     written = replace_days(lines.filter(readable).drop(CORRUPT), paths.bronze, first, last)
     counters = dict(seen.get) | {"rows_out": written["rows"]}
-    bad = raw.filter(~readable).select(
-        "ingestion_date", F.col(CORRUPT).alias("line"), F.lit("unreadable line").alias("reason")
-    )
+    # All columns are kept: a reader that skips some would not notice what is wrong with them.
+    bad = raw.filter(~readable).withColumnRenamed(CORRUPT, "line").withColumn("reason", F.lit("unreadable line"))
     _set_aside(bad, paths.unreadable, first, last, counters["unreadable"])
     return StageResult("bronze", "written", counters)
 
@@ -73,7 +72,8 @@ def _set_aside(bad: DataFrame, path: str, first: date, last: date, rows: int) ->
 
 
 def silver(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day = None) -> StageResult:
-    """Cleans bronze. Counters come out of the writing job itself."""
+    """Cleans bronze. Counters come out of the writing job itself; ``rows_in`` and ``quarantined`` are
+    taken before the shuffle, where a lost executor can make a repeated task count again."""
     first, last = _days(run_date, through)
     landed = read_days(spark, paths.bronze, first, last)
     if landed is None or landed.isEmpty():
@@ -102,11 +102,9 @@ def gold(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day =
     if history is None or history.filter(F.col("ingestion_date") >= F.lit(first)).isEmpty():
         return StageResult("gold", "zero_rows")
     rows = daily.gold_day(history, first) if first == last else daily.gold_range(history, first, last)
-    merged = Observation()
-    rows = rows.observe(merged, F.count(F.lit(1)).alias("rows_merged"))
     touched = sorted(days_of(first, last))
-    upsert(rows, paths.gold, ["city_id", "date"], "date", cluster=["city_id"], partitions=touched)
-    return StageResult("gold", "merged", dict(merged.get))
+    merged = upsert(rows, paths.gold, ["city_id", "date"], "date", cluster=["city_id"], partitions=touched)
+    return StageResult("gold", "merged", {"rows_merged": merged})
 
 
 def run_daily(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day = None) -> list[StageResult]:

@@ -86,13 +86,14 @@ def upsert(
     newest: list[Column] | None = None,
     cluster: list[str] | None = None,
     partitions: list | None = None,
-) -> None:
+) -> int:
     """MERGE by key: a row replaces the stored one of the same key, others are added, and stored rows
     that ``rows`` lacks stay.
 
     Only the partitions ``rows`` touches are read and rewritten. Stored and new rows are united and
     one per key is kept, new before stored, or the first under ``newest``. The key must determine the
-    partition. One writer per table is assumed.
+    partition. One writer per table is assumed. Returns how many new rows the table now holds, counted
+    in the last step of the write: ranging samples its input, which would count twice before it.
     """
     current = read_or_none(rows.sparkSession, path, rows.schema)
     both = rows.withColumn("_new", F.lit(1))
@@ -102,8 +103,12 @@ def upsert(
         else:
             current = _in_touched_partitions(current, rows, partition)
         both = both.unionByName(current.withColumn("_new", F.lit(0)))
-    merged = first_per_key(both, keys, [*(newest or []), F.col("_new").desc()]).drop("_new")
-    overwrite_partitions(clustered(merged, partition, *(cluster or keys)), path, partition)
+    merged = first_per_key(both, keys, [*(newest or []), F.col("_new").desc()])
+    ranged = clustered(merged, partition, *(cluster or keys))
+    seen = Observation()
+    counted = ranged.observe(seen, F.count_if(F.col("_new") == 1).alias("merged"))
+    overwrite_partitions(counted.drop("_new"), path, partition)
+    return seen.get["merged"]
 
 
 def create_if_absent(df: DataFrame, table: str, partition: str | None = None) -> bool:
