@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # --- Fixed values: payload paths that become columns, or hold some that do ---
@@ -43,41 +46,49 @@ MAPPED_PATHS = (
     "air_pollution.list.components.nh3",
 )
 
-_FIELDS = "MAP<STRING, STRING>"
-DEPTH = 4
-
-
-def _inside(text: Column) -> Column:
-    """The object to look into: the text itself, or the first element of a list."""
-    return F.when(text.startswith("["), F.get_json_object(text, "$[0]")).when(text.startswith("{"), text)
+DEPTH = 6
+UNREADABLE = "(unreadable)"
 
 
-def payload_paths(events: DataFrame, payload: str = "raw_payload_json") -> DataFrame:
-    """(path) for every field of every payload, down to ``DEPTH`` levels.
+def path_counts(events: DataFrame, payload: str = "raw_payload_json") -> DataFrame:
+    """(path, payloads): how many payloads carry each field, down to ``DEPTH`` levels; lists count as
+    their first element, the one events are made from.
 
-    One pass over the payloads: a row that holds an object becomes a finished row for its own path
-    and one row per field inside; finished rows have no text left and pass through.
+    Each payload is parsed once and opened level by level into one row per innermost field. Rows of
+    equal position are counted at once, which leaves about as many as there are kinds of fields; only
+    then are paths spelled out. A path is counted by the row that is first inside it, so it counts
+    once per payload without a distinct.
     """
-    rows = events.select(F.lit("").alias("path"), F.col(payload).alias("text"))
-    for _ in range(DEPTH):
-        fields = F.map_entries(F.from_json(_inside(F.col("text")), _FIELDS))
-        dot = F.when(F.col("path") == "", "").otherwise(".")
-        children = F.transform(
-            fields, lambda f: F.struct(F.concat("path", dot, f["key"]).alias("path"), f["value"].alias("text"))
+    spark = events.sparkSession
+    given = F.col(payload).isNotNull()
+    rows = events.select(F.try_parse_json(payload).alias("_v"), given.alias("_given"))
+    rows = rows.select("_v", (F.col("_given") & F.col("_v").isNull()).alias("_bad"))
+    keys, firsts = [], []
+    for level in range(DEPTH):
+        opened = rows.lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()))
+        first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+        rows = opened.filter(F.col("key").isNotNull() | first).select(
+            "_bad",
+            *keys,
+            *firsts,
+            F.col("key").alias(f"_k{level}"),
+            first.alias(f"_f{level}"),
+            F.col("value").alias("_v"),
         )
-        own = F.array(F.struct(F.col("path"), F.lit(None).cast("string").alias("text")))
-        rows = rows.select(F.explode(F.concat(own, F.coalesce(children, F.array()))).alias("r")).select("r.*")
-    return rows.filter(F.col("path") != "").select("path")
+        keys.append(f"_k{level}")
+        firsts.append(f"_f{level}")
+    counted = rows.groupBy("_bad", *keys, *firsts[1:]).agg(F.count("*").alias("payloads"))
+    paths = [F.when(F.col("_bad"), F.lit(UNREADABLE))]
+    for level in range(DEPTH):
+        counts_here = reduce(and_, map(F.col, firsts[level + 1 :]), F.col(keys[level]).isNotNull())
+        paths.append(F.when(counts_here, F.concat_ws(".", *keys[: level + 1])))
+    spelled = counted.select("payloads", F.explode(F.array(*paths)).alias("path")).filter(F.col("path").isNotNull())
+    return spelled.groupBy("path").agg(F.sum("payloads").alias("payloads"))
 
 
 def unmapped_fields(
     events: DataFrame, payload: str = "raw_payload_json", mapped: tuple[str, ...] = MAPPED_PATHS
 ) -> DataFrame:
     """Paths outside the mapping with the number of payloads that carry them; a field below an
-    unmapped one is listed too. Counting combines ahead of the shuffle."""
-    return (
-        payload_paths(events, payload)
-        .filter(~F.col("path").isin(*mapped))
-        .groupBy("path")
-        .agg(F.count("*").alias("payloads"))
-    )
+    unmapped one is listed too."""
+    return path_counts(events, payload).filter(~F.col("path").isin(*mapped))

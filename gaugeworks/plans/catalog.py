@@ -495,7 +495,7 @@ def finish(stream_query):
 def stream_hopping(spark, sf_dir):
     rolling = work_dir(spark, "rolling")
     stream_in_parts(
-        spark, sf_dir, lambda events, at: jobs.rolling_job(jobs.event_time(events), rolling, at, None, SCALE)
+        spark, sf_dir, lambda events, at: jobs.rolling_job(jobs.event_time(events), rolling, at, None, SCALE, "day")
     )
     return plain_time(lake.read_or_none(spark, rolling).select(*ROLLING.fieldNames()), "window_end_time")
 
@@ -508,7 +508,7 @@ def stream_hopping_late(spark, sf_dir):
         spark,
         sf_dir,
         lambda events, at: jobs.rolling_job(
-            jobs.event_time(events, arrival="arrival_ts"), rolling, at, None, SCALE
+            jobs.event_time(events, arrival="arrival_ts"), rolling, at, None, SCALE, "day"
         ),
         "arrival_ts",
     )

@@ -13,7 +13,7 @@ from gaugeworks.operators import daily, gate
 from gaugeworks.schemas import CORRUPT
 from gaugeworks.session import pin_utc
 from gaugeworks.sources.lake import read_days, read_raw_days
-from gaugeworks.sources.sinks import clear_days, clustered, days_of, replace_days, upsert
+from gaugeworks.sources.sinks import clear_days, days_of, replace_days, upsert
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,10 @@ def silver(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day
         seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(gate.is_incomplete()).alias("quarantined")
     )
     good, _ = gate.split_required(counted)
-    rows = clustered(gate.to_silver(good), "ingestion_date", "city_id", "observation_timestamp")
+    rows = gate.to_silver(good)
+    if first != last:
+        # Otherwise each task would write a file for each day. Large days are split, small ones merged.
+        rows = rows.hint("rebalance", "ingestion_date")
     written = replace_days(rows, paths.silver, first, last)
     counters = dict(seen.get) | {"rows_out": written["rows"]}
     counters["good"] = counters["rows_in"] - counters["quarantined"]

@@ -62,14 +62,20 @@ def rolling_windows(events: DataFrame, time: str = "poll_timestamp", scale: int
     return conform(grouped.withColumn("window_end_time", F.col("window.end")), ROLLING)
 
 
-def upsert_each(path: str, keys: list[str], partition: str, by_day_of: str, newest=None) -> Callable[[DataFrame, int], None]:
-    """A batch handler that merges rows into a table with one partition per day of a time column."""
+PARTITION_FORMATS = {"day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
+
+
+def upsert_each(
+    path: str, keys: list[str], time: str, by: str = "day", partition: str = "period"
+) -> Callable[[DataFrame, int], None]:
+    """A batch handler that merges rows into a table with one partition per day or hour of a time
+    column. A batch rewrites the periods it touches, so a table of many rows per day wants hours."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn(partition, F.to_date(by_day_of)).persist()
+        rows = batch.withColumn(partition, F.date_format(time, PARTITION_FORMATS[by])).persist()
         try:
             if not rows.isEmpty():
-                upsert(rows, path, keys, partition, newest)
+                upsert(rows, path, keys, partition)
         finally:
             rows.unpersist()
 
@@ -77,10 +83,15 @@ def upsert_each(path: str, keys: list[str], partition: str, by_day_of: str, newe
 
 
 def rolling_job(
-    events: DataFrame, table: str, checkpoint: str, every: str | None = ROLLING_TRIGGER, scale: int | None = None
+    events: DataFrame,
+    table: str,
+    checkpoint: str,
+    every: str | None = ROLLING_TRIGGER,
+    scale: int | None = None,
+    by: str = "hour",
 ) -> StreamingQuery:
     """Keeps the table of rolling averages up to date; a window changes until its time has passed."""
-    handle = upsert_each(table, ["city_id", "window_end_time"], "window_date", "window_end_time")
+    handle = upsert_each(table, ["city_id", "window_end_time"], "window_end_time", by)
     return start(rolling_windows(events, scale=scale), checkpoint, handle, "update", every, "rolling_averages")
 
 

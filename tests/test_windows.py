@@ -144,8 +144,6 @@ def test_sliding_equals_brute_force_with_a_hot_city(readings, splits):
     found = {
         (r.city_id, r.at, r.hi, r.lo, r.air, r.n, None if r.avg is None else round(r.avg, 9)) for r in got.collect()
     }
-    def known(r):
-        return r[3]
     want = set()
     for city, t, hi, lo, air, n, total in brute_force(rows):
         airs = [r for r in rows if r[0] == city and t - 15 * MINUTE < r[1] <= t and r[3] is not None]
