@@ -137,8 +137,9 @@ def folder_stream(
     return reader.load(path)
 
 
-def decode(records: DataFrame, schema: StructType) -> DataFrame:
-    """The JSON body of (key, value) records as columns."""
+def decode(records: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The JSON body of (key, value) records as columns, with record columns to ``keep`` beside them,
+    such as the broker's ``timestamp``, which is the time of arrival."""
     body = F.from_json(F.col("value").cast("string"), wire(schema, corrupt=False))
-    events = records.select(body.alias("event")).select("event.*")
-    return events.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    events = records.select(body.alias("event"), *keep).select("event.*", *keep)
+    return events.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], *keep)

@@ -11,6 +11,9 @@ from gaugeworks.operators.flatten import to_wire
 from gaugeworks.operators.keep import first_per_key
 from gaugeworks.sources.lake import exists, read_or_none
 
+# --- Fixed value: partitions of the event topic ---
+TOPIC_PARTITIONS = 4
+
 # A touched-partition list is brought to the driver only up to this many values.
 LISTED_PARTITIONS = 4096
 
@@ -120,14 +123,23 @@ def create_if_absent(df: DataFrame, table: str, partition: str | None = None) ->
     return True
 
 
-def publish(events: DataFrame, target: str, servers: str | None = None) -> None:
-    """Events as keyed JSON records, to a broker topic or, without one, appended to a folder. All of a
-    city's events go to one partition, in the order of their poll."""
+def publish(
+    events: DataFrame, target: str, servers: str | None = None, in_order: bool = False, time: str = "poll_timestamp"
+) -> None:
+    """Events as keyed JSON records, to a broker topic or, without one, appended to a folder.
+
+    The key is the city, so a city's events share a partition. ``in_order`` also sends each city's
+    events from one task, oldest first: right for the few events of a poll cycle, not for a history in
+    which one city may hold most rows. Consumers go by event time either way.
+    """
+    if in_order:
+        events = events.repartition("city_id").sortWithinPartitions(time)
     records = to_wire(events)
     if servers:
         records.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", target).save()
     else:
-        records.write.mode("append").parquet(target)
+        partition = F.pmod(F.xxhash64("key"), F.lit(TOPIC_PARTITIONS)).cast("int")
+        records.withColumn("partition", partition).write.mode("append").parquet(target)
 
 
 def versions(spark, table: str) -> DataFrame:

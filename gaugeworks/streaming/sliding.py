@@ -20,7 +20,15 @@ from gaugeworks.operators.alerts import ALERT_STATS, ALERT_WINDOW, AnomalyRule
 from gaugeworks.operators.windows import adjust_late, adjust_out_of_order, sliding
 from pyspark.sql.types import StructField, StructType
 from gaugeworks.sources.sinks import upsert
-from gaugeworks.streaming.jobs import ALERT_TRIGGER, LATE_TOLERANCE, start
+from gaugeworks.streaming.jobs import (
+    ALERT_TRIGGER,
+    LATE_TOLERANCE,
+    ROLLING_TRIGGER,
+    event_time,
+    passthrough_job,
+    rolling_job,
+    start,
+)
 
 # --- Fixed value: how far events of a city may be out of order ---
 ORDER_TOLERANCE = "30 seconds"
@@ -113,3 +121,18 @@ def alerts_job(
     events: DataFrame, handler: SlidingAlerts, checkpoint: str, every: str | None = ALERT_TRIGGER
 ) -> StreamingQuery:
     return start(events, checkpoint, handler, "append", every, "anomaly_alerts")
+
+
+def start_all(
+    events: DataFrame, root: str, arrival: str | None = None, every: dict[str, str | None] | None = None
+) -> list[StreamingQuery]:
+    """The three queries over one stream of bronze events, with tables and checkpoints below ``root``:
+    rolling averages, anomaly alerts, and the raw events the daily batch starts from."""
+    every = {"rolling": ROLLING_TRIGGER, "alerts": ALERT_TRIGGER, "raw": ALERT_TRIGGER} | (every or {})
+    root = root.rstrip("/")
+    handler = SlidingAlerts(f"{root}/alerts", f"{root}/alert_memory", arrival=arrival)
+    return [
+        rolling_job(event_time(events, arrival=arrival), f"{root}/rolling", f"{root}/checkpoints/rolling", every["rolling"]),
+        alerts_job(events, handler, f"{root}/checkpoints/alerts", every["alerts"]),
+        passthrough_job(events, f"{root}/raw", f"{root}/checkpoints/raw", every["raw"]),
+    ]

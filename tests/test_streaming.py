@@ -120,22 +120,26 @@ def test_passthrough_keeps_every_column(spark, folder):
     assert (raw.city_id, raw.poll_timestamp, str(raw.ingestion_date)) == ("a", at(0), "2024-03-01")
 
 
-def test_several_queries_over_one_stream(spark, folder, readings):
-    sinks.publish(readings([("a", at(0), 1.0, 5), ("a", at(1), 1.0, 5)]), folder("topic"))
-
-    def stream():
-        return lake.decode(lake.folder_stream(spark, folder("topic")), STREAM_EVENT)
-
-    handler = sliding.SlidingAlerts(folder("alerts"), folder("memory"))
-    running = [
-        jobs.rolling_job(jobs.event_time(stream()), folder("rolling"), folder("c1"), None),
-        sliding.alerts_job(stream(), handler, folder("c2"), None),
-        jobs.console(stream().select("city_id"), folder("c3")),
-    ]
+def test_several_queries_over_one_stream(spark, folder):
+    event = spark.createDataFrame([("a", at(0), 1.0, 5), ("a", at(1), 1.0, 5)], "city_id STRING, poll_timestamp TIMESTAMP, temp DOUBLE, aqi INT")
+    event = event.withColumn("ingestion_date", F.to_date("poll_timestamp"))
+    event = event.withColumns({f.name: F.lit(None).cast(f.dataType) for f in BRONZE.fields if f.name not in event.columns})
+    sinks.publish(event, folder("topic"), in_order=True)
+    records = lake.folder_stream(spark, folder("topic"))
+    once = {"rolling": None, "alerts": None, "raw": None}
+    running = sliding.start_all(lake.decode(records, BRONZE, keep=("key",)), folder("lake"), every=once)
+    running.append(jobs.console(records.select("key"), folder("c3")))
     jobs.await_any(spark, 60)
     for query in running:
         query.awaitTermination()
         assert query.exception() is None
     spark.streams.resetTerminated()
-    assert spark.read.parquet(folder("alerts")).count() == 2
-    assert spark.read.parquet(folder("rolling")).count() == 5
+    assert spark.read.parquet(folder("lake/alerts")).count() == 2
+    assert spark.read.parquet(folder("lake/rolling")).count() == 5
+    assert lake.read_raw_days(spark, folder("lake/raw"), "2024-03-01").count() == 2
+
+
+def test_city_stays_in_one_partition(spark, folder, readings):
+    sinks.publish(readings([(c, at(n), 1.0, 1) for c in "abcdefgh" for n in range(3)]), folder("topic"))
+    per_city = spark.read.parquet(folder("topic")).groupBy("key").agg(F.count_distinct("partition").alias("n"))
+    assert {r.n for r in per_city.collect()} == {1} and per_city.count() == 8
