@@ -1,7 +1,8 @@
 """Time windows per sensor: hopping, tumbling, sliding, and the two event-time adjustments.
 
-Raw rows are aggregated once into small time slices (panes) before anything is multiplied over
-windows or shuffled again, so a sensor that sends a third of all rows collapses on the map side.
+Raw rows are aggregated on the map side, per window or per small time slice (pane), before they are
+shuffled, and no task is ever given all rows of a sensor: one that sends a third of the data is
+spread over windows, panes or spans of time like the rest.
 """
 
 from __future__ import annotations
@@ -9,13 +10,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import gcd
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.stats import Stat, combine, merged_parts, part_columns, raw_parts, results
 from gaugeworks.functions.times import as_time, epoch_micros, floor_to, micros
 
 
+# Up to so many windows per event, rows are multiplied by the built-in window and combined on the map
+# side right away, in one shuffle. Beyond it, panes are aggregated first and multiplied after that.
+MULTIPLIED_ROWS = 8
+
+
 def hopping(
     df: DataFrame,
     time: str,
@@ -30,21 +36,29 @@ def hopping(
 
     ``closed="left"`` takes events in [start, end), ``"right"`` those in (start, end].
     """
-    size, slide = micros(size), micros(slide)
+    at = F.col(time) - F.expr("INTERVAL 1 MICROSECOND") if closed == "right" else F.col(time)
+    if micros(slide) <= micros(size) <= MULTIPLIED_ROWS * micros(slide):
+        windows = df.groupBy(*keys, F.window(at, size, slide).alias("_window")).agg(*raw_parts(stats))
+        return windows.select(*keys, *results(stats), F.col("_window.end").alias(end))
+    return _hopping_by_panes(df, at, time, micros(size), micros(slide), keys, stats, end)
+
+
+def _hopping_by_panes(df, at: Column, time: str, size: int, slide: int, keys, stats, end: str) -> DataFrame:
     pane = gcd(size, slide)
-    t = epoch_micros(time) - (1 if closed == "right" else 0)
-    panes = df.groupBy(*keys, floor_to(t, pane).alias("_pane")).agg(*raw_parts(stats))
-    if size == slide:
-        windows = panes.withColumnRenamed("_pane", "_start")
-    else:
-        x = F.col("_pane")
-        first, last = floor_to(x - size, slide) + slide, floor_to(x, slide)
-        windows = (
-            panes.filter(first <= last)
-            .withColumn("_start", F.explode(F.sequence(first, last, F.lit(slide).cast("long"))))
-            .groupBy(*keys, "_start")
-            .agg(*merged_parts(stats))
-        )
+    panes = (
+        df.filter(F.col(time).isNotNull())
+        .groupBy(*keys, floor_to(epoch_micros(at), pane).alias("_pane"))
+        .agg(*raw_parts(stats))
+    )
+    x = F.col("_pane")
+    first, last = floor_to(x - size, slide) + slide, floor_to(x, slide)
+    if slide > size:
+        panes = panes.filter(first <= last)  # panes in the gap between two windows
+    windows = (
+        panes.withColumn("_start", F.explode(F.sequence(first, last, F.lit(slide).cast("long"))))
+        .groupBy(*keys, "_start")
+        .agg(*merged_parts(stats))
+    )
     return windows.select(*keys, *results(stats), as_time(F.col("_start") + size, df, time).alias(end))
 
 

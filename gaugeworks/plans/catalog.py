@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -431,11 +432,14 @@ def lake_table(spark, sf_dir):
     path = work_dir(spark, "clustered")
     gold = daily.gold_range(sensor_events(spark, sf_dir), "2024-01-01", "2024-01-30", SCALE)
     sinks.clustered(gold, "city_id", "date").write.parquet(path)
-    lake.external_table(spark, "gold_city_daily_stats", path, GOLD)
-    return spark.sql(
+    name = f"gold_city_daily_stats_{uuid.uuid4().hex}"
+    lake.external_table(spark, name, path, GOLD)
+    answer = spark.sql(
         "SELECT city_id, count(*) AS days, max(max_temp) AS max_temp, sum(observation_count) AS observations "
-        "FROM gold_city_daily_stats WHERE city_id >= 'city_3' GROUP BY city_id"
+        f"FROM {name} WHERE city_id >= 'city_3' GROUP BY city_id"
     )
+    spark.sql(f"DROP TABLE {name}")
+    return answer
 
 
 @query

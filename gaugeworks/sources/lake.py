@@ -95,8 +95,10 @@ def external_table(
     fmt: str = "parquet",
     partitioned_by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """A table with declared columns over existing files, replacing one of the same name; the files
-    stay when the table goes."""
+    """A table with declared columns over existing files, replacing an external one of the same name;
+    the files stay when the table goes."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "EXTERNAL":
+        raise ValueError(f"{name} holds its own data and is not replaced")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitions = f"PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -72,13 +72,18 @@ def clear_day(empty: DataFrame, path: str, day: date, partition: str = "ingestio
         empty.drop(partition).limit(0).write.mode("overwrite").parquet(leaf)
 
 
-def _in_touched_partitions(current: DataFrame, rows: DataFrame, partition: str) -> DataFrame:
-    touched = rows.select(partition).distinct()
-    listed = [r[0] for r in touched.limit(LISTED_PARTITIONS + 1).collect()]
-    if len(listed) > LISTED_PARTITIONS:
-        return current.join(touched, current[partition].eqNullSafe(touched[partition]), "left_semi")
-    known = F.col(partition).isin([v for v in listed if v is not None])
-    return current.filter(known | F.col(partition).isNull() if None in listed else known)
+def _touched(rows: DataFrame, partition: str) -> list | None:
+    """The partitions ``rows`` falls in, or ``None`` when they are too many to list."""
+    listed = [r[0] for r in rows.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+    return listed if len(listed) <= LISTED_PARTITIONS else None
+
+
+def _only_partitions(current: DataFrame, rows: DataFrame, partition: str, values: list | None) -> DataFrame:
+    if values is None:
+        touched = rows.select(F.col(partition).alias("_touched")).distinct()
+        return current.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+    known = F.col(partition).isin([v for v in values if v is not None])
+    return current.filter(known | F.col(partition).isNull() if None in values else known)
 
 
 def upsert(
@@ -97,15 +102,17 @@ def upsert(
     one per key is kept, new before stored, or the first under ``newest``. The key must determine the
     partition. One writer per table is assumed. Returns how many new rows the table now holds, counted
     in the last step of the write: ranging samples its input, which would count twice before it.
+    ``rows`` is read more than once unless ``partitions`` says which ones it touches.
     """
+    if partitions is None:
+        partitions = _touched(rows, partition)
+        if partitions == []:
+            return 0
     current = read_or_none(rows.sparkSession, path, rows.schema)
     both = rows.withColumn("_new", F.lit(1))
     if current is not None:
-        if partitions is not None:
-            current = current.filter(F.col(partition).isin(partitions))
-        else:
-            current = _in_touched_partitions(current, rows, partition)
-        both = both.unionByName(current.withColumn("_new", F.lit(0)))
+        stored = _only_partitions(current, rows, partition, partitions)
+        both = both.unionByName(stored.withColumn("_new", F.lit(0)))
     merged = first_per_key(both, keys, [*(newest or []), F.col("_new").desc()])
     ranged = clustered(merged, partition, *(cluster or keys))
     seen = Observation()

@@ -12,7 +12,7 @@ from gaugeworks.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "local[4]", app="gaugeworks-tests", spark__sql__shuffle__partitions=4, spark__default__parallelism=4
+        "local[4]", app="gaugeworks-tests", spark__sql__shuffle__partitions=3, spark__default__parallelism=3
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
