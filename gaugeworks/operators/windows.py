@@ -221,26 +221,28 @@ def adjust_out_of_order(
         .agg(F.max(epoch_micros(time)).alias("_max"), F.min(epoch_micros(time)).alias("_min"))
         .withColumn("_span", floor_to(F.col("_arrived"), width))
     )
-    spans = instants.groupBy(*keys, "_span").agg(F.max("_max").alias("_max"))
+    # Both uses of the instants need the same columns, so that Spark computes them once.
+    spans = instants.groupBy(*keys, "_span").agg(F.max("_max").alias("_max"), F.min("_min").alias("_min"))
     if seen is not None:
-        spans = spans.unionByName(seen.select(*keys, F.lit(-(2**62)).alias("_span"), F.col("_seen").alias("_max")))
+        before_all = seen.select(*keys, F.lit(-(2**62)).alias("_span"), F.col("_seen").alias("_max"))
+        spans = spans.unionByName(before_all.withColumn("_min", F.col("_max")))
     earlier_spans = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     carried = spans.select(
         *keys,
         F.col("_span").alias("_arrived"),
         F.max("_max").over(earlier_spans).alias("_max"),
-        F.lit(None).cast("long").alias("_min"),
+        "_min",
         "_span",
+        F.lit(False).alias("_real"),
     )
     before = (
-        Window.partitionBy(*keys, "_span")
-        .orderBy("_arrived", F.col("_min").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys, "_span").orderBy("_arrived", "_real").rowsBetween(Window.unboundedPreceding, -1)
     )
     moved = (
-        instants.unionByName(carried.filter(F.col("_max").isNotNull()))
+        instants.withColumn("_real", F.lit(True))
+        .unionByName(carried)
         .withColumn("_limit", F.max("_max").over(before) - tolerance)
-        .filter(F.col("_limit") > F.col("_min"))
+        .filter(F.col("_real") & (F.col("_limit") > F.col("_min")))
         .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_arrived").alias("_k_arrived"), "_limit")
     )
     same = epoch_micros(arrival) == F.col("_k_arrived")

@@ -71,6 +71,18 @@ def test_order_adjustment_moves_one_row_per_instant(stored):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_instants_are_computed_once(stored):
+    # The newest events arrive first, so that older ones have to be moved.
+    events = stored.withColumn("arrival_ts", F.timestamp_seconds(F.lit(2 * 10**9) - F.unix_seconds("poll_timestamp")))
+    for frame, scans in (
+        (windows.adjust_out_of_order(events, "poll_timestamp", "arrival_ts", ["city_id"]), 2),
+        (alerts.anomaly_alerts(stored), 1),
+    ):
+        frame.collect()
+        final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("FileScan") == scans and "ReusedExchange" in final
+
+
 def test_aggregates_hash_rather_than_sort(spark, stored):
     empty = spark.createDataFrame([], RESPONSE_LOG)
     frames = (
