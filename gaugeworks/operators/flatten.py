@@ -47,10 +47,16 @@ def with_city(df: DataFrame, cities: DataFrame) -> DataFrame:
     return df.join(named, "city_id", "left")
 
 
+def is_no_json(corrupt: str) -> Column:
+    """Whether a corrupt-record column holds text that is not JSON, rather than a value of a wrong type."""
+    return F.col(corrupt).isNotNull() & F.try_parse_json(corrupt).isNull()
+
+
 def parse_payloads(paired: DataFrame) -> DataFrame:
     """Adds the parsed payloads, and ``malformed`` with the name of an unreadable one.
 
-    The one-element explode keeps later filters on the parsed payload above the parsing; pushed below
+    A field of the wrong type is null and the rest of its payload stays; only text that is no JSON at
+    all is malformed, which is looked into just for payloads that did not parse cleanly. The one-element explode keeps later filters on the parsed payload above the parsing; pushed below
     it they would parse every payload a second time.
     """
     both = F.struct(
@@ -60,9 +66,7 @@ def parse_payloads(paired: DataFrame) -> DataFrame:
     parsed = paired.withColumn("_p", F.explode(F.array(both))).select(*paired.columns, "_p._w", "_p._a")
     return parsed.withColumn(
         "malformed",
-        F.when(F.col("_w._corrupt").isNotNull(), F.lit("weather")).when(
-            F.col("_a._corrupt").isNotNull(), F.lit("air_pollution")
-        ),
+        F.when(is_no_json("_w._corrupt"), F.lit("weather")).when(is_no_json("_a._corrupt"), F.lit("air_pollution")),
     )
 
 

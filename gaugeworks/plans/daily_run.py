@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.times import resolve_run_date, trailing_start
 from gaugeworks.operators import daily, gate
+from gaugeworks.operators.flatten import is_no_json
 from gaugeworks.schemas import CORRUPT
 from gaugeworks.session import pin_utc
 from gaugeworks.sources.lake import read_days, read_raw_days
@@ -47,13 +48,14 @@ def _days(run_date: Day, through: Day) -> tuple[date, date]:
 
 
 def bronze(spark: SparkSession, paths: Paths, run_date: Day = None, through: Day = None) -> StageResult:
-    """Lands raw events as Parquet. Unreadable lines go to a folder of their own, under the same day;
-    they cost a second scan only when there are any."""
+    """Lands raw events as Parquet. A value of the wrong type is null, its event stays. Lines that are no
+    JSON go to a folder of their own, under the same day; they cost a second scan only when there are
+    any."""
     first, last = _days(run_date, through)
     raw = read_raw_days(spark, paths.raw, first, last)
     if raw is None or raw.isEmpty():
         return StageResult("bronze", "zero_events")
-    readable = F.col(CORRUPT).isNull()
+    readable = ~is_no_json(CORRUPT)
     seen = Observation()
     lines = raw.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(~readable).alias("unreadable"))
     written = replace_days(lines.filter(readable).drop(CORRUPT), paths.bronze, first, last)

@@ -354,7 +354,7 @@ SELECT city_id, date, avg_temp, max_temp, observation_count FROM stored ANTI JOI
     "lake_table": f"""
 WITH {EVENTS}
 SELECT city_id, count(DISTINCT ingestion_date) AS days, max(temp) AS max_temp, count(*) AS observations
-FROM sensor_events WHERE city_id >= 'city_3' GROUP BY city_id""",
+FROM sensor_events GROUP BY city_id""",
     "lake_view": f"""
 WITH {EVENTS}
 SELECT city_id, count(DISTINCT dt) AS observations, max(first_aqi) AS max_aqi FROM (

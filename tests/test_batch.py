@@ -68,6 +68,7 @@ def test_flatten_edge_payloads(flat):
         nolon=(WEATHER | {"coord": {"lat": 8.0}}, AIR),
         sky=(WEATHER | {"weather": [], "main": None}, {"list": []}),
         comp=(WEATHER | {"brand_new": {"a": 1}}, {"list": [{"main": None, "components": None}]}),
+        typed=(WEATHER | {"visibility": "n/a", "wind": {"speed": "calm", "deg": 7}}, AIR),
         text=("<html>bad gateway</html>", AIR),
         cut=(WEATHER, '{"list": [{'),
     )
@@ -79,6 +80,8 @@ def test_flatten_edge_payloads(flat):
     }
     assert (events["sky"].weather_main, events["sky"].temp, events["sky"].aqi) == (None, None, None)
     assert (events["comp"].aqi, events["comp"].pm10) == (None, None)
+    typed = events["typed"]
+    assert (typed.visibility, typed.wind_speed, typed.wind_deg, typed.temp, typed.aqi) == (None, None, 7, 29.0, 4)
     assert "brand_new" in events["comp"].raw_payload_json
     assert {(r.city_id, r.reason) for r in bad} == {
         ("text", "unreadable payload: weather"),
@@ -203,7 +206,7 @@ def test_daily_run_and_rerun(spark, folder):
         ("a", at(0), 600, 10.0, 2), ("a", at(5), 1200, 20.0, 4), ("a", at(6), 1200, 20.0, 4),
         ("b", at(0), 600, 5.0, 1), ("c", at(0), 600, None, 1),
     ]
-    write_raw(spark, paths, rows, extra_lines=["{not json", '{"city_id": "d", "aqi": 4.0, "temp": 1.5, "dt": 600}'])
+    write_raw(spark, paths, rows, extra_lines=["{not json", '{"city_id": "d", "aqi": 4.0, "temp": 1.5, "dt": 600, "visibility": "n/a"}'])
     results = daily_run.run_daily(spark, paths, DAY)
     assert [(r.stage, r.status) for r in results] == [("bronze", "written"), ("silver", "written"), ("gold", "merged")]
     assert results[0].counters == {"rows_in": 7, "unreadable": 1, "rows_out": 6}
@@ -298,6 +301,13 @@ def test_upsert_cases(spark, folder):
     assert put(rows(("a", DAY, 3), ("b", other, 3)))[-1] == ("c", DAY, 2)
 
 
+def test_append_adds_to_a_partition(spark, folder):
+    frame = spark.createDataFrame([("a", DAY)], "city_id STRING, ingestion_date DATE")
+    sinks.append(frame, folder("t"))
+    sinks.append(frame, folder("t"))
+    assert lake.read_days(spark, folder("t"), DAY).count() == 2
+
+
 def test_upsert_beyond_the_listed_partitions(spark, folder, monkeypatch):
     monkeypatch.setattr(sinks, "LISTED_PARTITIONS", 1)
     table = folder("t")
