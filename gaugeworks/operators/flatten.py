@@ -56,7 +56,9 @@ def parse_payloads(paired: DataFrame) -> DataFrame:
     """Adds the parsed payloads, and ``malformed`` with the name of an unreadable one.
 
     A field of the wrong type is null and the rest of its payload stays; only text that is no JSON at
-    all is malformed, which is looked into just for payloads that did not parse cleanly. The one-element explode keeps later filters on the parsed payload above the parsing; pushed below
+    all is malformed, which is looked into just for payloads that did not parse cleanly.
+
+    The one-element explode keeps later filters on the parsed payload above the parsing; pushed below
     it they would parse every payload a second time.
     """
     both = F.struct(

@@ -119,7 +119,10 @@ def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
         chosen = F.col("event_type") == kind
         attempts = F.when(chosen, F.array(*rows)) if attempts is None else attempts.when(chosen, F.array(*rows))
-    failed = F.concat(F.lit('{"cod":'), F.col("c.status").cast("string"), F.lit(',"message":"'), F.repeat(F.lit("no "), 90), F.lit('"}'))
+    message = F.repeat(F.lit("no "), 90)
+    failed = F.concat(
+        F.lit('{"cod":'), F.col("c.status").cast("string"), F.lit(',"message":"'), message, F.lit('"}')
+    )
     body = (
         F.when((F.col("c.status") == 200) & (F.col("c.endpoint") == "weather"), weather_text())
         .when(F.col("c.status") == 200, air_text())

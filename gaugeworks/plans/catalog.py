@@ -488,6 +488,11 @@ def stream_in_parts(spark, sf_dir, start_job, order="poll_timestamp"):
         finish(start_job(lake.decode(lake.folder_stream(spark, topic), schema), checkpoint))
 
 
+def state_partitions(spark):
+    """State in as many partitions as there are cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 def finish(stream_query):
     stream_query.awaitTermination()
     error = stream_query.exception()
@@ -499,7 +504,11 @@ def finish(stream_query):
 def stream_hopping(spark, sf_dir):
     rolling = work_dir(spark, "rolling")
     stream_in_parts(
-        spark, sf_dir, lambda events, at: jobs.rolling_job(jobs.event_time(events), rolling, at, None, SCALE, "day")
+        spark,
+        sf_dir,
+        lambda events, at: jobs.rolling_job(
+            jobs.event_time(events), rolling, at, None, SCALE, "day", state_partitions(spark)
+        ),
     )
     return plain_time(lake.read_or_none(spark, rolling).select(*ROLLING.fieldNames()), "window_end_time")
 
@@ -512,7 +521,7 @@ def stream_hopping_late(spark, sf_dir):
         spark,
         sf_dir,
         lambda events, at: jobs.rolling_job(
-            jobs.event_time(events, arrival="arrival_ts"), rolling, at, None, SCALE, "day"
+            jobs.event_time(events, arrival="arrival_ts"), rolling, at, None, SCALE, "day", state_partitions(spark)
         ),
         "arrival_ts",
     )
@@ -558,7 +567,8 @@ def stream_dedup(spark, sf_dir):
     sinks.publish(events.unionByName(events), topic)
     decoded = lake.decode(lake.folder_stream(spark, topic), BRONZE)
     once = jobs.without_duplicates(decoded, ("city_id", "poll_timestamp", "temp", "pm2_5", "humidity"))
-    finish(jobs.start(once, work_dir(spark, "checkpoint"), fmt="parquet", path=folder))
+    checkpoint, parts = work_dir(spark, "checkpoint"), state_partitions(spark)
+    finish(jobs.start(once, checkpoint, state_partitions=parts, fmt="parquet", path=folder))
     rows = spark.read.schema(BRONZE).parquet(folder)
     return plain_time(rows.select("city_id", "poll_timestamp", "temp", "humidity", "aqi"), "poll_timestamp")
 
@@ -578,7 +588,8 @@ def stream_pairing(spark, sf_dir):
     columns = "cycle_id BIGINT, city_id STRING, {} STRING, {} TIMESTAMP"
     weather = lake.folder_stream(spark, topics["weather"], columns.format("weather", "weather_at"))
     air = lake.folder_stream(spark, topics["air_pollution"], columns.format("air_pollution", "air_at"))
-    finish(jobs.start(jobs.paired_payloads(weather, air), work_dir(spark, "checkpoint"), fmt="parquet", path=folder))
+    pairs, parts = jobs.paired_payloads(weather, air), state_partitions(spark)
+    finish(jobs.start(pairs, work_dir(spark, "checkpoint"), state_partitions=parts, fmt="parquet", path=folder))
     events = flatten.flatten(spark.read.parquet(folder))
     return plain_time(
         events.select("city_id", "poll_timestamp", "temp", "humidity", "aqi", "pm2_5"), "poll_timestamp"

@@ -30,9 +30,23 @@ def start(
     mode: str = "append",
     every: str | None = None,
     name: str | None = None,
+    state_partitions: int | None = None,
     **sink,
 ) -> StreamingQuery:
-    """Starts a query. Without ``every`` it handles what is available and stops."""
+    """Starts a query. Without ``every`` it handles what is available and stops.
+
+    ``state_partitions`` is the number of partitions its state is kept in; a checkpoint keeps the
+    number it began with. A query takes its settings when it starts, so the session's own number is
+    put back right after.
+    """
+    if state_partitions:
+        spark, setting = df.sparkSession, "spark.sql.shuffle.partitions"
+        usual = spark.conf.get(setting)
+        spark.conf.set(setting, state_partitions)
+        try:
+            return start(df, checkpoint, each_batch, mode, every, name, **sink)
+        finally:
+            spark.conf.set(setting, usual)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.queryName(name) if name else writer
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -88,10 +102,12 @@ def rolling_job(
     every: str | None = ROLLING_TRIGGER,
     scale: int | None = None,
     by: str = "hour",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keeps the table of rolling averages up to date; a window changes until its time has passed."""
     handle = upsert_each(table, ["city_id", "window_end_time"], "window_end_time", by)
-    return start(rolling_windows(events, scale=scale), checkpoint, handle, "update", every, "rolling_averages")
+    windows = rolling_windows(events, scale=scale)
+    return start(windows, checkpoint, handle, "update", every, "rolling_averages", state_partitions)
 
 
 def passthrough_job(events: DataFrame, folder: str, checkpoint: str, every: str | None = ALERT_TRIGGER) -> StreamingQuery:

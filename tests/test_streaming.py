@@ -6,7 +6,7 @@ from conftest import at
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import alerts, windows
-from gaugeworks.schemas import ALERT, BRONZE, ROLLING, STREAM_EVENT
+from gaugeworks.schemas import ALERT, BRONZE, ROLLING
 from gaugeworks.sources import lake, sinks
 from gaugeworks.streaming import jobs, sliding
 

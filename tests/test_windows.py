@@ -37,10 +37,20 @@ def test_hopping_closed_side(readings):
     assert sorted(right) == [at(m) for m in (10, 12, 14, 16, 18)]
 
 
-@pytest.mark.parametrize("size,slide", [("10 minutes", "2 minutes"), ("10 minutes", "4 minutes"), ("20 minutes", "2 minutes"), ("31 minutes", "3 minutes"), ("3 minutes", "5 minutes")])
+@pytest.mark.parametrize(
+    "size,slide",
+    [
+        ("10 minutes", "2 minutes"),
+        ("10 minutes", "4 minutes"),
+        ("20 minutes", "2 minutes"),
+        ("31 minutes", "3 minutes"),
+        ("3 minutes", "5 minutes"),
+    ],
+)
 def test_hopping_equals_native_windows(spark, readings, size, slide):
     rng = random.Random(1)
-    events = readings([(rng.choice("ab"), at(0, rng.randrange(7200), rng.randrange(10**6)), rng.random(), 1) for _ in range(300)])
+    times = [at(0, rng.randrange(7200), rng.randrange(10**6)) for _ in range(300)]
+    events = readings([(rng.choice("ab"), t, rng.random(), 1) for t in times])
     stats = [minimum("temp", "lo"), maximum("temp", "hi"), count("n")]
     ours = windows.hopping(events, "poll_timestamp", size, slide, ["city_id"], stats, end="end")
     if size == "3 minutes":
