@@ -5,10 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import bpe
+from gaugeworks.llm import bpe, knn, pages, privacy, shards
 from gaugeworks.llm.common import read
 
 
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards by balanced label propagation."""
+    return shards.assign(read(spark, sf_dir, "documents"))
+
+
+def op4_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best other vectors of every hundredth vector."""
+    return knn.search(read(spark, sf_dir, "embeddings"))
+
+
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.texts(read(spark, sf_dir, "pages"))
+
+
+def op6_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and terms that reveal it in every document."""
+    return privacy.digests(read(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every document, and back."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -16,7 +36,27 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_shards": op3_shards,
+    "op4_voronoi_knn": op4_voronoi_knn,
+    "op5_main_text": op5_main_text,
+    "op6_privacy": op6_privacy,
     "op7_byte_bpe": op7_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_voronoi_knn": """
+        WITH good AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+                CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(d.v AS DOUBLE[])) AS BIGINT) AS score
+            FROM good q JOIN good d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}

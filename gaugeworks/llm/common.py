@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+from functools import cache
+from pathlib import Path
+
 import numpy as np
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.session import work_dir
 
 
+@cache
+def ship(context: SparkContext) -> None:
+    """Sends this package to the executors, once for an application, as --py-files does."""
+    package = Path(__file__).resolve().parents[1]
+    folder = tempfile.mkdtemp()  # the driver's own; executors fetch the archive from the driver
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, whole."""
+    ship(spark.sparkContext)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
