@@ -21,7 +21,7 @@ BITS = 8
 WORD = 1 << BITS
 #: Distinct pre-tokens and distinct space-separated chunks whose ids a worker remembers. A full memory
 #: begins anew; results stay the same.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 #: Longer ones are not remembered.
 LONGEST_REMEMBERED = 40
 
