@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import bpe, knn, pages, privacy, shards
+from gaugeworks.llm import bpe, knn, pages, privacy, shards, similar
 from gaugeworks.llm.common import read
 
 
@@ -35,12 +35,18 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose three-word shingles agree by nine tenths."""
+    return similar.groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_shards": op3_shards,
     "op4_voronoi_knn": op4_voronoi_knn,
     "op5_main_text": op5_main_text,
     "op6_privacy": op6_privacy,
     "op7_byte_bpe": op7_byte_bpe,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
