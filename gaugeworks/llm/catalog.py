@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import bpe, knn, pages, privacy, shards, similar
+from gaugeworks.llm import benchmarks, bpe, knn, pages, privacy, shards, similar
 from gaugeworks.llm.common import read
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in documents, with similarity and place."""
+    return benchmarks.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards by balanced label propagation."""
     return shards.assign(read(spark, sf_dir, "documents"))
@@ -41,6 +46,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_shards": op3_shards,
     "op4_voronoi_knn": op4_voronoi_knn,
     "op5_main_text": op5_main_text,
