@@ -13,6 +13,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks.llm.common import text_of
 
@@ -172,7 +173,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     is shuffled.
     """
     kept = docs.drop("token_ids", "decoded")
-    schema = kept.schema.add("token_ids", "array<int>").add("decoded", "binary")
+    more = T.StructType().add("token_ids", "array<int>").add("decoded", "binary")
+    schema = T.StructType([*kept.schema, *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, ids, back in coded(batches, path, pattern, text):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import benchmarks, bpe, knn, pages, privacy, shards, similar
+from gaugeworks.llm import benchmarks, bpe, knn, pages, privacy, shards, similar, suffixes
 from gaugeworks.llm.common import read
 
 
@@ -14,6 +14,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmarks.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 200 bytes."""
+    return suffixes.digests(read(spark, sf_dir, "documents"))
+
+
 def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards by balanced label propagation."""
     return shards.assign(read(spark, sf_dir, "documents"))
@@ -47,6 +52,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_shards": op3_shards,
     "op4_voronoi_knn": op4_voronoi_knn,
     "op5_main_text": op5_main_text,

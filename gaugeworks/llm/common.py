@@ -39,7 +39,7 @@ def stored(df: DataFrame, name: str, *by: str) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     writer = df.write
-    (writer.partitionBy(*by) if by else writer).parquet(path)
+    (writer.partitionBy(*by) if by else writer).parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -110,3 +110,20 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     for k in range(width):
         out = mixed(out * _BASE + words[k : n - width + 1 + k])
     return np.unique(out)
+
+
+def byte_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``width`` bytes."""
+    n = len(data)
+    _POWERS.reach(n + 1)
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[data] * _POWERS.up[:n], out=total[1:])
+    return mixed((total[width:] - total[:-width]) * _POWERS.down[: n - width + 1])
+
+
+def low_bits(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """32 bits that tell the hashes of a bucket apart, but for a few in a million.
+
+    The bucket is the hash times the number of buckets, whole part; these are bits of the rest.
+    """
+    return ((hashes * np.uint64(buckets)) >> np.uint64(32)).astype("<u4")

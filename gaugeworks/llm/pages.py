@@ -11,6 +11,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Elements of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -221,12 +222,13 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
                     [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "main_text"]
                 )
 
-    return kept.mapInArrow(run, kept.schema.add("main_text", "string"))
+    return kept.mapInArrow(run, T.StructType([*kept.schema, T.StructField("main_text", T.StringType())]))
 
 
 def texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text and its length in code points."""
-    return extract(pages.select("page_id", "url", "html")).select(
+    found = extract(pages.select("page_id", "url", "html"))
+    return found.select(
         F.col("page_id").cast("long").alias("page_id"),
         "url",
         F.col("main_text").alias("text"),

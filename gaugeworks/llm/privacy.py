@@ -145,7 +145,7 @@ def find(docs: DataFrame, share: float = 0.8, support: int = 3, reach: int = 6)
     # The names of the given columns may be any, so they travel in one struct.
     given = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(None).alias("none"))
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), given.alias("_given"), text_of().alias("_text"))
-    schema = rows.drop("_text").schema.add("_spans", SPAN).add("_near", NEAR)
+    schema = T.StructType([*rows.schema[:-1], T.StructField("_spans", SPAN), T.StructField("_near", NEAR)])
     found = stored(rows.mapInArrow(scan, schema), "private-spans")
     total = found.count()
 

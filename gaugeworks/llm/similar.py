@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import mixed, shingle_hashes, stored, text_of, word_hashes
+from gaugeworks.llm.common import low_bits, mixed, shingle_hashes, stored, text_of, word_hashes
 
 #: Tokens a task gathers before it deals them out, and tokens of one bucket on average.
 GATHERED = 4_000_000
@@ -57,7 +57,8 @@ def dealt(
     """Per gathered part of a task: its rows, and its tokens by bucket.
 
     ``sets`` turns a batch into rows, each with ``class`` (equal for equal sets) and ``tokens``, which
-    is taken out. A token that two classes of the part hold is known to be shared: their rows count it
+    is taken out. Tokens are dealt out by 32 bits; the few that fall together are taken for shared, which
+    only keeps a set that could be dropped. A token that two classes of the part hold is known to be shared: their rows count it
     in ``common``, and it is dealt out without a row. Any other is dealt out with the number of its row.
     """
     rows, tokens, size = [], [], 0
@@ -105,14 +106,6 @@ def dealt(
             yield rows, []
 
 
-def low_bits(tokens: np.ndarray, buckets: int) -> np.ndarray:
-    """32 bits that tell the tokens of a bucket apart, but for a few in a million.
-
-    Tokens that fall together are taken for shared, which keeps a set that could be dropped.
-    """
-    return ((tokens * np.uint64(buckets)) >> np.uint64(32)).astype("<u4")
-
-
 def common_counts(pieces: DataFrame) -> DataFrame:
     """(part, row, common): tokens of a row that occur in other parts as well, or twice in its own.
 
