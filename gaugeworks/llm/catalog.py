@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import benchmarks, bpe, knn, pages, privacy, shards, similar, suffixes
-from gaugeworks.llm.common import read
+from gaugeworks.llm import benchmarks, bpe, knn, lines, pages, privacy, quality, shards, similar, suffixes
+from gaugeworks.llm.common import read, text_of
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +45,18 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later occurrences of repeated three-line windows."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.deduplicate(docs).withColumn("text", text_of())
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document, and whether it is kept."""
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, read(spark, sf_dir, "labels")).select("doc_id", *quality.SCORES, "keep")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose three-word shingles agree by nine tenths."""
     return similar.groups(read(spark, sf_dir, "documents"))
@@ -58,10 +70,13 @@ QUERIES = {
     "op5_main_text": op5_main_text,
     "op6_privacy": op6_privacy,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_line_windows": op8_line_windows,
+    "op9_quality": op9_quality,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_line_windows": lines.SQL,
     "op4_voronoi_knn": """
         WITH good AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

@@ -470,18 +470,17 @@ def remaining(members: DataFrame, rule: Rule) -> DataFrame:
     return able.join(main, "key").withColumn("rest", F.expr("component != main")).drop("main")
 
 
-def groups(docs: DataFrame, width: int = 3, threshold: str = "9/10") -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): n_shingles and component_id.
+def named_sets(docs: DataFrame, width: int, threshold: str) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, h (a hash of the text), n and component.
 
     The set of a text are its distinct runs of ``width`` words, capital letters A-Z being small ones and
     words ending at ASCII white space; a shorter text's whole sequence is its one run. Two sets link
-    if they have at least ``threshold`` of their union in common. component_id is the smallest doc_id
-    that links reach, the own included.
+    if they have at least ``threshold`` of their union in common. Sets that links connect have one
+    component.
 
     Null and empty texts and texts without words have the empty set and link with nothing. Equal sets
     link, and are handled as one from the start, so copies are never paired. Each row gives a row,
-    also where doc_ids repeat; a row without doc_id has the component of what it links with, null if
-    nothing has an id. Other columns are not read.
+    also where doc_ids are null or repeat. Other columns are not read.
 
     How links are found without loss:
 
@@ -528,10 +527,48 @@ def groups(docs: DataFrame, width: int = 3, threshold: str = "9/10") -> DataFram
         "similar-sets",
     )
     labels = components(linked(sets, rule)).withColumnRenamed("id", "class")
-    named = first.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    return first.join(labels, "class", "left").select(
+        "doc_id", "h", "n", F.coalesce("component", "class").alias("component")
+    )
+
+
+def groups(docs: DataFrame, width: int = 3, threshold: str = "9/10") -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles and component_id, the smallest doc_id that links reach.
+
+    A row without words is a component by itself. One without doc_id has the component of what it
+    links with, null if nothing there has an id. For the rest see ``named_sets``.
+    """
+    named = stored(named_sets(docs, width, threshold), "named-sets")
     least = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     return named.join(least, "component", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame, width: int = 5, threshold: str = "4/5") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id, rows without one last.
+
+    Rows without words all stay. Rows that repeat both doc_id and text are one. All columns are passed
+    on as they are. For the rest see ``named_sets``.
+    """
+    named = stored(named_sets(docs, width, threshold), "named-sets")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    gone = (
+        named.where("n > 0")
+        .join(named.where("n > 0").groupBy("component").agg(F.min(order).alias("head")), "component")
+        .where(~order.eqNullSafe(F.col("head")))
+        .select(F.col("doc_id").alias("_other"), F.col("h").alias("_same"))
+        .distinct()
+    )
+    names = docs.columns
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_given"),
+        F.col("doc_id").cast("long").alias("_id"),
+        F.xxhash64(text_of()).alias("_h"),
+        (F.trim(text_of()) == "").alias("_blank"),
+    )
+    left = whole.join(gone, F.expr("_id <=> _other AND _h = _same"), "left_anti")
+    once = left.where("NOT _blank").dropDuplicates(["_id", "_h"]).unionByName(left.where("_blank"))
+    return once.select(*[F.col(f"_given.`{c}`").alias(c) for c in names])
