@@ -173,7 +173,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     is shuffled.
     """
     kept = docs.drop("token_ids", "decoded")
-    more = T.StructType().add("token_ids", "array<int>").add("decoded", "binary")
+    more = T.StructType().add("token_ids", T.ArrayType(T.IntegerType())).add("decoded", "binary")
     schema = T.StructType([*kept.schema, *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -567,7 +567,7 @@ def representatives(docs: DataFrame, width: int = 5, threshold: str = "4/5") ->
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("_given"),
         F.col("doc_id").cast("long").alias("_id"),
         F.xxhash64(text_of()).alias("_h"),
-        (F.trim(text_of()) == "").alias("_blank"),
+        (~text_of().rlike(r"[^\x20\x09-\x0D]")).alias("_blank"),
     )
     left = whole.join(gone, F.expr("_id <=> _other AND _h = _same"), "left_anti")
     once = left.where("NOT _blank").dropDuplicates(["_id", "_h"]).unionByName(left.where("_blank"))
