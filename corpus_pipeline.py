@@ -18,9 +18,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later occurrences of three-line windows; n_chars follows the text."""
+    """Documents without later occurrences of three-line windows; n_chars follows the text.
+
+    A document of which nothing but blank lines is left goes.
+    """
     ship(spark.sparkContext)
-    left = lines.deduplicate(docs)
+    left = lines.deduplicate(docs).where(r"n_removed = 0 OR text RLIKE '[^\\x20\\n]'")
     size = F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", size).select(*docs.columns)
 
