@@ -42,7 +42,7 @@ class Rule:
 
     def extra(self, n):
         """Tokens by which the first sieve's prefix of a set is longer than needed for one in common."""
-        return n // 50
+        return n // 10
 
     def prefix(self, n):
         return n - self.least(n) + 1
@@ -84,7 +84,8 @@ def dealt(
         out = []
         for b in range(buckets):
             if cut[b] < cut[b + 1]:
-                piece = slice(cut[b], cut[b + 1])
+                # In the order of rows, whose numbers then compress to little.
+                piece = cut[b] + np.argsort(who[cut[b] : cut[b + 1]], kind="stable")
                 out.append((b, low_bits(first[piece], buckets).tobytes(), who[piece].astype("<u4").tobytes()))
         return rows, out
 
@@ -498,7 +499,7 @@ def named_sets(docs: DataFrame, width: int, threshold: str) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("h"), text_of().alias("text")
     )
     size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = 8 + size // 50 // BUCKET_TOKENS
+    buckets = 8 + size // 25 // BUCKET_TOKENS
 
     def prefixes(batch: pa.RecordBatch) -> Iterator[dict]:
         for row, tokens in sets_of(batch, width):
@@ -515,7 +516,7 @@ def named_sets(docs: DataFrame, width: int, threshold: str) -> DataFrame:
         first.where("n > 0")
         .groupBy("class")
         .agg(F.min(F.struct("doc_id", "h")).alias("head"), F.max("common").alias("common"), F.max("n").alias("n"))
-        .where(F.expr(f"common >= 1 + (n * {rule.num} + {rule.den - 1}) div {rule.den} div 50"))
+        .where(F.expr(f"common >= 1 + (n * {rule.num} + {rule.den - 1}) div {rule.den} div 10"))
         .select(F.col("head.doc_id").alias("doc_id_2"), F.col("head.h").alias("h_2"))
     )
     left = texts.join(heads, F.expr("doc_id <=> doc_id_2 AND h = h_2"), "left_semi")
