@@ -358,11 +358,18 @@ def repeated_strings(found: DataFrame, length: int) -> DataFrame:
         F.when(F.col("splits").isNotNull(), F.pmod(F.xxhash64("piece"), "splits") + 1).otherwise(0).cast("int").alias("split"),
     )
 
+    columns = ["piece", "runs", "anchor", "string", "offset", "split"]
+    kinds = {"anchor": "Int64", "offset": "Int64", "split": "Int32"}
+
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("piece")
         split = int(pdf["split"].iloc[0])
-        if not split:  # an anchor of one piece has equals only in that piece
-            pdf = pdf.sort_values(["anchor", "piece"])
+        if not split:
+            # The strings of a piece have one anchor at different offsets, so no two are equal: a piece
+            # that is alone with its anchor repeats nothing.
+            pdf = pdf[pdf.groupby("anchor")["piece"].transform("size") > 1]
+        if not len(pdf):
+            return pd.DataFrame(columns=columns).astype(kinds)
         texts, names = list(pdf["bytes"]), pdf["piece"].to_numpy()
         piece, offset, repeated, first = repeats(texts, pdf["strings"].to_numpy(), length)
         out = []
@@ -377,9 +384,7 @@ def repeated_strings(found: DataFrame, length: int) -> DataFrame:
                 string = hashlib.md5(texts[p][o : o + length]).digest()
                 lone = None if repeated[k] else o
                 out.append((names[p], None, int(anchor[p]), string, lone, split))
-        return pd.DataFrame(out, columns=["piece", "runs", "anchor", "string", "offset", "split"]).astype(
-            {"anchor": "Int64", "offset": "Int64", "split": "Int32"}
-        )
+        return pd.DataFrame(out, columns=columns).astype(kinds)
 
     solved = stored(
         placed.groupBy("shard", "split", F.when(F.col("split") > 0, F.col("anchor")).otherwise(0))
