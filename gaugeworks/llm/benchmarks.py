@@ -84,9 +84,9 @@ def leaks(
     window begins and ``words`` its length, that of the item. The similarity is that of weighted shingles:
     runs of five words with their numbers, the sum of minima over the sum of maxima.
 
-    1. Of an item's distinct words the longest stand as anchors. A window of the asked similarity
-       lacks at most a fifth of the item's shingles and so at most as many of its distinct words; a
-       text with fewer of the anchors cannot hold one.
+    1. Of an item's distinct words those in the fewest texts stand as anchors. A window of the asked
+       similarity lacks at most a fifth of the item's shingles and so at most as many of its distinct
+       words; a text with fewer of the anchors cannot hold one.
     2. An anchor found in a text tells where a window would begin. Those windows get a SimHash.
     3. Windows and items of one size meet if their fingerprints differ in at most ``radius`` bits, found
        by blocks without loss. At a similarity of 0.8 about 10 of 64 bits differ, with a deviation of 3.
@@ -104,12 +104,18 @@ def leaks(
         .withColumn("lacking", F.floor(F.greatest(F.size("words") - WIDTH + 1, F.lit(1)) * loss + 1e-9).cast("int")),
         "benchmark-items",
     )
-    longest = W.partitionBy("item").orderBy(F.char_length("word").desc(), "word")
     spots = items.select("item", "size", "lacking", F.posexplode("words").alias("offset", "word"))
+    spots = stored(
+        spots.groupBy("item", "lacking", "word").agg(F.collect_list("offset").alias("offsets")), "benchmark-words"
+    )
+    numbered = texts.withColumn("row", F.monotonically_increasing_id())
+    present = numbered.select("row", "digest", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
+    known = stored(spots.select("word").distinct(), "vocabulary")
+    common = stored(present.join(small(known), "word").groupBy("word").agg(F.count("*").alias("texts")), "word-counts")
+    rarest = W.partitionBy("item").orderBy(F.coalesce("texts", F.lit(0)), F.char_length("word").desc(), "word")
     anchors = (
-        spots.groupBy("item", "lacking", "word")
-        .agg(F.collect_list("offset").alias("offsets"))
-        .withColumn("place", F.row_number().over(longest))
+        spots.join(common, "word", "left")
+        .withColumn("place", F.row_number().over(rarest))
         .where("place <= 2 * lacking + 2")
     )
     anchors = stored(
@@ -118,18 +124,17 @@ def leaks(
         ),
         "anchors",
     )
-    present = texts.select("digest", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
     hits = (
         present.join(small(anchors.select("item", "word", "need")), "word")
-        .distinct()  # a repeated text counts once
-        .groupBy("digest", "item")
-        .agg(F.count("*").alias("found"), F.first("need").alias("need"))
+        .groupBy("row", "digest", "item")
+        .agg(F.count("*").alias("found"), F.max("need").alias("need"))
         .where("found >= need")
         .select("digest", "item")
+        .distinct()
     )
     hits = stored(hits, "anchored")
     holders = stored(
-        texts.join(hits.select("digest").distinct(), "digest", "left_semi")
+        texts.join(small(stored(hits.select("digest").distinct(), "held")), "digest", "left_semi")
         .dropDuplicates(["digest"])
         .select("digest", words_of(F.col("text")).alias("words")),
         "holders",
@@ -217,6 +222,6 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         name += "_"
     return (
         docs.withColumn(name, F.md5(text_of()))
-        .join(found.withColumnRenamed("digest", name), name, "left_anti")
+        .join(small(found).withColumnRenamed("digest", name), name, "left_anti")
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
