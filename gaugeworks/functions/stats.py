@@ -16,18 +16,14 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Stat:
-    """One output column. ``scale`` makes a mean exact to that many decimals: values are summed as
-    whole numbers, so the result does not depend on the order rows arrive in."""
+    """One output column."""
 
     name: str
     kind: str
     column: str | None = None
-    scale: int | None = None
 
     def _value(self, where: Column | None) -> Column:
         value = F.col(self.column) if self.column else F.lit(1)
-        if self.kind == "mean" and self.scale is not None:
-            value = F.round(value * 10**self.scale if self.scale else value).cast("long")
         return value if where is None else F.when(where, value)
 
     def parts(self, where: Column | None = None) -> list[tuple[str, str, Column]]:
@@ -46,13 +42,12 @@ class Stat:
         """Reads the result off; ``part`` maps a part's column name to a Column."""
         if self.kind == "mean":
             total, n = part(f"_{self.name}_sum"), part(f"_{self.name}_n")
-            total = total / F.lit(float(10**self.scale)) if self.scale else total
             return F.when(n > 0, total / n).alias(self.name)
         return part(f"_{self.name}").alias(self.name)
 
     def aggregate(self, where: Column | None = None) -> Column:
         """The statistic over raw rows in one step."""
-        if self.kind == "mean" and self.scale is None:
+        if self.kind == "mean":
             return F.avg(self._value(where)).alias(self.name)
         direct = {name: agg for name, _, agg in self.parts(where)}
         return self.result(direct.__getitem__)
@@ -70,8 +65,8 @@ def maximum(column: str, name: str) -> Stat:
     return Stat(name, "max", column)
 
 
-def mean(column: str, name: str, scale: int | None = None) -> Stat:
-    return Stat(name, "mean", column, scale)
+def mean(column: str, name: str) -> Stat:
+    return Stat(name, "mean", column)
 
 
 def raw_parts(stats: Iterable[Stat]) -> list[Column]:

@@ -18,25 +18,24 @@ ALERT_WINDOW = "15 minutes"
 SWING_ABOVE, AQI_FROM = 8.0, 5
 
 
-def rolling_stats(scale: int | None = None) -> list[Stat]:
-    whole = None if scale is None else 0
+def rolling_stats() -> list[Stat]:
     return [
-        mean("temp", "avg_temp", scale),
+        mean("temp", "avg_temp"),
         minimum("temp", "min_temp"),
         maximum("temp", "max_temp"),
-        mean("humidity", "avg_humidity", whole),
-        mean("aqi", "avg_aqi", whole),
-        mean("pm2_5", "avg_pm2_5", scale),
-        mean("pm10", "avg_pm10", scale),
+        mean("humidity", "avg_humidity"),
+        mean("aqi", "avg_aqi"),
+        mean("pm2_5", "avg_pm2_5"),
+        mean("pm10", "avg_pm10"),
         count("observation_count"),
     ]
 
 
 def rolling_averages(
-    events: DataFrame, time: str = "poll_timestamp", closed: str = "left", scale: int | None = None
+    events: DataFrame, time: str = "poll_timestamp", closed: str = "left"
 ) -> DataFrame:
     """Ten-minute averages per city, every two minutes."""
-    return hopping(events, time, ROLLING_SIZE, ROLLING_SLIDE, ["city_id"], rolling_stats(scale), closed=closed)
+    return hopping(events, time, ROLLING_SIZE, ROLLING_SLIDE, ["city_id"], rolling_stats(), closed=closed)
 
 
 ALERT_STATS = [

@@ -14,17 +14,16 @@ from gaugeworks.schemas import GOLD, conform
 TRAILING_DAYS = 7
 
 
-def daily_stats_columns(scale: int | None = None) -> list[Stat]:
-    whole = None if scale is None else 0
+def daily_stats_columns() -> list[Stat]:
     return [
-        mean("temp", "avg_temp", scale),
+        mean("temp", "avg_temp"),
         minimum("temp", "min_temp"),
         maximum("temp", "max_temp"),
-        mean("humidity", "avg_humidity", whole),
-        mean("aqi", "avg_aqi", whole),
+        mean("humidity", "avg_humidity"),
+        mean("aqi", "avg_aqi"),
         maximum("aqi", "max_aqi"),
-        mean("pm2_5", "avg_pm2_5", scale),
-        mean("pm10", "avg_pm10", scale),
+        mean("pm2_5", "avg_pm2_5"),
+        mean("pm10", "avg_pm10"),
         count("observation_count"),
     ]
 
@@ -44,33 +43,32 @@ def trailing_mean(
     keys: tuple[str, ...] = ("city_id",),
     day: str = "ingestion_date",
     days: int = TRAILING_DAYS,
-    scale: int | None = None,
 ) -> DataFrame:
     """For every key and day with data, the mean over all rows of that day and the days before it.
 
     Rows count equally, so this is not a mean of daily means: daily sums and counts are added up.
     The frame runs over one row per key and day.
     """
-    stat = mean(column, name, scale)
+    stat = mean(column, name)
     per_day = df.groupBy(*keys, F.col(day).alias("date")).agg(*raw_parts([stat]))
     frame = Window.partitionBy(*keys).orderBy(F.unix_date("date")).rangeBetween(1 - days, 0)
     summed = per_day.select(*keys, "date", *[F.sum(n).over(frame).alias(n) for n, _, _ in stat.parts()])
     return summed.select(*keys, "date", *results([stat]))
 
 
-def gold_day(silver: DataFrame, run_date: str | date, scale: int | None = None) -> DataFrame:
+def gold_day(silver: DataFrame, run_date: str | date) -> DataFrame:
     """Gold rows of one day from a single scan of the trailing week and a single shuffle: the day's
     statistics look only at rows of that day, the rolling mean at all. Cities silent on the day get
     no row."""
     day, start = resolve_run_date(run_date), trailing_start(run_date, TRAILING_DAYS)
     on_day = F.col("ingestion_date") == F.lit(day)
-    stats = daily_stats_columns(scale)
+    stats = daily_stats_columns()
     week = silver.filter(F.col("ingestion_date").between(F.lit(start), F.lit(day)))
     rows = (
         week.groupBy("city_id")
         .agg(
             *[s.aggregate(on_day) for s in stats],
-            mean("temp", "rolling_7day_avg_temp", scale).aggregate(),
+            mean("temp", "rolling_7day_avg_temp").aggregate(),
         )
         .filter(F.col("observation_count") > 0)
         .withColumn("date", F.lit(day))
@@ -78,26 +76,26 @@ def gold_day(silver: DataFrame, run_date: str | date, scale: int | None = None)
     return conform(rows, GOLD)
 
 
-def gold_day_joined(silver: DataFrame, run_date: str | date, scale: int | None = None) -> DataFrame:
+def gold_day_joined(silver: DataFrame, run_date: str | date) -> DataFrame:
     """The same rows in two passes: the day's statistics, left-joined to the week's mean."""
     day, start = resolve_run_date(run_date), trailing_start(run_date, TRAILING_DAYS)
     stats = daily_stats(
-        silver.filter(F.col("ingestion_date") == F.lit(day)), stats=daily_stats_columns(scale)
+        silver.filter(F.col("ingestion_date") == F.lit(day)), stats=daily_stats_columns()
     )
     rolling = (
         silver.filter(F.col("ingestion_date").between(F.lit(start), F.lit(day)))
         .groupBy("city_id")
-        .agg(mean("temp", "rolling_7day_avg_temp", scale).aggregate())
+        .agg(mean("temp", "rolling_7day_avg_temp").aggregate())
     )
     return conform(stats.join(rolling, "city_id", "left"), GOLD)
 
 
-def gold_range(silver: DataFrame, first: str | date, last: str | date, scale: int | None = None) -> DataFrame:
+def gold_range(silver: DataFrame, first: str | date, last: str | date) -> DataFrame:
     """Gold rows for every day of a range (a backfill) in one pass over the data: one row per city
     and day is aggregated, and the trailing week is a frame over those."""
     first_day, last_day = resolve_run_date(first), resolve_run_date(last)
-    stats = daily_stats_columns(scale)
-    rolling = mean("temp", "rolling_7day_avg_temp", scale)
+    stats = daily_stats_columns()
+    rolling = mean("temp", "rolling_7day_avg_temp")
     per_day = (
         silver.filter(F.col("ingestion_date").between(F.lit(trailing_start(first_day, TRAILING_DAYS)), F.lit(last_day)))
         .groupBy("city_id", F.col("ingestion_date").alias("date"))

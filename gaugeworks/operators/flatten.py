@@ -93,6 +93,11 @@ def malformed(paired: DataFrame) -> DataFrame:
     )
 
 
+def compact(payload: str) -> Column:
+    """JSON text without the white space between its tokens; strings, order and numbers stay."""
+    return F.regexp_replace(payload, r'("(?:[^"\\]++|\\.)*+")|\s++', "$1")
+
+
 def event_columns(parsed: DataFrame) -> DataFrame:
     w, a = "_w", F.get("_a.list", F.lit(0))
     sky = F.get(f"{w}.weather", F.lit(0))
@@ -119,7 +124,7 @@ def event_columns(parsed: DataFrame) -> DataFrame:
         "weather_description": sky["description"],
         "aqi": a["main"]["aqi"],
         "raw_payload_json": F.concat(
-            F.lit('{"weather":'), "weather", F.lit(',"air_pollution":'), "air_pollution", F.lit("}")
+            F.lit('{"weather":'), compact("weather"), F.lit(',"air_pollution":'), compact("air_pollution"), F.lit("}")
         ),
     }
     for name in ("temp", "feels_like", "temp_min", "temp_max", "pressure", "humidity"):

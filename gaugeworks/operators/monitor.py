@@ -59,13 +59,13 @@ def _bins(metric: DataFrame, stats) -> DataFrame:
     return ends.withColumn("TimeGenerated", F.col("_end") - F.expr(f"INTERVAL {BIN}")).drop("_end")
 
 
-def utilisation(log: DataFrame, scale: int | None = None) -> DataFrame:
-    stats = [mean("Average", "AvgUtilization", scale), maximum("Maximum", "MaxUtilization")]
+def utilisation(log: DataFrame) -> DataFrame:
+    stats = [mean("Average", "AvgUtilization"), maximum("Maximum", "MaxUtilization")]
     return _bins(_metric(log, UTILISATION_METRIC), stats).orderBy(F.desc_nulls_last("TimeGenerated"))
 
 
-def utilisation_alert(log: DataFrame, above: float = UTILISATION_ABOVE, scale: int | None = None) -> DataFrame:
-    return utilisation(log, scale).filter(F.col("AvgUtilization") > above)
+def utilisation_alert(log: DataFrame, above: float = UTILISATION_ABOVE) -> DataFrame:
+    return utilisation(log).filter(F.col("AvgUtilization") > above)
 
 
 def backlog(log: DataFrame, above: float = BACKLOG_ABOVE) -> DataFrame:
@@ -73,10 +73,10 @@ def backlog(log: DataFrame, above: float = BACKLOG_ABOVE) -> DataFrame:
     return _bins(_metric(log, BACKLOG_METRIC), [maximum("Maximum", "MaxBacklog")]).filter(F.col("MaxBacklog") > above)
 
 
-def load_signals(log: DataFrame, scale: int | None = None) -> DataFrame:
+def load_signals(log: DataFrame) -> DataFrame:
     """Utilisation and backlog as one series with a metric name: a job can fall behind while its
     utilisation looks low, so neither alone will do."""
-    used = utilisation(log, scale).withColumn("metric", F.lit(UTILISATION_METRIC))
+    used = utilisation(log).withColumn("metric", F.lit(UTILISATION_METRIC))
     waiting = backlog(log).withColumn("metric", F.lit(BACKLOG_METRIC))
     return used.unionByName(waiting, allowMissingColumns=True)
 

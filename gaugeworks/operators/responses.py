@@ -28,18 +28,18 @@ def outcome(status: Column, attempts: Column) -> Column:
 
 
 def response_outcomes(responses: DataFrame) -> DataFrame:
-    """One row per cycle, city and endpoint. Only fixed-width values are aggregated."""
+    """One row per cycle, city and endpoint, by all its attempts, however many were made. Only
+    fixed-width values are aggregated."""
     return (
-        responses.filter(F.col("attempt") <= MAX_ATTEMPTS)
-        .groupBy("cycle_id", "city_id", "endpoint")
+        responses.groupBy("cycle_id", "city_id", "endpoint")
         .agg(F.max("attempt").alias("attempts"), F.max_by("status", "attempt").alias("last_status"))
         .withColumn("outcome", outcome(F.col("last_status"), F.col("attempts")))
     )
 
 
 def failure_details(responses: DataFrame) -> DataFrame:
-    """Responses that ended a call at once, with the start of their body. A rejected key concerns
-    every city, not only the one it was seen for."""
+    """Responses that ended a call at once, with their body and the start of it for a log line. A
+    rejected key concerns every city, not only the one it was seen for."""
     status = F.col("status")
     return responses.filter(status.isNotNull() & (status != 200) & ~status.isin(*RETRYABLE)).select(
         "cycle_id",
@@ -47,6 +47,7 @@ def failure_details(responses: DataFrame) -> DataFrame:
         "endpoint",
         "status",
         F.substring("body", 1, ERROR_TEXT_LENGTH).alias("error_text"),
+        "body",
         (status == 401).alias("concerns_all_cities"),
     )
 
@@ -59,8 +60,7 @@ def city_polls(responses: DataFrame) -> DataFrame:
         return F.max_by(F.when(of, F.col("status")), F.when(of, F.col("attempt")))
 
     polled = (
-        responses.filter(F.col("attempt") <= MAX_ATTEMPTS)
-        .groupBy("cycle_id", "city_id")
+        responses.groupBy("cycle_id", "city_id")
         .agg(F.count("*").alias("calls"), last("weather").alias("_weather"), last("air_pollution").alias("_air"))
     )
     both = F.coalesce((F.col("_weather") == 200) & (F.col("_air") == 200), F.lit(False))

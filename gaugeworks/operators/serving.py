@@ -27,14 +27,14 @@ def alerts_for_city(alerts: DataFrame, city_id: str) -> DataFrame:
 
 
 def recent_alerts(
-    alerts: DataFrame, since: str | datetime | None = None, until: str | datetime | None = None, limit: int = 100
+    alerts: DataFrame, since: str | datetime | None = None, until: str | datetime | None = None
 ) -> DataFrame:
-    """The newest alerts of a time range, newest first."""
+    """All alerts of a time range, newest first; a caller that shows some adds a limit."""
     kept = alerts
     for bound, keep in ((since, lambda c, b: c >= b), (until, lambda c, b: c < b)):
         if bound is not None:
             kept = kept.filter(keep(F.col("detected_at"), F.lit(bound).cast(alerts.schema["detected_at"].dataType)))
-    return kept.orderBy(F.col("detected_at").desc(), "id").limit(limit)
+    return kept.orderBy(F.col("detected_at").desc(), "id")
 
 
 def current_readings(events: DataFrame, time: str = "poll_timestamp", ties: tuple[str, ...] = ()) -> DataFrame:

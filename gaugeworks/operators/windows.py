@@ -17,11 +17,6 @@ from gaugeworks.functions.stats import Stat, combine, merged_parts, part_columns
 from gaugeworks.functions.times import as_time, epoch_micros, floor_to, micros
 
 
-# Up to so many windows per event, rows are multiplied by the built-in window and combined on the map
-# side right away, in one shuffle. Beyond it, panes are aggregated first and multiplied after that.
-MULTIPLIED_ROWS = 8
-
-
 def hopping(
     df: DataFrame,
     time: str,
@@ -31,13 +26,17 @@ def hopping(
     stats: Sequence[Stat],
     end: str = "window_end_time",
     closed: str = "left",
+    multiplied: int = 8,
 ) -> DataFrame:
     """Windows of ``size`` that start every ``slide``; one row per key and non-empty window.
 
-    ``closed="left"`` takes events in [start, end), ``"right"`` those in (start, end].
+    ``closed="left"`` takes events in [start, end), ``"right"`` those in (start, end]. With up to
+    ``multiplied`` windows per event, rows are multiplied by the built-in window and combined on the map
+    side right away, in one shuffle; with more, panes are aggregated first and multiplied after that.
+    Both give the same rows, and which one runs depends on the shape of the windows only.
     """
     at = F.col(time) - F.expr("INTERVAL 1 MICROSECOND") if closed == "right" else F.col(time)
-    if micros(slide) <= micros(size) <= MULTIPLIED_ROWS * micros(slide):
+    if micros(slide) <= micros(size) <= multiplied * micros(slide):
         windows = df.groupBy(*keys, F.window(at, size, slide).alias("_window")).agg(*raw_parts(stats))
         return windows.select(*keys, *results(stats), F.col("_window.end").alias(end))
     return _hopping_by_panes(df, at, time, micros(size), micros(slide), keys, stats, end)
@@ -190,9 +189,14 @@ def _earlier_panes(instants: DataFrame, keys: list[str], parts, width: int, spli
 
 
 def adjust_late(df: DataFrame, time: str, arrival: str, tolerance: str = "5 minutes", into: str | None = None) -> DataFrame:
-    """Event times older than ``tolerance`` at arrival are moved up to that limit, not dropped."""
-    limit = epoch_micros(arrival) - micros(tolerance)
-    return df.withColumn(into or time, as_time(F.greatest(epoch_micros(time), limit), df, time))
+    """Event times older than ``tolerance`` at arrival are moved up to that limit, not dropped. A row
+    without a time gets none."""
+    return df.withColumn(into or time, as_time(moved_up(time, epoch_micros(arrival) - micros(tolerance)), df, time))
+
+
+def moved_up(time: str, limit: Column) -> Column:
+    """The later of an event's time and a limit, in microseconds; null for an event without a time."""
+    return F.when(F.col(time).isNotNull(), F.greatest(epoch_micros(time), limit))
 
 
 def adjust_out_of_order(
@@ -248,6 +252,6 @@ def adjust_out_of_order(
     same = epoch_micros(arrival) == F.col("_k_arrived")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    adjusted = as_time(F.greatest(epoch_micros(time), F.col("_limit")), df, time)
+    adjusted = as_time(moved_up(time, F.col("_limit")), df, time)
     columns = df.columns if target in df.columns else [*df.columns, target]
     return df.join(moved, same, "left").withColumn(target, adjusted).select(*columns)

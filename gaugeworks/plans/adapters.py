@@ -12,18 +12,14 @@ from pyspark.sql import functions as F
 from gaugeworks.session import pin_utc
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A table; ``spread`` deals its rows out where the file comes in fewer pieces than there are
-    cores. Meant for work that is heavy per row; a table of many pieces is left as it is."""
-    df = pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spread and df.rdd.getNumPartitions() < cores else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sensor_events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def sensor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as readings of twelve cities; every fifth reading lacks its temperature."""
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events", spread).select(
+    return table(spark, sf_dir, "events").select(
         "event_id",
         F.concat(F.lit("city_"), (F.col("user_id") % 12).cast("string")).alias("city_id"),
         F.col("ts").alias("poll_timestamp"),
@@ -87,7 +83,7 @@ def air_text() -> Column:
 def payload_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pair of payload texts per event; every hundredth weather payload is cut off."""
     weather = F.when(F.col("event_id") % 100 == 99, F.lit('{"coord":{"lat":1.0')).otherwise(weather_text())
-    return sensor_events(spark, sf_dir, spread=True).select(
+    return sensor_events(spark, sf_dir).select(
         "event_id",
         F.concat(F.lit("city_"), F.col("event_id").cast("string")).alias("city_id"),
         "poll_timestamp",
@@ -102,8 +98,8 @@ def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = {
         "click": [("weather", [200]), ("air_pollution", [200])],
         "view": [("weather", [429, 200]), ("air_pollution", [503, 500, 200])],
-        "purchase": [("weather", [200]), ("air_pollution", [500, 502, 504])],
-        "signup": [("weather", [None, None, None])],
+        "purchase": [("weather", [200]), ("air_pollution", [500, 502, 504, 200])],
+        "signup": [("weather", [None, None, None]), ("air_pollution", [500, 502, 504])],
         "error": [("weather", [401])],
     }
     attempts = None
@@ -129,7 +125,7 @@ def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(failed)
     )
     return (
-        sensor_events(spark, sf_dir, spread=True)
+        sensor_events(spark, sf_dir)
         .withColumn("c", F.explode(attempts))
         .select(
             "event_id",

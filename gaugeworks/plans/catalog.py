@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,18 +23,30 @@ from gaugeworks.streaming import jobs, sliding
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Means are summed as whole numbers of this many decimals, so that they come out the same on any
-# number of executors and in the comparison engine.
-SCALE = 4
+# Results that are means are rounded to this many decimals, as sums of doubles depend on their order
+# in the last digits. Nothing is rounded before it is averaged.
+DIGITS = 10
 DAY = "2024-01-15"
 PLAIN_TIME = "timestamp_ntz"
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    @wraps(fn)
+    def rounded(spark, sf_dir):
+        df = fn(spark, sf_dir)
+        means = [f.name for f in df.schema if f.dataType.typeName() == "double" and "avg" in f.name.lower()]
+        return df.withColumns({c: F.round(c, DIGITS) for c in means}) if means else df
+
+    QUERIES[fn.__name__] = rounded
     return fn
 
 
+def span(spark, sf_dir) -> tuple[date, date]:
+    """The first and the last day of the events."""
+    days = F.to_date("ts")
+    return tuple(table(spark, sf_dir, "events").select(F.min(days), F.max(days)).first())
+
+
 def silver_input(spark, sf_dir):
     """Adapter rows as a bronze batch. All columns that silver needs but the tables lack are null."""
     events = gate.convert(sensor_events(spark, sf_dir))
@@ -54,22 +68,22 @@ def plain_time(df: DataFrame, *names: str) -> DataFrame:
 
 @query
 def gold_daily(spark, sf_dir):
-    return daily.gold_day_joined(sensor_events(spark, sf_dir), DAY, SCALE)
+    return daily.gold_day_joined(sensor_events(spark, sf_dir), DAY)
 
 
 @query
 def gold_daily_one_scan(spark, sf_dir):
-    return daily.gold_day(sensor_events(spark, sf_dir), DAY, SCALE)
+    return daily.gold_day(sensor_events(spark, sf_dir), DAY)
 
 
 @query
 def gold_backfill(spark, sf_dir):
-    return daily.gold_range(sensor_events(spark, sf_dir), "2024-01-01", "2024-01-30", SCALE)
+    return daily.gold_range(sensor_events(spark, sf_dir), *span(spark, sf_dir))
 
 
 @query
 def rolling_7day_all(spark, sf_dir):
-    return daily.trailing_mean(sensor_events(spark, sf_dir), "temp", "rolling_7day_avg_temp", scale=SCALE)
+    return daily.trailing_mean(sensor_events(spark, sf_dir), "temp", "rolling_7day_avg_temp")
 
 
 @query
@@ -81,10 +95,10 @@ def daily_stats_lineitem(spark, sf_dir):
         F.col("l_extendedprice").alias("price"),
     )
     stats = [
-        mean("quantity", "avg_quantity", SCALE),
+        mean("quantity", "avg_quantity"),
         minimum("quantity", "min_quantity"),
         maximum("quantity", "max_quantity"),
-        mean("price", "avg_price", SCALE),
+        mean("price", "avg_price"),
         maximum("price", "max_price"),
         count("observation_count"),
     ]
@@ -96,18 +110,18 @@ def daily_stats_lineitem(spark, sf_dir):
 
 @query
 def hopping_avg(spark, sf_dir):
-    return alerts.rolling_averages(sensor_events(spark, sf_dir), scale=SCALE)
+    return alerts.rolling_averages(sensor_events(spark, sf_dir))
 
 
 @query
 def hopping_avg_right_closed(spark, sf_dir):
-    return alerts.rolling_averages(sensor_events(spark, sf_dir), closed="right", scale=SCALE)
+    return alerts.rolling_averages(sensor_events(spark, sf_dir), closed="right")
 
 
 @query
 def tumbling_avg(spark, sf_dir):
     return windows.tumbling(
-        sensor_events(spark, sf_dir), "poll_timestamp", "10 minutes", ["city_id"], alerts.rolling_stats(SCALE)
+        sensor_events(spark, sf_dir), "poll_timestamp", "10 minutes", ["city_id"], alerts.rolling_stats()
     )
 
 
@@ -140,7 +154,7 @@ def event_time_policy(spark, sf_dir):
     """Both adjustments, late arrival first, ahead of the rolling averages."""
     events = windows.adjust_late(sensor_events(spark, sf_dir), "poll_timestamp", "arrival_ts")
     events = windows.adjust_out_of_order(events, "poll_timestamp", "arrival_ts", ["city_id"])
-    return alerts.rolling_averages(events, scale=SCALE)
+    return alerts.rolling_averages(events)
 
 
 # --- silver -----------------------------------------------------------------------------------
@@ -276,7 +290,7 @@ def schema_drift(spark, sf_dir):
 
 @query
 def trend_30d(spark, sf_dir):
-    gold = daily.gold_range(sensor_events(spark, sf_dir), "2024-01-01", "2024-01-30", SCALE)
+    gold = daily.gold_range(sensor_events(spark, sf_dir), *span(spark, sf_dir))
     return serving.trend(gold, as_of="2024-02-10")
 
 
@@ -288,7 +302,7 @@ def alerts_for_city(spark, sf_dir):
 
 @query
 def recent_alerts(spark, sf_dir):
-    return serving.recent_alerts(alerts_upserted(spark, sf_dir), "2024-01-10", "2024-01-20", limit=50)
+    return serving.recent_alerts(alerts_upserted(spark, sf_dir), "2024-01-10", "2024-01-20")
 
 
 @query
@@ -298,7 +312,7 @@ def current_tiles(spark, sf_dir):
 
 @query
 def sparkline(spark, sf_dir):
-    series = serving.sparkline(alerts.rolling_averages(sensor_events(spark, sf_dir), scale=SCALE))
+    series = serving.sparkline(alerts.rolling_averages(sensor_events(spark, sf_dir)))
     points = series.select("city_id", "date", F.posexplode("points").alias("position", "p"))
     return points.select(
         "city_id", "date", "position", F.col("p.at").alias("window_end_time"), F.col("p.value").alias("avg_temp")
@@ -325,12 +339,12 @@ def log_presence(spark, sf_dir):
 
 @query
 def util_bins(spark, sf_dir):
-    return monitor.utilisation(adapters.metric_log(spark, sf_dir), SCALE)
+    return monitor.utilisation(adapters.metric_log(spark, sf_dir))
 
 
 @query
 def util_alert(spark, sf_dir):
-    return monitor.utilisation_alert(adapters.metric_log(spark, sf_dir), scale=SCALE)
+    return monitor.utilisation_alert(adapters.metric_log(spark, sf_dir))
 
 
 @query
@@ -340,7 +354,7 @@ def backlog_bins(spark, sf_dir):
 
 @query
 def util_backlog_union(spark, sf_dir):
-    return monitor.load_signals(adapters.metric_log(spark, sf_dir), SCALE)
+    return monitor.load_signals(adapters.metric_log(spark, sf_dir))
 
 
 @query
@@ -356,9 +370,6 @@ def failures_by_stage(spark, sf_dir):
 # --- lake tables and reruns -------------------------------------------------------------------
 
 
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
-
-
 def landed(spark, sf_dir, name):
     """Lake folders whose raw part is as the passthrough stream leaves it."""
     paths = daily_run.Paths.under(work_dir(spark, name))
@@ -373,8 +384,8 @@ def landed(spark, sf_dir, name):
 def bronze_roundtrip(spark, sf_dir):
     """Raw JSON through the bronze stage and back."""
     paths = landed(spark, sf_dir, "bronze")
-    daily_run.bronze(spark, paths, FIRST_DAY, LAST_DAY)
-    days = lake.read_days(spark, paths.bronze, FIRST_DAY, LAST_DAY)
+    daily_run.bronze(spark, paths, *span(spark, sf_dir))
+    days = lake.read_days(spark, paths.bronze, *span(spark, sf_dir))
     return plain_time(
         days.select("city_id", "poll_timestamp", "source", "ingestion_date", "dt", "temp", "humidity", "aqi", "pm2_5"),
         "poll_timestamp",
@@ -384,9 +395,9 @@ def bronze_roundtrip(spark, sf_dir):
 @query
 def silver_roundtrip(spark, sf_dir):
     paths = landed(spark, sf_dir, "silver")
-    daily_run.bronze(spark, paths, FIRST_DAY, LAST_DAY)
-    daily_run.silver(spark, paths, FIRST_DAY, LAST_DAY)
-    days = lake.read_days(spark, paths.silver, FIRST_DAY, LAST_DAY)
+    daily_run.bronze(spark, paths, *span(spark, sf_dir))
+    daily_run.silver(spark, paths, *span(spark, sf_dir))
+    days = lake.read_days(spark, paths.silver, *span(spark, sf_dir))
     columns = ("city_id", "observation_timestamp", "ingestion_date", "temp", "humidity", "aqi", "pm2_5", "pm10")
     return plain_time(days.select(*columns), "observation_timestamp")
 
@@ -394,9 +405,9 @@ def silver_roundtrip(spark, sf_dir):
 @query
 def quarantine_roundtrip(spark, sf_dir):
     paths = landed(spark, sf_dir, "quarantine")
-    daily_run.bronze(spark, paths, FIRST_DAY, LAST_DAY)
-    daily_run.silver(spark, paths, FIRST_DAY, LAST_DAY)
-    bad = lake.read_days(spark, paths.quarantine, FIRST_DAY, LAST_DAY, merge_schema=True)
+    daily_run.bronze(spark, paths, *span(spark, sf_dir))
+    daily_run.silver(spark, paths, *span(spark, sf_dir))
+    bad = lake.read_days(spark, paths.quarantine, *span(spark, sf_dir), merge_schema=True)
     return plain_time(bad.select("city_id", "poll_timestamp", "ingestion_date", "aqi", "reason"), "poll_timestamp")
 
 
@@ -404,7 +415,7 @@ def quarantine_roundtrip(spark, sf_dir):
 def rerun_idempotent(spark, sf_dir):
     """All days at once, then one of them and a range again: gold holds each city and day once."""
     paths = landed(spark, sf_dir, "rerun")
-    daily_run.run_daily(spark, paths, FIRST_DAY, LAST_DAY)
+    daily_run.run_daily(spark, paths, *span(spark, sf_dir))
     daily_run.run_daily(spark, paths, DAY)
     daily_run.run_daily(spark, paths, "2024-01-10", "2024-01-20")
     return lake.read_or_none(spark, paths.gold).select(
@@ -418,10 +429,10 @@ def gold_merge(spark, sf_dir):
     the rows it does not mention."""
     path = work_dir(spark, "gold")
     events = sensor_events(spark, sf_dir)
-    stored = daily.gold_range(events, "2024-01-01", "2024-01-30", SCALE)
+    stored = daily.gold_range(events, *span(spark, sf_dir))
     sinks.upsert(stored, path, ["city_id", "date"], "date", cluster=["city_id"])
     hot = F.col("event_type") == "purchase"
-    again = daily.gold_range(events.filter(hot), "2024-01-15", "2024-01-16", SCALE)
+    again = daily.gold_range(events.filter(hot), "2024-01-15", "2024-01-16")
     sinks.upsert(again, path, ["city_id", "date"], "date", cluster=["city_id"])
     return lake.read_or_none(spark, path).select("city_id", "date", "avg_temp", "max_temp", "observation_count")
 
@@ -430,7 +441,7 @@ def gold_merge(spark, sf_dir):
 def lake_table(spark, sf_dir):
     """Gold written clustered by city, declared as a table, and aggregated through SQL."""
     path = work_dir(spark, "clustered")
-    gold = daily.gold_range(sensor_events(spark, sf_dir), "2024-01-01", "2024-01-30", SCALE)
+    gold = daily.gold_range(sensor_events(spark, sf_dir), *span(spark, sf_dir))
     sinks.clustered(gold, "city_id", "date").write.parquet(path)
     name = f"gold_city_daily_stats_{uuid.uuid4().hex}"
     lake.external_table(spark, name, path, GOLD)
@@ -472,19 +483,23 @@ def publish_decode(spark, sf_dir):
 
 # --- streams ----------------------------------------------------------------------------------
 
-PARTS = (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-03-01"))
+PARTS = 3
 
 
 def stream_in_parts(spark, sf_dir, start_job, order="poll_timestamp"):
-    """Publishes all events in three parts, in the order of ``order``. After each part the streaming
-    query is started again from its checkpoint and takes what is new."""
+    """Publishes all events in parts, in the order of ``order``. After each part the streaming query is
+    started again from its checkpoint and takes what is new."""
     topic, checkpoint = work_dir(spark, "topic"), work_dir(spark, "checkpoint")
     events = sensor_events(spark, sf_dir).withColumns(
         {c: F.col(c).cast("timestamp") for c in ("poll_timestamp", "arrival_ts")}
     )
     schema = StructType([*STREAM_EVENT.fields, StructField("arrival_ts", TimestampType())])
-    for first, end in PARTS:
-        sinks.publish(events.filter((F.col(order) >= F.lit(first)) & (F.col(order) < F.lit(end))), topic)
+    begin, last = span(spark, sf_dir)
+    step = (last - begin) / PARTS
+    cuts = [F.to_date(F.col(order)) >= F.lit(begin + step * k) for k in range(1, PARTS)]
+    part = sum((c.cast("int") for c in cuts), F.lit(0))
+    for k in range(PARTS):
+        sinks.publish(events.filter(part == k), topic)
         finish(start_job(lake.decode(lake.folder_stream(spark, topic), schema), checkpoint))
 
 
@@ -507,7 +522,7 @@ def stream_hopping(spark, sf_dir):
         spark,
         sf_dir,
         lambda events, at: jobs.rolling_job(
-            jobs.event_time(events), rolling, at, None, SCALE, "day", state_partitions(spark)
+            jobs.event_time(events), rolling, at, None, "day", state_partitions(spark)
         ),
     )
     return plain_time(lake.read_or_none(spark, rolling).select(*ROLLING.fieldNames()), "window_end_time")
@@ -521,7 +536,7 @@ def stream_hopping_late(spark, sf_dir):
         spark,
         sf_dir,
         lambda events, at: jobs.rolling_job(
-            jobs.event_time(events, arrival="arrival_ts"), rolling, at, None, SCALE, "day", state_partitions(spark)
+            jobs.event_time(events, arrival="arrival_ts"), rolling, at, None, "day", state_partitions(spark)
         ),
         "arrival_ts",
     )
@@ -594,3 +609,45 @@ def stream_pairing(spark, sf_dir):
     return plain_time(
         events.select("city_id", "poll_timestamp", "temp", "humidity", "aqi", "pm2_5"), "poll_timestamp"
     )
+
+
+@query
+def stream_corrupt_isolated(spark, sf_dir):
+    """Every seventh record is cut off: those go aside with their text, the others through."""
+    topic, folder, aside = (work_dir(spark, n) for n in ("topic", "raw", "dead"))
+    whole = flatten.to_wire(adapters.bronze_events(spark, sf_dir))
+    seventh = F.get_json_object("value", "$.humidity").cast("int") % 7 == 0
+    cut_off = F.when(seventh, F.substring("value", 1, 25)).otherwise(F.col("value"))
+    whole.withColumn("value", cut_off).write.parquet(topic)
+    records = lake.folder_stream(spark, topic)
+    finish(jobs.passthrough_job(lake.decode(records, BRONZE), folder, work_dir(spark, "checkpoint"), None))
+    finish(jobs.dead_letter_job(lake.folder_stream(spark, topic), aside, work_dir(spark, "checkpoint"), None))
+    through = spark.read.schema(wire(BRONZE, corrupt=False)).json(folder).select("city_id", F.lit(None).cast("string").alias("reason"))
+    dead = spark.read.schema("key string, value string, reason string").json(aside)
+    return (
+        through.unionByName(dead.select(F.col("key").alias("city_id"), "reason"))
+        .groupBy("city_id", "reason")
+        .agg(F.count("*").alias("records"))
+    )
+
+
+@query
+def stream_fast_clock(spark, sf_dir):
+    """Clocks of a third of the cities run an hour ahead; their events count at their arrival, and no
+    other city loses a window."""
+    rolling = work_dir(spark, "rolling")
+    fast = F.substring("city_id", 6, 2).cast("int") % 3 == 0
+
+    def ahead(events):
+        time = F.when(fast, F.col("arrival_ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("poll_timestamp"))
+        return events.withColumn("poll_timestamp", time)
+
+    stream_in_parts(
+        spark,
+        sf_dir,
+        lambda events, at: jobs.rolling_job(
+            jobs.event_time(ahead(events), arrival="arrival_ts"), rolling, at, None, "day", state_partitions(spark)
+        ),
+        "arrival_ts",
+    )
+    return plain_time(lake.read_or_none(spark, rolling).select(*ROLLING.fieldNames()), "window_end_time")

@@ -20,41 +20,36 @@ sensor_events AS (
 """
 
 
-def exact_mean(column: str, scale: int = 4) -> str:
-    unit = 10**scale
-    return f"CAST(sum(CAST(round({column} * {unit}) AS BIGINT)) AS DOUBLE) / {float(unit)} / count({column})"
-
-
-def whole_mean(column: str) -> str:
-    return f"CAST(sum({column}) AS DOUBLE) / count({column})"
+def mean(column: str) -> str:
+    return f"round(avg({column}), 10)"
 
 
 DAILY = f"""
-  {exact_mean('temp')} AS avg_temp, min(temp) AS min_temp, max(temp) AS max_temp,
-  {whole_mean('humidity')} AS avg_humidity, {whole_mean('aqi')} AS avg_aqi, max(aqi) AS max_aqi,
-  {exact_mean('pm2_5')} AS avg_pm2_5, {exact_mean('pm10')} AS avg_pm10,
+  {mean('temp')} AS avg_temp, min(temp) AS min_temp, max(temp) AS max_temp,
+  {mean('humidity')} AS avg_humidity, {mean('aqi')} AS avg_aqi, max(aqi) AS max_aqi,
+  {mean('pm2_5')} AS avg_pm2_5, {mean('pm10')} AS avg_pm10,
   CAST(count(*) AS INTEGER) AS observation_count
 """
 
 ROLLING = f"""
-  {exact_mean('temp')} AS avg_temp, min(temp) AS min_temp, max(temp) AS max_temp,
-  {whole_mean('humidity')} AS avg_humidity, {whole_mean('aqi')} AS avg_aqi,
-  {exact_mean('pm2_5')} AS avg_pm2_5, {exact_mean('pm10')} AS avg_pm10,
+  {mean('temp')} AS avg_temp, min(temp) AS min_temp, max(temp) AS max_temp,
+  {mean('humidity')} AS avg_humidity, {mean('aqi')} AS avg_aqi,
+  {mean('pm2_5')} AS avg_pm2_5, {mean('pm10')} AS avg_pm10,
   count(*) AS observation_count
 """
 
 GOLD_DAY = f"""
 WITH {EVENTS},
 today AS (SELECT city_id, {DAILY} FROM sensor_events WHERE ingestion_date = DATE '2024-01-15' GROUP BY city_id),
-week AS (SELECT city_id, {exact_mean('temp')} AS rolling_7day_avg_temp FROM sensor_events
+week AS (SELECT city_id, {mean('temp')} AS rolling_7day_avg_temp FROM sensor_events
          WHERE ingestion_date BETWEEN DATE '2024-01-09' AND DATE '2024-01-15' GROUP BY city_id)
 SELECT today.*, DATE '2024-01-15' AS date, rolling_7day_avg_temp FROM today LEFT JOIN week USING (city_id)
 """
 
 ROLLING_7DAY = f"""
-per_day AS (SELECT city_id, ingestion_date AS date, sum(CAST(round(temp * 10000) AS BIGINT)) AS s, count(temp) AS n
+per_day AS (SELECT city_id, ingestion_date AS date, sum(temp) AS s, count(temp) AS n
             FROM sensor_events GROUP BY ALL),
-weekly AS (SELECT a.city_id, a.date, CAST(sum(b.s) AS DOUBLE) / 10000.0 / nullif(sum(b.n), 0) AS rolling_7day_avg_temp
+weekly AS (SELECT a.city_id, a.date, round(sum(b.s) / nullif(sum(b.n), 0), 10) AS rolling_7day_avg_temp
              FROM per_day a JOIN per_day b ON a.city_id = b.city_id AND b.date BETWEEN a.date - 6 AND a.date
              GROUP BY a.city_id, a.date)
 """
@@ -107,7 +102,9 @@ calls(event_type, endpoint, attempt, status) AS (VALUES
   ('view', 'air_pollution', 1, 503), ('view', 'air_pollution', 2, 500), ('view', 'air_pollution', 3, 200),
   ('purchase', 'weather', 1, 200),
   ('purchase', 'air_pollution', 1, 500), ('purchase', 'air_pollution', 2, 502), ('purchase', 'air_pollution', 3, 504),
+  ('purchase', 'air_pollution', 4, 200),
   ('signup', 'weather', 1, NULL), ('signup', 'weather', 2, NULL), ('signup', 'weather', 3, NULL),
+  ('signup', 'air_pollution', 1, 500), ('signup', 'air_pollution', 2, 502), ('signup', 'air_pollution', 3, 504),
   ('error', 'weather', 1, 401)),
 polls AS (SELECT event_id // 100 AS cycle_id, 'city_' || (event_id % 100) AS city_id, event_type,
                  poll_timestamp AS responded_at, temp, humidity, aqi, pm2_5
@@ -131,7 +128,7 @@ lag AS (SELECT "TimeGenerated", "ConsumerGroup", "EventHubName", "PartitionId",
 
 METRICS = f"""
 used AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS "TimeGenerated",
-                {exact_mean('value')} AS "AvgUtilization",
+                {mean('value')} AS "AvgUtilization",
                 max(CASE WHEN user_id % 2 = 0 THEN 0.0 ELSE value END) AS "MaxUtilization"
          FROM events WHERE event_type IN ('view', 'click') GROUP BY 1),
 waiting AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS "TimeGenerated",
@@ -164,8 +161,8 @@ SELECT stats.*, rolling_7day_avg_temp FROM stats JOIN weekly USING (city_id, dat
     "rolling_7day_all": f"WITH {EVENTS}, {ROLLING_7DAY} SELECT * FROM weekly",
     "daily_stats_lineitem": f"""
 SELECT l_suppkey AS sensor, CAST(l_shipdate AS DATE) AS date,
-       {exact_mean('l_quantity')} AS avg_quantity, min(l_quantity) AS min_quantity, max(l_quantity) AS max_quantity,
-       {exact_mean('l_extendedprice')} AS avg_price, max(l_extendedprice) AS max_price, count(*) AS observation_count
+       {mean('l_quantity')} AS avg_quantity, min(l_quantity) AS min_quantity, max(l_quantity) AS max_quantity,
+       {mean('l_extendedprice')} AS avg_price, max(l_extendedprice) AS max_price, count(*) AS observation_count
 FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
     "hopping_avg": f"WITH {EVENTS} {hopping('poll_timestamp')}",
     "hopping_avg_right_closed": f"WITH {EVENTS} {hopping('(poll_timestamp - INTERVAL 1 MICROSECOND)')}",
@@ -238,7 +235,7 @@ FROM sensor_events WHERE event_id % 100 = 99""",
 WITH {EVENTS}
 SELECT 'city_' || (event_id % 100) AS city_id, poll_timestamp, temp, humidity,
        CASE WHEN humidity % 10 <> 9 THEN aqi END AS aqi, CASE WHEN humidity % 10 <> 9 THEN pm2_5 END AS pm2_5
-FROM sensor_events WHERE event_type IN ('click', 'view')""",
+FROM sensor_events WHERE event_type IN ('click', 'view', 'purchase')""",
     "city_lookup": f"""
 WITH {EVENTS}
 SELECT event_id, city_id, n_name AS city_name, n_nationkey + 0.5::DOUBLE AS city_lat,
@@ -254,17 +251,17 @@ FROM ended""",
     "failure_details": f"""
 WITH {RESPONSES}
 SELECT cycle_id, city_id, endpoint, status, left('{{"cod":401,"message":"' || repeat('no ', 90) || '"}}', 200) AS error_text,
-       true AS concerns_all_cities
+       '{{"cod":401,"message":"' || repeat('no ', 90) || '"}}' AS body, true AS concerns_all_cities
 FROM responses WHERE status = 401""",
     "poll_summary": f"""
 WITH {RESPONSES},
-per_city AS (SELECT cycle_id, city_id, event_type IN ('click', 'view') AS succeeded, count(*) AS calls
+per_city AS (SELECT cycle_id, city_id, event_type IN ('click', 'view', 'purchase') AS succeeded, count(*) AS calls
              FROM responses GROUP BY ALL)
 SELECT cycle_id, count(*) AS cities, count(*) FILTER (succeeded) AS cities_succeeded,
        count(*) FILTER (NOT succeeded) AS cities_failed, CAST(sum(calls) AS BIGINT) AS calls
 FROM per_city GROUP BY cycle_id""",
     "failed_cities": f"""
-WITH {RESPONSES} SELECT cycle_id, city_id FROM polls WHERE event_type NOT IN ('click', 'view')""",
+WITH {RESPONSES} SELECT cycle_id, city_id FROM polls WHERE event_type NOT IN ('click', 'view', 'purchase')""",
     "rate_budget": f"""
 WITH {RESPONSES}
 SELECT count(*) AS calls, time_bucket(INTERVAL 1 MINUTE, responded_at) + INTERVAL 1 MINUTE AS minute_end,
@@ -284,7 +281,7 @@ WHERE date >= DATE '2024-02-10' - 30 ORDER BY city_id, date""",
     "recent_alerts": f"""
 WITH {EVENTS}, {SLIDING}, {UPSERTED}
 SELECT * FROM upserted WHERE detected_at >= TIMESTAMP '2024-01-10' AND detected_at < TIMESTAMP '2024-01-20'
-ORDER BY detected_at DESC, id LIMIT 50""",
+ORDER BY detected_at DESC, id""",
     "current_tiles": f"""
 WITH {EVENTS}
 SELECT city_id, poll_timestamp, temp, aqi FROM sensor_events
@@ -388,5 +385,14 @@ WITH {EVENTS} SELECT city_id, poll_timestamp, ingestion_date, dt, temp, aqi, pm1
 WITH {EVENTS}
 SELECT 'city_' || (event_id % 100) AS city_id, poll_timestamp, temp, humidity,
        CASE WHEN humidity % 10 <> 9 THEN aqi END AS aqi, CASE WHEN humidity % 10 <> 9 THEN pm2_5 END AS pm2_5
-FROM sensor_events WHERE event_type IN ('click', 'view')""",
+FROM sensor_events WHERE event_type IN ('click', 'view', 'purchase')""",
+    "stream_corrupt_isolated": f"""
+WITH {EVENTS}
+SELECT city_id, CASE WHEN humidity % 7 = 0 THEN 'not readable as JSON' END AS reason, count(*) AS records
+FROM sensor_events GROUP BY ALL""",
+    "stream_fast_clock": f"""
+WITH {EVENTS.replace('sensor_events AS', 'arriving AS')},
+clocks AS (SELECT *, CASE WHEN CAST(substr(city_id, 6) AS INTEGER) % 3 = 0 THEN arrival_ts
+                          ELSE greatest(poll_timestamp, arrival_ts - INTERVAL 5 MINUTE) END AS held_ts FROM arriving)
+{hopping('held_ts', 'clocks')}""",
 }

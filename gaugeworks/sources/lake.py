@@ -20,6 +20,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a folder, if it is there."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def read_or_none(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """A Parquet folder, or nothing when it has not been written yet."""
     if not exists(spark, path):
@@ -141,7 +147,23 @@ def folder_stream(
 
 def decode(records: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """The JSON body of (key, value) records as columns, with record columns to ``keep`` beside them,
-    such as the broker's ``timestamp``, which is the time of arrival."""
+    such as the broker's ``timestamp``, which is the time of arrival. Records that are no JSON are those
+    of ``unreadable``."""
     body = F.from_json(F.col("value").cast("string"), wire(schema, corrupt=False))
-    events = records.select(body.alias("event"), *keep).select("event.*", *keep)
+    readable = records.filter(F.col("value").isNotNull() & F.try_parse_json(F.col("value").cast("string")).isNotNull())
+    events = readable.select(body.alias("event"), *keep).select("event.*", *keep)
     return events.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], *keep)
+
+
+def unreadable(records: DataFrame, arrival: str | None = None) -> DataFrame:
+    """(key, value, reason, ingestion_date) of the records whose body is no JSON, under the day of
+    arrival, or of handling where the arrival is not known."""
+    value = F.col("value").cast("string")
+    broken = records.filter(F.col("value").isNull() | F.try_parse_json(value).isNull())
+    day = F.to_date(arrival) if arrival else F.current_date()
+    return broken.select(
+        F.col("key").cast("string").alias("key"),
+        value.alias("value"),
+        F.when(value.isNull(), "no body").otherwise("not readable as JSON").alias("reason"),
+        day.alias("ingestion_date"),
+    )

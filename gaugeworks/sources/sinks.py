@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gaugeworks.operators.flatten import to_wire
 from gaugeworks.operators.keep import first_per_key
-from gaugeworks.sources.lake import exists, read_or_none
+from gaugeworks.sources.lake import delete, exists
 
 # --- Fixed value: partitions of the event topic ---
 TOPIC_PARTITIONS = 4
 
-# A touched-partition list is brought to the driver only up to this many values.
-LISTED_PARTITIONS = 4096
-
 
 def clustered(df: DataFrame, *columns: str) -> DataFrame:
     """Rows ranged and sorted by the columns, so that a file covers a narrow range of them and a
@@ -72,18 +70,25 @@ def clear_day(empty: DataFrame, path: str, day: date, partition: str = "ingestio
         empty.drop(partition).limit(0).write.mode("overwrite").parquet(leaf)
 
 
-def _touched(rows: DataFrame, partition: str) -> list | None:
-    """The partitions ``rows`` falls in, or ``None`` when they are too many to list."""
-    listed = [r[0] for r in rows.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()]
-    return listed if len(listed) <= LISTED_PARTITIONS else None
+def touched(rows: DataFrame, partition: str) -> list:
+    """The partitions ``rows`` falls in: as many values as folders it will write."""
+    return [r[0] for r in rows.select(partition).distinct().collect()]
+
+
+def _leaf(path: str, partition: str, value) -> str:
+    name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    return f"{path.rstrip('/')}/{partition}={name}"
 
 
-def _only_partitions(current: DataFrame, rows: DataFrame, partition: str, values: list | None) -> DataFrame:
-    if values is None:
-        touched = rows.select(F.col(partition).alias("_touched")).distinct()
-        return current.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
-    known = F.col(partition).isin([v for v in values if v is not None])
-    return current.filter(known | F.col(partition).isNull() if None in values else known)
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}/_pending"
+
+
+def finish_pending(spark: SparkSession, path: str, schema: StructType, partition: str) -> None:
+    """Completes an upsert that ended between writing its merged partitions and putting them in place."""
+    if exists(spark, f"{_pending(path)}/_SUCCESS"):
+        overwrite_partitions(spark.read.schema(schema).parquet(_pending(path)), path, partition)
+    delete(spark, _pending(path))
 
 
 def upsert(
@@ -98,27 +103,33 @@ def upsert(
     """MERGE by key: a row replaces the stored one of the same key, others are added, and stored rows
     that ``rows`` lacks stay.
 
-    Only the partitions ``rows`` touches are read and rewritten. Stored and new rows are united and
-    one per key is kept, new before stored, or the first under ``newest``. The key must determine the
-    partition. One writer per table is assumed. Returns how many new rows the table now holds, counted
-    in the last step of the write: ranging samples its input, which would count twice before it.
-    ``rows`` is read more than once unless ``partitions`` says which ones it touches.
+    Only the folders of partitions that ``rows`` touches are listed, read and rewritten. Stored and new
+    rows are united and one per key is kept, new before stored, or the first under ``newest``. The key
+    must determine the partition. One writer per table is assumed. Returns how many new rows the table
+    now holds. ``rows`` is read more than once unless ``partitions`` says which ones it touches.
+
+    The merged partitions are written whole to a folder beside the table first and put in place
+    from there. A driver lost in between leaves them behind, and the next upsert completes the work, so
+    no stored row is lost.
     """
+    spark = rows.sparkSession
+    finish_pending(spark, path, rows.schema, partition)
     if partitions is None:
-        partitions = _touched(rows, partition)
-        if partitions == []:
-            return 0
-    current = read_or_none(rows.sparkSession, path, rows.schema)
+        partitions = touched(rows, partition)
+    if not partitions:
+        return 0
+    leaves = [leaf for leaf in (_leaf(path, partition, v) for v in partitions) if exists(spark, leaf)]
     both = rows.withColumn("_new", F.lit(1))
-    if current is not None:
-        stored = _only_partitions(current, rows, partition, partitions)
+    if leaves:
+        stored = spark.read.schema(rows.schema).option("basePath", path).parquet(*leaves)
         both = both.unionByName(stored.withColumn("_new", F.lit(0)))
     merged = first_per_key(both, keys, [*(newest or []), F.col("_new").desc()])
     ranged = clustered(merged, partition, *(cluster or keys))
-    seen = Observation()
-    counted = ranged.observe(seen, F.count_if(F.col("_new") == 1).alias("merged"))
-    overwrite_partitions(counted.drop("_new"), path, partition)
-    return seen.get["merged"]
+    ranged.write.mode("overwrite").partitionBy(partition).parquet(_pending(path))
+    written = spark.read.schema(merged.schema).parquet(_pending(path))
+    count = written.where("_new = 1").count()
+    finish_pending(spark, path, rows.schema, partition)
+    return count
 
 
 def create_if_absent(df: DataFrame, table: str, partition: str | None = None) -> bool:
@@ -147,12 +158,3 @@ def publish(
     else:
         partition = F.pmod(F.xxhash64("key"), F.lit(TOPIC_PARTITIONS)).cast("int")
         records.withColumn("partition", partition).write.mode("append").parquet(target)
-
-
-def versions(spark, table: str) -> DataFrame:
-    """The history of a table whose format keeps one."""
-    return spark.sql(f"DESCRIBE HISTORY {table}")
-
-
-def restore(spark, table: str, version: int) -> DataFrame:
-    return spark.sql(f"RESTORE TABLE {table} TO VERSION AS OF {int(version)}")

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeworks.operators.alerts import ROLLING_SIZE, ROLLING_SLIDE, rolling_stats
 from gaugeworks.operators.windows import adjust_late
 from gaugeworks.schemas import BRONZE, ROLLING, conform
+from gaugeworks.sources.lake import unreadable
 from gaugeworks.sources.sinks import upsert
 
 # --- Fixed values: tolerance and trigger intervals ---
@@ -60,19 +61,23 @@ def start(
 def event_time(events: DataFrame, time: str = "poll_timestamp", arrival: str | None = None) -> DataFrame:
     """Event time with the late policy applied.
 
-    With an arrival column, late events are moved to five minutes before their arrival. The watermark
-    trails the newest event by the same five minutes and no event is newer than its arrival, so as
-    long as records are read in arrival order nothing falls behind the watermark: a city that was
-    silent and catches up loses nothing. Without one, Spark drops what the watermark has passed.
+    With an arrival column, late events are moved to five minutes before their arrival, and events
+    from a clock that runs ahead back to their arrival, so that no city moves the watermark past
+    another. The watermark trails the newest event by the same five minutes, so as long as
+    records are read in arrival order nothing falls behind it: a city that was silent and catches up
+    loses nothing. Without an arrival, Spark drops what the watermark has passed.
     """
-    adjusted = adjust_late(events, time, arrival, LATE_TOLERANCE) if arrival else events
-    return adjusted.withWatermark(time, LATE_TOLERANCE)
+    if arrival is None:
+        return events.withWatermark(time, LATE_TOLERANCE)
+    adjusted = adjust_late(events, time, arrival, LATE_TOLERANCE)
+    held = F.when(F.col(time).isNotNull(), F.least(F.col(time), F.col(arrival)))
+    return adjusted.withColumn(time, held).withWatermark(time, LATE_TOLERANCE)
 
 
-def rolling_windows(events: DataFrame, time: str = "poll_timestamp", scale: int | None = None) -> DataFrame:
+def rolling_windows(events: DataFrame, time: str = "poll_timestamp") -> DataFrame:
     """Rolling averages as a streaming aggregation. Group state is spread by city and window."""
     window = F.window(time, ROLLING_SIZE, ROLLING_SLIDE)
-    grouped = events.groupBy("city_id", window).agg(*[s.aggregate() for s in rolling_stats(scale)])
+    grouped = events.groupBy("city_id", window).agg(*[s.aggregate() for s in rolling_stats()])
     return conform(grouped.withColumn("window_end_time", F.col("window.end")), ROLLING)
 
 
@@ -100,13 +105,12 @@ def rolling_job(
     table: str,
     checkpoint: str,
     every: str | None = ROLLING_TRIGGER,
-    scale: int | None = None,
     by: str = "hour",
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keeps the table of rolling averages up to date; a window changes until its time has passed."""
     handle = upsert_each(table, ["city_id", "window_end_time"], "window_end_time", by)
-    windows = rolling_windows(events, scale=scale)
+    windows = rolling_windows(events)
     return start(windows, checkpoint, handle, "update", every, "rolling_averages", state_partitions)
 
 
@@ -126,6 +130,21 @@ def passthrough_job(events: DataFrame, folder: str, checkpoint: str, every: str
     )
 
 
+def dead_letter_job(records: DataFrame, folder: str, checkpoint: str, every: str | None = ALERT_TRIGGER) -> StreamingQuery:
+    """Records whose body is no JSON, as they came, by day of arrival: set aside, never dropped."""
+    arrival = "timestamp" if "timestamp" in records.columns else None
+    return start(
+        unreadable(records, arrival),
+        checkpoint,
+        every=every,
+        name="dead_letters",
+        partition="ingestion_date",
+        fmt="json",
+        path=folder,
+        ignoreNullFields="false",
+    )
+
+
 def without_duplicates(
     events: DataFrame, keys: tuple[str, ...] = ("city_id", "observation_timestamp"), time: str = "poll_timestamp"
 ) -> DataFrame:

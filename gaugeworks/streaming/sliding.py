@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gaugeworks.functions.times import as_time, epoch_micros, micros
 from gaugeworks.operators.alerts import ALERT_STATS, ALERT_WINDOW, AnomalyRule
-from gaugeworks.operators.windows import adjust_late, adjust_out_of_order, sliding
+from gaugeworks.operators.windows import adjust_late, adjust_out_of_order, moved_up, sliding
 from pyspark.sql.types import StructField, StructType
 from gaugeworks.sources.sinks import upsert
 from gaugeworks.streaming.jobs import (
@@ -87,7 +87,7 @@ class SlidingAlerts:
         clock = self._latest(known)
         if self.arrival is None:
             limit = F.col("_seen") - micros(ORDER_TOLERANCE)
-            moved = as_time(F.greatest(epoch_micros(self.time), limit), batch, self.time)
+            moved = as_time(moved_up(self.time, limit), batch, self.time)
             return batch.join(clock, "city_id", "left").withColumn(self.time, moved)
         punctual = adjust_late(batch, self.time, self.arrival, LATE_TOLERANCE)
         return adjust_out_of_order(punctual, self.time, self.arrival, ["city_id"], ORDER_TOLERANCE, seen=clock)

@@ -41,11 +41,11 @@ def test_rolling_stream_equals_batch(spark, folder, readings):
         readings([(rng.choice("ab"), at(30 * n, rng.randrange(1700)), rng.randrange(300) / 4, rng.randint(1, 5)) for _ in range(40)])
         for n in range(3)
     ]
-    feed(spark, folder, parts, lambda e, c: jobs.rolling_job(jobs.event_time(e), folder("t"), c, None, 4))
+    feed(spark, folder, parts, lambda e, c: jobs.rolling_job(jobs.event_time(e), folder("t"), c, None))
     whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
     got = spark.read.parquet(folder("t")).select(*ROLLING.fieldNames())
     # Events of the last five minutes before a part may be passed by the watermark only across parts.
-    assert same(got, alerts.rolling_averages(whole, scale=4).select(*ROLLING.fieldNames()))
+    assert same(got, alerts.rolling_averages(whole).select(*ROLLING.fieldNames()))
 
 
 def test_silent_city_loses_nothing_under_the_late_policy(spark, folder):

@@ -149,7 +149,7 @@ def test_sliding_equals_brute_force_with_a_hot_city(readings, splits):
         if rng.random() < 0.5:
             t = t + dt.timedelta(microseconds=rng.randrange(60_000_000))
         rows.append((city, t, rng.choice([None, round(rng.uniform(0, 30), 1)]), rng.choice([None, 1, 3, 5])))
-    stats = [maximum("temp", "hi"), minimum("temp", "lo"), maximum("aqi", "air"), count("n"), mean("aqi", "avg", 0)]
+    stats = [maximum("temp", "hi"), minimum("temp", "lo"), maximum("aqi", "air"), count("n"), mean("aqi", "avg")]
     got = windows.sliding(readings(rows), "poll_timestamp", "15 minutes", ["city_id"], stats, end="at", splits=splits)
     found = {
         (r.city_id, r.at, r.hi, r.lo, r.air, r.n, None if r.avg is None else round(r.avg, 9)) for r in got.collect()
@@ -211,3 +211,13 @@ def test_order_of_input_does_not_matter(readings):
     rule = AnomalyRule(swing=5.0, aqi=4)
     one, two = (anomaly_alerts(readings(r), rule=rule) for r in (rows, shuffled))
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty() and not one.isEmpty()
+
+
+def test_a_row_without_time_is_given_none(spark):
+    rows = [("a", None, at(9)), ("a", at(0), at(9)), ("a", at(9), at(9))]
+    events = spark.createDataFrame(rows, "city_id STRING, t TIMESTAMP, arrived TIMESTAMP")
+    late = windows.adjust_late(events, "t", "arrived")
+    assert sorted((r.t for r in late.collect()), key=str) == sorted([None, at(4), at(9)], key=str)
+    ordered = windows.adjust_out_of_order(late, "t", "arrived", ["city_id"])
+    assert sum(r.t is None for r in ordered.collect()) == 1
+    assert windows.tumbling(late, "t", "1 minute", ["city_id"], [count("n")]).agg(F.sum("n")).first()[0] == 2
