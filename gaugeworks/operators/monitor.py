@@ -53,9 +53,9 @@ def _metric(log: DataFrame, name: str) -> DataFrame:
     return log.filter((F.col("ResourceProvider") == STREAM_PROVIDER) & (F.col("MetricName") == name))
 
 
-def _bins(metric: DataFrame, stats) -> DataFrame:
+def _bins(metric: DataFrame, stats, keys=()) -> DataFrame:
     """Aggregates per bin, labelled with the start of the bin."""
-    ends = tumbling(metric, "TimeGenerated", BIN, [], stats, end="_end")
+    ends = tumbling(metric, "TimeGenerated", BIN, list(keys), stats, end="_end")
     return ends.withColumn("TimeGenerated", F.col("_end") - F.expr(f"INTERVAL {BIN}")).drop("_end")
 
 
@@ -75,10 +75,19 @@ def backlog(log: DataFrame, above: float = BACKLOG_ABOVE) -> DataFrame:
 
 def load_signals(log: DataFrame) -> DataFrame:
     """Utilisation and backlog as one series with a metric name: a job can fall behind while its
-    utilisation looks low, so neither alone will do."""
-    used = utilisation(log).withColumn("metric", F.lit(UTILISATION_METRIC))
-    waiting = backlog(log).withColumn("metric", F.lit(BACKLOG_METRIC))
-    return used.unionByName(waiting, allowMissingColumns=True)
+    utilisation looks low, so neither alone will do. One scan of the log and one shuffle give both."""
+    both = log.filter(
+        (F.col("ResourceProvider") == STREAM_PROVIDER) & F.col("MetricName").isin(UTILISATION_METRIC, BACKLOG_METRIC)
+    ).withColumnRenamed("MetricName", "metric")
+    bins = _bins(both, [mean("Average", "_mean"), maximum("Maximum", "_max")], ["metric"])
+    used = F.col("metric") == UTILISATION_METRIC
+    return bins.filter(used | (F.col("_max") > BACKLOG_ABOVE)).select(
+        "TimeGenerated",
+        F.when(used, F.col("_mean")).alias("AvgUtilization"),
+        F.when(used, F.col("_max")).alias("MaxUtilization"),
+        F.when(~used, F.col("_max")).alias("MaxBacklog"),
+        "metric",
+    )
 
 
 def _failed_activities(activities: DataFrame, stages: tuple[str, ...]) -> DataFrame:

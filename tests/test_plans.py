@@ -6,7 +6,7 @@ import pytest
 from conftest import at
 from pyspark.sql import functions as F
 
-from gaugeworks.operators import alerts, daily, gate, responses, windows
+from gaugeworks.operators import alerts, daily, gate, monitor, responses, windows
 from gaugeworks.schemas import RESPONSE_LOG
 from gaugeworks.sources import lake, sinks
 
@@ -110,3 +110,13 @@ def test_gate_filters_reach_the_scan(stored):
     ready = stored.withColumn("observation_timestamp", F.col("poll_timestamp"))
     good, _ = gate.split_required(ready)
     assert re.search(r"PushedFilters: \[IsNotNull\(city_id\), IsNotNull\(poll_timestamp\), IsNotNull\(temp\), IsNotNull\(aqi\)", plan(good))
+
+
+def test_load_signals_are_one_scan_and_one_shuffle(spark, folder):
+    log = spark.createDataFrame(
+        [(at(0), "x", "y", 1.0, 1.0)],
+        "TimeGenerated TIMESTAMP, ResourceProvider STRING, MetricName STRING, Average DOUBLE, Maximum DOUBLE",
+    )
+    log.write.parquet(folder("log"))
+    signals = plan(monitor.load_signals(spark.read.parquet(folder("log"))))
+    assert signals.count("FileScan") == 1 and signals.count("Exchange") == 1 and "Sort " not in signals
