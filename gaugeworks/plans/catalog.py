@@ -13,9 +13,9 @@ from pyspark.sql.types import StructField, StructType, TimestampType
 
 from gaugeworks.functions.stats import count, maximum, mean, minimum
 from gaugeworks.operators import alerts, daily, drift, flatten, gate, monitor, responses, serving, windows
-from gaugeworks.plans import adapters, daily_run
+from gaugeworks.plans import adapters, daily_run, ingest
 from gaugeworks.plans.adapters import sensor_events, table
-from gaugeworks.schemas import ALERT, BRONZE, GOLD, ROLLING, SILVER, STREAM_EVENT, conform, wire
+from gaugeworks.schemas import ALERT, BRONZE, BROKER_LOG, GOLD, ROLLING, SILVER, STREAM_EVENT, conform, wire
 from gaugeworks.session import work_dir
 from gaugeworks.sources import lake, sinks
 from gaugeworks.streaming import jobs, sliding
@@ -651,3 +651,54 @@ def stream_fast_clock(spark, sf_dir):
         "arrival_ts",
     )
     return plain_time(lake.read_or_none(spark, rolling).select(*ROLLING.fieldNames()), "window_end_time")
+
+
+# --- readers of files -------------------------------------------------------------------------
+
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+@query
+def ingest_roundtrip(spark, sf_dir):
+    """Recorded answers as files through the ingest job, and the published events back."""
+    recorded, topic, aside = (work_dir(spark, n) for n in ("answers", "topic", "aside"))
+    adapters.response_log(spark, sf_dir).drop("event_id").write.option("timestampNTZFormat", MICROS).json(recorded)
+    ingest.ingest(spark, recorded, topic, aside, adapters.city_dimension(spark, sf_dir))
+    events = lake.decode(spark.read.parquet(topic), BRONZE)
+    columns = ("city_id", "poll_timestamp", "source", "ingestion_date", "dt", "temp", "humidity", "aqi", "pm2_5", "pm10")
+    return plain_time(events.select(*columns, "weather_main"), "poll_timestamp")
+
+
+@query
+def responses_from_files(spark, sf_dir):
+    recorded = work_dir(spark, "answers")
+    adapters.response_log(spark, sf_dir).drop("event_id").write.option("timestampNTZFormat", MICROS).json(recorded)
+    return responses.poll_summary(lake.read_responses(spark, recorded))
+
+
+@query
+def cities_from_file(spark, sf_dir):
+    path = work_dir(spark, "cities")
+    cities = adapters.city_dimension(spark, sf_dir)
+    cities.agg(F.to_json(F.collect_list(F.struct(*cities.columns)))).write.text(path)  # one array, as the file is kept
+    joined = flatten.with_city(sensor_events(spark, sf_dir), lake.read_cities(spark, path))
+    return joined.select("event_id", "city_id", "city_name", "city_lat", "city_lon", "temp")
+
+
+@query
+def log_from_files(spark, sf_dir):
+    path = work_dir(spark, "log")
+    adapters.broker_log(spark, sf_dir).write.option("timestampNTZFormat", MICROS).json(path)
+    return plain_time(monitor.lag_listing(lake.read_log(spark, path, BROKER_LOG, "json")), "TimeGenerated")
+
+
+@query
+def gold_created_once(spark, sf_dir):
+    """A managed table is made by the first of two writers; the second changes nothing."""
+    name = f"gold_once_{uuid.uuid4().hex}"
+    gold = daily.gold_range(sensor_events(spark, sf_dir), *span(spark, sf_dir))
+    made = [sinks.create_if_absent(gold, name), sinks.create_if_absent(gold.limit(0), name)]
+    path = work_dir(spark, "once")
+    spark.table(name).withColumn("made", F.lit(sum(made))).write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path).select("city_id", "date", "max_temp", "observation_count", "made")

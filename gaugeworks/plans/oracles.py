@@ -395,4 +395,17 @@ WITH {EVENTS.replace('sensor_events AS', 'arriving AS')},
 clocks AS (SELECT *, CASE WHEN CAST(substr(city_id, 6) AS INTEGER) % 3 = 0 THEN arrival_ts
                           ELSE greatest(poll_timestamp, arrival_ts - INTERVAL 5 MINUTE) END AS held_ts FROM arriving)
 {hopping('held_ts', 'clocks')}""",
+    "ingest_roundtrip": f"""
+WITH {EVENTS}
+SELECT 'city_' || (event_id % 100) AS city_id, poll_timestamp, 'azure-function-timer' AS source, ingestion_date, dt, temp, humidity,
+       CASE WHEN humidity % 10 <> 9 THEN aqi END AS aqi, CASE WHEN humidity % 10 <> 9 THEN pm2_5 END AS pm2_5,
+       CASE WHEN humidity % 10 <> 9 THEN pm10 END AS pm10, CASE WHEN humidity % 5 <> 0 THEN event_type END AS weather_main
+FROM sensor_events WHERE event_type IN ('click', 'view', 'purchase')""",
+    "gold_created_once": f"""
+WITH {EVENTS}
+SELECT city_id, ingestion_date AS date, max(temp) AS max_temp, CAST(count(*) AS INTEGER) AS observation_count, 1 AS made
+FROM sensor_events GROUP BY ALL""",
 }
+ORACLES["responses_from_files"] = ORACLES["poll_summary"]
+ORACLES["cities_from_file"] = ORACLES["city_lookup"]
+ORACLES["log_from_files"] = ORACLES["lag_listing"]
