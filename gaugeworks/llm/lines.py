@@ -72,15 +72,16 @@ def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = docs.drop("n_lines", "n_removed")
     names = kept.columns
     found = stored(later_windows(kept.select("doc_id", F.col(text).alias("text"))), "later-windows")
-    # Names of given columns may clash, so they travel in one struct.
+    # Names of given columns may clash, so they travel in one struct; the text travels once, beside it.
+    others = [F.col(f"`{c}`") for c in names if c != text]
     whole = kept.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_given"),
+        F.struct(*others, F.lit(0).alias("_filled")).alias("_given"),
         F.col("doc_id").cast("long").alias("_id"),
         F.unhex(F.md5(text_of(text))).alias("_digest"),
         F.col(text).alias("_text"),
     )
     hit = found.select(F.col("doc_id").alias("_other"), F.col("digest").alias("_same"), "spans")
-    joined = whole.join(hit, F.expr("_id <=> _other AND _digest = _same"), "left").select("_given", "_text", "spans")
+    joined = whole.join(hit.hint("merge"), F.expr("_id <=> _other AND _digest = _same"), "left").select("_given", "_text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:

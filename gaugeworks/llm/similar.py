@@ -518,6 +518,7 @@ def named_sets(docs: DataFrame, width: int, threshold: str) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "h")).alias("head"), F.max("common").alias("common"), F.max("n").alias("n"))
         .where(F.expr(f"common >= 1 + (n * {rule.num} + {rule.den - 1}) div {rule.den} div 10"))
         .select(F.col("head.doc_id").alias("doc_id_2"), F.col("head.h").alias("h_2"))
+        .hint("merge")
     )
     left = texts.join(heads, F.expr("doc_id <=> doc_id_2 AND h = h_2"), "left_semi")
     second = sieve(left, whole_sets, f"{ROWS}, set binary", buckets, "second-sieve")
@@ -562,6 +563,7 @@ def representatives(docs: DataFrame, width: int = 5, threshold: str = "4/5") ->
         .where(~order.eqNullSafe(F.col("head")))
         .select(F.col("doc_id").alias("_other"), F.col("h").alias("_same"))
         .distinct()
+        .hint("merge")
     )
     names = docs.columns
     whole = docs.select(
