@@ -10,9 +10,13 @@ from gaugeworks.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
-        "local[4]", app="gaugeworks-tests", spark__sql__shuffle__partitions=3, spark__default__parallelism=3
+        "local[4]",
+        app="gaugeworks-tests",
+        spark__sql__shuffle__partitions=3,
+        spark__default__parallelism=3,
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("work")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
