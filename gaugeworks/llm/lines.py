@@ -75,7 +75,7 @@ def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
     # Names of given columns may clash, so they travel in one struct; the text travels once, beside it.
     others = [F.col(f"`{c}`") for c in names if c != text]
     whole = kept.select(
-        F.struct(*others, F.lit(0).alias("_filled")).alias("_given"),
+        F.struct(*others).alias("_given"),  # doc_id is among them
         F.col("doc_id").cast("long").alias("_id"),
         F.unhex(F.md5(text_of(text))).alias("_digest"),
         F.col(text).alias("_text"),
