@@ -212,7 +212,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def lists(sets: DataFrame, rule: Rule, light: int) -> DataFrame:
-    """(key, id, n, v): the lists by which sets that may link meet.
+    """(key, id, n, v, pos): the lists by which sets that may link meet. ``pos`` counts the tokens ahead.
 
     Light sets, of up to ``light`` tokens, meet by a common subset: itself and all that lack one token.
     Heavy sets meet in the inverted lists of the tokens of their prefix, the smallest hashes; light
@@ -222,7 +222,7 @@ def lists(sets: DataFrame, rule: Rule, light: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, who = [], []
+            keys, who, ahead = [], [], []
             for i, value in enumerate(batch.column("tokens")):
                 tokens = np.frombuffer(value.as_buffer(), dtype="<u8")
                 n = len(tokens)
@@ -230,16 +230,21 @@ def lists(sets: DataFrame, rule: Rule, light: int) -> DataFrame:
                     total = tokens.sum(dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                     subset = np.append(total - tokens * np.uint64(0x9E3779B97F4A7C15), total)
                     keys.append(subset ^ np.uint64(0x5555555555555555))
+                    ahead.append(np.zeros(len(subset), dtype=np.int64))
                 if n >= rule.least(light + 1):
                     level = int(np.floor(np.log(n) / np.log(rule.den / rule.num) + 1e-9))
                     for near in (level, level + 1):
                         keys.append(tokens[: rule.prefix(n)] + np.uint64(near * 0x2545F4914F6CDD1D % 2**64))
+                        ahead.append(np.arange(len(keys[-1])))
                 who += [i] * (sum(map(len, keys)) - len(who))
             rows = batch.select(["id", "n", "v"]).take(pa.array(who, pa.int64()))
             key = np.concatenate([np.empty(0, dtype=np.uint64), *keys]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(key), *rows.columns], ["key", "id", "n", "v"])
+            pos = np.concatenate([np.empty(0, dtype=np.int64), *ahead])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), *rows.columns, pa.array(pos, pa.int64())], ["key", "id", "n", "v", "pos"]
+            )
 
-    found = sets.select("id", "n", "v", "tokens").mapInArrow(run, "key long, id binary, n long, v long")
+    found = sets.select("id", "n", "v", "tokens").mapInArrow(run, "key long, id binary, n long, v long, pos long")
     # A list of one meets nobody. Counting combines ahead of the shuffle, so no list is gathered.
     alone = found.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
     return stored(found.join(alone, "key"), "similar-lists")
@@ -406,16 +411,18 @@ def linked(sets: DataFrame, rule: Rule, rounds: int = 2) -> DataFrame:
         found = lists(sets, rule, light)
     edges = None
     for turn in range(rounds):
-        pairs = star(found if edges is None else still_open(found, components(edges)), turn)
+        pairs = star(found if edges is None else still_open(found, components(edges)), rule, turn)
         new = stored(verified(pairs, sets, rule), "links")
         edges = new if edges is None else edges.unionByName(new)
     rest = stored(remaining(still_open(found, components(edges)), rule), "remaining")
     short = rest.where(F.col("length") <= SHORT_LIST)
-    other = short.select("key", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "v", "component")])
+    other = short.select("key", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "v", "pos", "component")])
+    # Where two sets first meet, what stands ahead in either is not in common; later meetings may go.
+    first = F.expr(f"{rule.num} * (n + n_2) <= {rule.num + rule.den} * least(n - pos, n_2 - pos_2)")
     pairs = (
         short.join(other, "key")
         .where("id < id_2 AND component != component_2")
-        .where(possible(rule))
+        .where(possible(rule) & first)
         .select(F.col("id").alias("a"), F.col("id_2").alias("b"))
         .distinct()
     )
@@ -431,20 +438,21 @@ def still_open(found: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(several.select("key"), "key")
 
 
-def star(members: DataFrame, turn: int) -> DataFrame:
+def star(members: DataFrame, rule: Rule, turn: int) -> DataFrame:
     """For each set the pivot (a, b) that it meets in most lists.
 
     A list's pivot is the set with the fewest tokens of its own: the nearest to the centre of a group
     of near copies. In a later turn it is chosen among those outside the first pivot's component.
     """
-    own = F.struct((F.col("n") - F.col("v")).alias("own"), "id")
+    own = F.struct((F.col("n") - F.col("v")).alias("own"), "id", "n", "v")
     if turn:
         centre = members.groupBy("key").agg(F.min_by("component", own).alias("centre"))
         outside = members.join(centre, "key").where("component != centre")
     else:
         outside = members
-    pivots = outside.groupBy("key").agg(F.min(own)["id"].alias("b"))
-    met = members.join(pivots, "key").where("id != b").groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("k"))
+    pivots = outside.groupBy("key").agg(F.min(own).alias("p"))
+    pivots = pivots.select("key", F.col("p.id").alias("b"), F.col("p.n").alias("n_2"), F.col("p.v").alias("v_2"))
+    met = members.join(pivots, "key").where("id != b").where(possible(rule)).groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("k"))
     return met.groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
 
 
