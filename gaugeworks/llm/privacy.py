@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ from gaugeworks.llm.common import stored, text_of
 KINDS = ("email", "ip", "card", "phone", "general", "remove")
 #: Distinct words a task counts before it passes the counts on; sums are the same for any number.
 COUNTED = 300_000
+#: Bits of the filter that finds texts which may be copies; results are the same for any number.
+SLOTS = 2**25
+
+# Fixed value: how many texts' worth of doubt is put on a term before it is taken to point to an entity.
+DOUBT = 2
 
 # The patterns of personal data.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -90,42 +96,88 @@ NEAR_ARROW = pa.list_(
 )
 
 
-def document_counts(texts: DataFrame) -> DataFrame:
-    """(term, documents): in how many texts each lower-cased word occurs."""
+def digest_of(text: str) -> bytes:
+    return hashlib.md5(text.encode()).digest()
+
+
+def copied_slots(digests: DataFrame) -> bytes:
+    """A bitmap of ``SLOTS`` bits with those set that a digest (first column) of more than one row falls on.
+
+    Its size is fixed, so what the driver holds does not grow with the rows.
+    """
+    digest = digests.columns[0]
+    slot = F.conv(F.hex(F.substring(digest, 1, 4)), 16, 10).cast("long") % SLOTS
+    parts = (
+        digests.groupBy(digest)
+        .count()
+        .where("count > 1")
+        .select(F.floor(slot / 32768).alias("part"), (slot % 32768).alias("bit"))
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+    )
+    bitmap = np.zeros((SLOTS // 32768, 4096), dtype=np.uint8)
+    for part, bits in parts.collect():
+        bitmap[part] = np.frombuffer(bits, dtype=np.uint8)
+    return bitmap.tobytes()
+
+
+def document_counts(texts: DataFrame, copied: bytes) -> DataFrame:
+    """(term, documents): in how many distinct texts each lower-cased word occurs.
+
+    ``copied`` is the bitmap of ``copied_slots``. Words of a text that it leaves out are summed by the
+    task; those of other texts go on with the digest of the text, to be counted once for each digest.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(copied)
+    names = ["term", "digest", "documents"]
+
+    def rows(terms: list[str], digest: bytes | None, documents: list[int]) -> pa.RecordBatch:
+        columns = [pa.array(terms, pa.string()), pa.array([digest] * len(terms), pa.binary()), pa.array(documents, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, seen = shared.value, set()
         counts: Counter[str] = Counter()
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 for text in whole.slice(start, 256).column(0).to_pylist():
-                    counts.update(set(WORD.findall(text.lower())))
+                    digest = digest_of(text)
+                    slot = int.from_bytes(digest[:4], "big") % SLOTS
+                    if not bits[slot >> 3] >> (slot & 7) & 1:
+                        counts.update(set(WORD.findall(text.lower())))
+                    elif digest not in seen:
+                        seen.add(digest)
+                        words = list(set(WORD.findall(text.lower())))
+                        yield rows(words, digest, [1] * len(words))
                 if len(counts) > COUNTED:
-                    yield pa.RecordBatch.from_pydict({"term": list(counts), "documents": list(counts.values())})
+                    yield rows(list(counts), None, list(counts.values()))
                     counts.clear()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["term", "documents"]
-        )
+                if len(seen) > COUNTED:
+                    seen.clear()
+        yield rows(list(counts), None, list(counts.values()))
 
     return (
         texts.select(text_of().alias("text"))
-        .mapInArrow(count, "term string, documents long")
-        .groupBy("term")
+        .mapInArrow(count, "term string, digest binary, documents long")
+        .groupBy("term", "digest")
         .agg(F.sum("documents").alias("documents"))
+        .groupBy("term")
+        .agg(F.sum(F.when(F.col("digest").isNull(), F.col("documents")).otherwise(1)).alias("documents"))
     )
 
 
-def find(docs: DataFrame, share: float = 0.8, support: int = 3, reach: int = 6) -> DataFrame:
+def find(docs: DataFrame, share: float = 0.8, reach: int = 6) -> DataFrame:
     """The columns of ``docs`` but the text, with ``spans``: (kind, start, end) by kind and start.
 
     Personal data are the protected entities. A word within ``reach`` words of an entity in the same
-    line may give it away. With n documents, n(t) of them holding term t, n(e) entity e and n(t, e) both
-    near each other, the term discloses log(n n(t, e) / n(t) n(e)) of the log(n / n(e)) bits of the
-    entity. Where that is at least ``share`` of them and the two meet in ``support`` documents or
-    more, the term's occurrences next to the entity become spans too: "remove" if the term occurs
-    nowhere else, else "general". Counts are those of all documents.
-
-    A null text counts as empty and has no spans. Each row is a document, so repeated rows count
-    each. ``spans`` of ``docs`` itself is replaced.
+    line may give it away. With n distinct texts, n(t) of them holding term t, n(e) entity e and n(t, e)
+    both near each other, p(e) = n(e) / n, and p(e | t) = (n(t, e) + d p(e)) / (n(t) + d): a term seen
+    in few texts is trusted less, by the ``DOUBT`` d. It discloses log(p(e | t) / p(e)) of the -log p(e)
+    bits of the entity. Where that is at least ``share`` of them, the term's occurrences next to the
+    entity become spans too: "remove" if the term occurs nowhere else, else "general". Every pair that
+    meets is judged, also one of a single text. Counts are those of all documents.
+
+    A null text counts as empty and has no spans. Copies of a text count once, and each row has its
+    spans. ``spans`` of ``docs`` itself is replaced.
     Texts are read twice, whole, and never shuffled.
     """
     kept = [c for c in docs.columns if c not in ("text", "spans")]
@@ -134,33 +186,33 @@ def find(docs: DataFrame, share: float = 0.8, support: int = 3, reach: int = 6)
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                spans, near = [], []
+                digests, spans, near = [], [], []
                 for text in batch.column(batch.num_columns - 1).to_pylist():
+                    digests.append(digest_of(text))
                     base = base_spans(text)
                     spans.append([dict(zip(("kind", "start", "end"), s, strict=True)) for s in base])
                     near.append(neighbours(text, base, reach) if base else [])
-                columns = [*batch.columns[:-1], pa.array(spans, SPAN_ARROW), pa.array(near, NEAR_ARROW)]
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "_spans", "_near"])
+                made = [pa.array(digests, pa.binary()), pa.array(spans, SPAN_ARROW), pa.array(near, NEAR_ARROW)]
+                names = [*batch.schema.names[:-1], "_digest", "_spans", "_near"]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names)
 
     # The names of the given columns may be any, so they travel in one struct.
     given = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(None).alias("none"))
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), given.alias("_given"), text_of().alias("_text"))
-    schema = T.StructType([*rows.schema[:-1], T.StructField("_spans", SPAN), T.StructField("_near", NEAR)])
-    found = stored(rows.mapInArrow(scan, schema), "private-spans")
-    total = found.count()
-
-    near = found.select("_row", F.explode("_near").alias("near")).select("_row", "near.*")
-    entities = near.groupBy("entity").agg(F.count_distinct("_row").alias("n_e"))
-    pairs = (
-        near.groupBy("entity", "term")
-        .agg(F.count_distinct("_row").alias("n_te"))
-        .where(F.col("n_te") >= support)
-    )
+    made = [T.StructField("_digest", T.BinaryType()), T.StructField("_spans", SPAN), T.StructField("_near", NEAR)]
+    found = stored(rows.mapInArrow(scan, T.StructType([*rows.schema[:-1], *made])), "private-spans")
+    total = found.select("_digest").distinct().count()
+    counts = document_counts(docs, copied_slots(found.select("_digest")))
+
+    near = found.select("_row", "_digest", F.explode("_near").alias("near")).select("_row", "_digest", "near.*")
+    entities = near.groupBy("entity").agg(F.count_distinct("_digest").alias("n_e"))
+    pairs = near.groupBy("entity", "term").agg(F.count_distinct("_digest").alias("n_te"))
+    p_e = F.col("n_e") / F.lit(float(total))
     disclosed = (
         pairs.join(entities, "entity")
-        .join(document_counts(docs).withColumnRenamed("documents", "n_t"), "term")
-        .withColumn("pmi", F.log(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))))
-        .where((F.col("pmi") > 0) & (F.col("pmi") >= share * F.log(F.lit(float(total)) / F.col("n_e"))))
+        .join(counts.withColumnRenamed("documents", "n_t"), "term")
+        .withColumn("pmi", F.log((F.col("n_te") + DOUBT * p_e) / (F.col("n_t") + DOUBT) / p_e))
+        .where((F.col("pmi") > 0) & (F.col("pmi") >= -share * F.log(p_e)))
         .select("entity", "term", F.when(F.col("n_t") == F.col("n_te"), "remove").otherwise("general").alias("kind"))
     )
     order = F.create_map(*[F.lit(x) for i, kind in enumerate(KINDS) for x in (kind, i)])
@@ -178,7 +230,7 @@ def find(docs: DataFrame, share: float = 0.8, support: int = 3, reach: int = 6)
             F.array().cast(SPAN),
         ),
     )
-    joined = found.drop("_near").join(added, "_row", "left").withColumn("_all", spans)
+    joined = found.drop("_near", "_digest").join(added, "_row", "left").withColumn("_all", spans)
     return joined.select(*[F.col(f"_given.`{c}`").alias(c) for c in kept], F.col("_all").alias("spans"))
 
 

@@ -1,6 +1,8 @@
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 from gaugeworks.llm import privacy
 
@@ -68,6 +70,48 @@ def test_query_and_terms(spark, prose):
     assert privacy.digests(docs.limit(0)).count() == 0
 
 
+def test_every_pair_is_judged_by_distinct_texts(spark, prose):
+    def expected(texts, reach=6):
+        near = {x: [(x[a:b], w.lower(), at) for a, b, w, at in mentions(x, reach)] for x in texts}
+        n_t = Counter(w for x in near for w in set(privacy.WORD.findall(x.lower())))
+        n_e = Counter(e for found in near.values() for e in {e for e, _, _ in found})
+        n_te = Counter(pair for found in near.values() for pair in {(e, t) for e, t, _ in found})
+        out = {}
+        for x, found in near.items():
+            for e, t, at in found:
+                p_e = n_e[e] / len(near)
+                pmi = math.log((n_te[e, t] + 2 * p_e) / (n_t[t] + 2) / p_e)
+                if pmi > 0 and pmi >= 0.8 * -math.log(p_e):
+                    out.setdefault(x, set()).add(("remove" if n_t[t] == n_te[e, t] else "general", *at))
+        return out
+
+    def mentions(text, reach):
+        for _, a, b in (spans := brute(text)):
+            left, right = text.rfind("\n", 0, a) + 1, text.find("\n", b) % (len(text) + 1)
+            words = list(privacy.WORD.finditer(text, left, a))[-reach:] + list(privacy.WORD.finditer(text, b, right))[:reach]
+            for w in words:
+                if not any(w.start() < e and s < w.end() for _, s, e in spans):
+                    yield a, b, w[0], w.span()
+
+    single = "ask quillfeather at solo@corp.example shan"
+    twice = [f"{prose(9, 700 + i)}\nthe marrowbone desk, pair@corp.example, shan" for i in range(2)]
+    copied = [f"{prose(5, 800 + i)} copy{'abc'[i]}word mail copy{i}@corp.example" for i in range(3)]
+    plain = [prose(25, i) for i in range(400)]
+    for others in (plain, plain[:40]):
+        # in the short table one text is too little to judge by, and eight copies of it are no more
+        texts = [*others, single, *twice, *copied * 8, None]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+        more = {
+            r.doc_id: {(s.kind, s.start, s.end) for s in r.spans if s.kind in ("general", "remove")}
+            for r in privacy.find(docs).collect()
+        }
+        want = expected([t or "" for t in texts])
+        assert more == {i: want.get(t or "", set()) for i, t in enumerate(texts)}
+        of_single = {single[a:b] for _, a, b in more[len(others)]}
+        assert ("quillfeather" in of_single) == (others is plain) and "shan" not in of_single
+        assert all(bool(more[i]) == (others is plain) for i, t in enumerate(texts) if t in copied)
+
+
 def test_masks(spark):
     assert privacy.masked("ask x@y.z or zed", [("email", 4, 9), ("remove", 13, 16)]) == "ask [EMAIL] or "
     docs = spark.createDataFrame([(1, "mail x@y.z", "k"), (2, None, "k")], "doc_id long, text string, extra string")
