@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- Fixed values: payload paths that become columns, or hold some that do ---
@@ -46,44 +43,47 @@ MAPPED_PATHS = (
     "air_pollution.list.components.nh3",
 )
 
-DEPTH = 6
 UNREADABLE = "(unreadable)"
 
 
+def opened(nodes: Column) -> Column:
+    """The fields of all objects and the elements of all lists among (path, value) nodes; an element has
+    the path of its list."""
+
+    def fields(node):
+        entries = F.map_entries(F.try_variant_get(node["value"], "$", "map<string,variant>"))
+        return F.transform(
+            entries, lambda e: F.struct(F.concat_ws(".", node["path"], e["key"]).alias("path"), e["value"].alias("value"))
+        )
+
+    def elements(node):
+        items = F.try_variant_get(node["value"], "$", "array<variant>")
+        return F.transform(items, lambda x: F.struct(node["path"].alias("path"), x.alias("value")))
+
+    return F.flatten(F.transform(nodes, lambda node: F.coalesce(fields(node), elements(node), F.array())))
+
+
 def path_counts(events: DataFrame, payload: str = "raw_payload_json") -> DataFrame:
-    """(path, payloads): how many payloads carry each field, down to ``DEPTH`` levels; lists count as
-    their first element, the one events are made from.
+    """(path, payloads): how many payloads carry each field, on every level and in every list element.
 
-    Each payload is parsed once and opened level by level into one row per innermost field. Rows of
-    equal position are counted at once, which leaves about as many as there are kinds of fields; only
-    then are paths spelled out. A path is counted by the row that is first inside it, so it counts
-    once per payload without a distinct.
+    Each payload is parsed once and opened level by level inside its row, as often as it has opening
+    brackets, which is no less than it has levels. Paths are made distinct in the row, so one counts
+    once per payload, and only the counts are shuffled.
     """
-    spark = events.sparkSession
-    given = F.col(payload).isNotNull()
-    rows = events.select(F.try_parse_json(payload).alias("_v"), given.alias("_given"))
-    rows = rows.select("_v", (F.col("_given") & F.col("_v").isNull()).alias("_bad"))
-    keys, firsts = [], []
-    for level in range(DEPTH):
-        opened = rows.lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()))
-        first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-        rows = opened.filter(F.col("key").isNotNull() | first).select(
-            "_bad",
-            *keys,
-            *firsts,
-            F.col("key").alias(f"_k{level}"),
-            first.alias(f"_f{level}"),
-            F.col("value").alias("_v"),
-        )
-        keys.append(f"_k{level}")
-        firsts.append(f"_f{level}")
-    counted = rows.groupBy("_bad", *keys, *firsts[1:]).agg(F.count("*").alias("payloads"))
-    paths = [F.when(F.col("_bad"), F.lit(UNREADABLE))]
-    for level in range(DEPTH):
-        counts_here = reduce(and_, map(F.col, firsts[level + 1 :]), F.col(keys[level]).isNotNull())
-        paths.append(F.when(counts_here, F.concat_ws(".", *keys[: level + 1])))
-    spelled = counted.select("payloads", F.explode(F.array(*paths)).alias("path")).filter(F.col("path").isNotNull())
-    return spelled.groupBy("path").agg(F.sum("payloads").alias("payloads"))
+    text = F.col(payload)
+    brackets = F.length(text) - F.length(F.translate(text, "{[", ""))
+    rows = events.filter(text.isNotNull()).select(F.try_parse_json(payload).alias("_v"), brackets.alias("_n"))
+    root = F.array(F.struct(F.lit(None).cast("string").alias("path"), F.col("_v").alias("value")))
+
+    def level(state, _):
+        nodes = opened(state["nodes"])
+        found = F.filter(F.transform(nodes, lambda n: n["path"]), lambda p: p.isNotNull())
+        return F.struct(nodes.alias("nodes"), F.array_union(state["paths"], found).alias("paths"))
+
+    start = F.struct(root.alias("nodes"), F.array().cast("array<string>").alias("paths"))
+    paths = F.aggregate(F.sequence(F.lit(0), "_n"), start, level, lambda state: state["paths"])
+    listed = F.when(F.col("_v").isNull(), F.array(F.lit(UNREADABLE))).otherwise(paths)
+    return rows.select(F.explode(listed).alias("path")).groupBy("path").agg(F.count("*").alias("payloads"))
 
 
 def unmapped_fields(
