@@ -1,10 +1,9 @@
-import datetime as dt
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
 from gaugeworks.session import build_session  # noqa: E402
 
@@ -28,16 +27,11 @@ def folder(tmp_path):
     return lambda name: str(tmp_path / name)
 
 
-T0 = dt.datetime(2024, 3, 1, 12, 0, 0)
 READING = (
     "city_id STRING, poll_timestamp TIMESTAMP, temp DOUBLE, humidity INT, aqi INT, pm2_5 DOUBLE, pm10 DOUBLE"
 )
 
 
-def at(minutes=0, seconds=0, micros=0):
-    return T0 + dt.timedelta(minutes=minutes, seconds=seconds, microseconds=micros)
-
-
 @pytest.fixture
 def readings(spark):
     """Rows of (city, time, temp, aqi) as readings."""

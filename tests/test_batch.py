@@ -5,7 +5,7 @@ import json
 from inspect import signature
 
 import pytest
-from conftest import at
+from instants import at
 from pyspark.sql import functions as F
 
 from gaugeworks import schemas

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import at
+from instants import at
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import alerts, daily, gate, monitor, responses, windows

@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import at
+from instants import at
 from pyspark.sql import functions as F
 
 from gaugeworks.operators import alerts, windows

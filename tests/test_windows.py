@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import at
+from instants import at
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.stats import count, maximum, mean, minimum
