@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import benchmarks, bpe, knn, lines, pages, privacy, quality, shards, similar, suffixes
+from gaugeworks.llm import benchmarks, bpe, knn, lines, pages, privacy, quality, rules, shards, similar, suffixes
 from gaugeworks.llm.common import read, text_of
 
 
@@ -62,6 +62,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.groups(read(spark, sf_dir, "documents"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of every document and the verdict of the threshold table."""
+    return rules.verdicts(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -73,10 +78,12 @@ QUERIES = {
     "op8_line_windows": op8_line_windows,
     "op9_quality": op9_quality,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op8_line_windows": lines.SQL,
+    "op13_quality_rules": rules.SQL,
     "op4_voronoi_knn": """
         WITH good AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
