@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import benchmarks, bpe, knn, lines, pages, privacy, quality, rules, shards, similar, suffixes
+from gaugeworks.llm import benchmarks, bpe, knn, lines, pages, privacy, quality, rules, shards, similar, suffixes, trie
 from gaugeworks.llm.common import read, text_of
 
 
@@ -62,6 +62,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar.groups(read(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, with sums over its subtree."""
+    return trie.nodes(read(spark, sf_dir, "conversations"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of every document and the verdict of the threshold table."""
     return rules.verdicts(read(spark, sf_dir, "documents"))
@@ -78,11 +83,13 @@ QUERIES = {
     "op8_line_windows": op8_line_windows,
     "op9_quality": op9_quality,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op8_line_windows": lines.SQL,
+    "op11_prefix_trie": trie.SQL,
     "op13_quality_rules": rules.SQL,
     "op4_voronoi_knn": """
         WITH good AS (
