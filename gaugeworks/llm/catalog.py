@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import benchmarks, bpe, knn, lines, pages, privacy, quality, rules, shards, similar, suffixes, trie
+from gaugeworks.llm import benchmarks, bpe, knn, lexical, lines, pages, privacy, quality, rules, shards, similar, suffixes, trie
 from gaugeworks.llm.common import read, text_of
 
 
@@ -67,6 +67,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.nodes(read(spark, sf_dir, "conversations"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for every benchmark item."""
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of every document and the verdict of the threshold table."""
     return rules.verdicts(read(spark, sf_dir, "documents"))
@@ -84,12 +89,14 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_lexical_search": op12_lexical_search,
     "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op8_line_windows": lines.SQL,
     "op11_prefix_trie": trie.SQL,
+    "op12_lexical_search": lexical.SQL,
     "op13_quality_rules": rules.SQL,
     "op4_voronoi_knn": """
         WITH good AS (
