@@ -9,7 +9,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import DoubleType, StructField, StructType, TimestampType
 
 from gaugeworks.functions.stats import count, maximum, mean, minimum
 from gaugeworks.operators import alerts, daily, drift, flatten, gate, monitor, responses, serving, windows
@@ -17,8 +17,8 @@ from gaugeworks.plans import adapters, daily_run, ingest
 from gaugeworks.plans.adapters import sensor_events, table
 from gaugeworks.schemas import ALERT, BRONZE, BROKER_LOG, GOLD, ROLLING, SILVER, STREAM_EVENT, conform, wire
 from gaugeworks.session import work_dir
-from gaugeworks.sources import lake, sinks
-from gaugeworks.streaming import jobs, sliding
+from gaugeworks.sources import changes, lake, sinks
+from gaugeworks.streaming import jobs, sliding, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -560,6 +560,50 @@ def stream_alerts_late(spark, sf_dir):
     return plain_time(lake.read_or_none(spark, handler.alerts).select(*ALERT.fieldNames()), "detected_at")
 
 
+ROLLING_KEYS = ["city_id", "window_end_time"]
+
+
+def alerts_by_id():
+    """How alert documents of one id are ranked: the later window is kept."""
+    return {"keys": ["id"], "order": [F.col("detected_at").desc()]}
+
+
+@query
+def stream_alerts_stateful(spark, sf_dir):
+    """Sliding alerts from keyed state over three starts. The changes of the first two are merged into
+    the base in between; those of the last are read beside it."""
+    path, starts = work_dir(spark, "alerts"), []
+
+    def start_job(events, at):
+        if len(starts) == 2:
+            changes.compact(spark, path, ALERT, partition=F.to_date("detected_at"), cluster=["city_id", "id"], **alerts_by_id())
+        starts.append(at)
+        return stateful.stateful_alerts_job(events, path, at, "arrival_ts", None, state_partitions(spark))
+
+    stream_in_parts(spark, sf_dir, start_job, "arrival_ts")
+    return plain_time(changes.newest(spark, path, ALERT, **alerts_by_id()), "detected_at")
+
+
+@query
+def stream_event_time_policy(spark, sf_dir):
+    """Late and out-of-order adjustment as a stream, and the rolling averages as a second one behind it.
+    A batch of windows appends what it changes; reading keeps the newest of each window."""
+    adjusted, path, second = work_dir(spark, "in-order"), work_dir(spark, "rolling"), work_dir(spark, "checkpoint")
+    columns = ["temp", "humidity", "aqi", "pm2_5", "pm10"]
+
+    def start_job(events, at):
+        parts = state_partitions(spark)
+        finish(stateful.order_job(events, columns, adjusted, at, "arrival_ts", None, parts))
+        schema = StructType([f for f in STREAM_EVENT.fields if f.name in ("city_id", "poll_timestamp", *columns)])
+        numbers = StructType([StructField(f.name, DoubleType()) if f.name in columns else f for f in schema.fields])
+        ordered = conform(lake.folder_stream(spark, adjusted, numbers), schema)
+        windows_of = jobs.rolling_windows(jobs.event_time(ordered))
+        return jobs.start(windows_of, second, changes.append_each(path), "update", state_partitions=parts)
+
+    stream_in_parts(spark, sf_dir, start_job, "arrival_ts")
+    return plain_time(changes.newest(spark, path, ROLLING, ROLLING_KEYS), "window_end_time")
+
+
 @query
 def stream_passthrough(spark, sf_dir):
     """Every event through the unwindowed stream into the raw folder."""

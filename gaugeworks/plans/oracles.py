@@ -409,3 +409,5 @@ FROM sensor_events GROUP BY ALL""",
 ORACLES["responses_from_files"] = ORACLES["poll_summary"]
 ORACLES["cities_from_file"] = ORACLES["city_lookup"]
 ORACLES["log_from_files"] = ORACLES["lag_listing"]
+ORACLES["stream_alerts_stateful"] = ORACLES["stream_alerts_late"]
+ORACLES["stream_event_time_policy"] = ORACLES["event_time_policy"]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
+from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -43,6 +47,16 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def ship(context: SparkContext) -> None:
+    """Sends this package to the executors, once for an application, for the jobs that run Python there.
+    The archive lies with the driver, from which executors fetch it."""
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp()
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/{package.name}_jobs", "zip", package.parent, package.name))
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for checkpoints and written tables.
 
