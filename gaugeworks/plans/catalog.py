@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType, TimestampType
 
 from gaugeworks.functions.stats import count, maximum, mean, minimum
-from gaugeworks.operators import alerts, daily, drift, flatten, gate, monitor, responses, serving, windows
+from gaugeworks.operators import alerts, daily, drift, flatten, gate, intervals, monitor, responses, serving, windows
 from gaugeworks.plans import adapters, daily_run, ingest
 from gaugeworks.plans.adapters import sensor_events, table
 from gaugeworks.schemas import ALERT, BRONZE, BROKER_LOG, GOLD, ROLLING, SILVER, STREAM_EVENT, conform, wire
@@ -135,6 +135,11 @@ def alerts_upserted(spark, sf_dir):
     return alerts.newest_alerts(alerts.anomaly_alerts(sensor_events(spark, sf_dir)))
 
 
+@query
+def anomalies_by_contents(spark, sf_dir):
+    return intervals.anomalies_by_contents(sensor_events(spark, sf_dir))
+
+
 @query
 def late_adjusted(spark, sf_dir):
     return windows.adjust_late(
@@ -584,6 +589,38 @@ def stream_alerts_stateful(spark, sf_dir):
     return plain_time(changes.newest(spark, path, ALERT, **alerts_by_id()), "detected_at")
 
 
+@query
+def stream_alert_members(spark, sf_dir):
+    """The stream of alerts joined with the stream of events by interval: what each alert's window holds."""
+    folder, ends = work_dir(spark, "members"), work_dir(spark, "windows")
+    begin, last = span(spark, sf_dir)
+    step, topic, checkpoint = (last - begin) / PARTS, work_dir(spark, "topic"), work_dir(spark, "checkpoint")
+    columns = "event_id BIGINT, city_id STRING, poll_timestamp TIMESTAMP, temp DOUBLE"
+    rows = sensor_events(spark, sf_dir).withColumn("poll_timestamp", F.col("poll_timestamp").cast("timestamp"))
+    found = alerts.anomaly_alerts(rows).select("id", "city_id", "detected_at")
+    for k in range(PARTS):
+        of_part = lambda time: least_part(F.col(time), begin, step) == k
+        rows.select("event_id", "city_id", "poll_timestamp", "temp").where(of_part("poll_timestamp")).write.mode("append").parquet(topic)
+        found.where(of_part("detected_at")).write.mode("append").parquet(ends)
+        events = lake.folder_stream(spark, topic, columns)
+        windows_of = lake.folder_stream(spark, ends, "id STRING, city_id STRING, detected_at TIMESTAMP")
+        pairs = intervals.stream_contents(windows_of, events, ["city_id"], "detected_at", "poll_timestamp", alerts.ALERT_WINDOW)
+        finish(jobs.start(pairs, checkpoint, state_partitions=2, fmt="parquet", path=folder))
+    members = spark.read.schema(
+        "id STRING, city_id STRING, detected_at TIMESTAMP, event_id BIGINT, poll_timestamp TIMESTAMP, temp DOUBLE"
+    ).parquet(folder)
+    listed = members.groupBy("city_id", "detected_at").agg(
+        F.count("*").alias("events"), F.sum("event_id").alias("event_ids"), F.max("temp").alias("window_max_temp")
+    )
+    return plain_time(listed, "detected_at")
+
+
+def least_part(time, begin, step):
+    """Which of the parts of a stream a time falls in; the last takes what comes after."""
+    cuts = [F.to_date(time) >= F.lit(begin + step * k) for k in range(1, PARTS)]
+    return sum((c.cast("int") for c in cuts), F.lit(0))
+
+
 @query
 def stream_event_time_policy(spark, sf_dir):
     """Late and out-of-order adjustment as a stream, and the rolling averages as a second one behind it.

@@ -411,3 +411,10 @@ ORACLES["cities_from_file"] = ORACLES["city_lookup"]
 ORACLES["log_from_files"] = ORACLES["lag_listing"]
 ORACLES["stream_alerts_stateful"] = ORACLES["stream_alerts_late"]
 ORACLES["stream_event_time_policy"] = ORACLES["event_time_policy"]
+ORACLES["anomalies_by_contents"] = ORACLES["sliding_anomalies"]
+ORACLES["stream_alert_members"] = f"""
+WITH {EVENTS}, {SLIDING}
+SELECT a.city_id, a.detected_at, count(*) AS events, CAST(sum(e.event_id) AS BIGINT) AS event_ids, max(e.temp) AS window_max_temp
+FROM alerts a JOIN sensor_events e
+  ON a.city_id = e.city_id AND e.poll_timestamp <= a.detected_at AND e.poll_timestamp > a.detected_at - INTERVAL 15 MINUTE
+GROUP BY a.city_id, a.detected_at"""
