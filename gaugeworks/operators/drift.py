@@ -63,16 +63,33 @@ def opened(nodes: Column) -> Column:
     return F.flatten(F.transform(nodes, lambda node: F.coalesce(fields(node), elements(node), F.array())))
 
 
+def shape(value: str) -> Column:
+    """Text that is the same for payloads with the same paths: the schema of a payload, with one name for
+    all numbers, as their digits do not matter here."""
+    return F.regexp_replace(F.schema_of_variant(value), r": (?:BIGINT|DECIMAL\(\d+,\d+\)|DOUBLE|FLOAT)(?=[,>])", ": NUMBER")
+
+
 def path_counts(events: DataFrame, payload: str = "raw_payload_json") -> DataFrame:
     """(path, payloads): how many payloads carry each field, on every level and in every list element.
 
-    Each payload is parsed once and opened level by level inside its row, as often as it has opening
-    brackets, which is no less than it has levels. Paths are made distinct in the row, so one counts
-    once per payload, and only the counts are shuffled.
+    Payloads are counted by shape, which combines ahead of the shuffle, and one payload of each shape is
+    opened, level by level, as often as it has opening brackets, which is no less than it has levels.
+    A schema merges the elements of a list. Where elements or values of different kinds meet, it names
+    none of their fields, and where names are quoted they could look like types; such a payload is a shape
+    by itself, text for text. A path counts once per payload.
     """
-    text = F.col(payload)
-    brackets = F.length(text) - F.length(F.translate(text, "{[", ""))
-    rows = events.filter(text.isNotNull()).select(F.try_parse_json(payload).alias("_v"), brackets.alias("_n"))
+    # Each explode of one element keeps what stands above from being merged into what is computed once:
+    # the text, which may be put together on the way, and its shape.
+    texts = events.select(F.explode(F.array(payload)).alias("_text")).where("_text IS NOT NULL")
+    parsed = texts.select("_text", F.try_parse_json("_text").alias("_v"))
+    told = parsed.select("_text", F.explode(F.array(F.when(F.col("_v").isNotNull(), shape("_v")))).alias("_shape"))
+    unclear = F.col("_shape").contains("VARIANT") | F.col("_shape").contains("`")
+    # Unreadable texts are one shape; they have no paths to tell apart.
+    kinds = told.groupBy("_shape", F.when(unclear, F.col("_text")).alias("_own")).agg(
+        F.count("*").alias("_payloads"), F.min("_text").alias("_text")
+    )
+    brackets = F.length("_text") - F.length(F.translate("_text", "{[", ""))
+    rows = kinds.select(F.try_parse_json("_text").alias("_v"), brackets.alias("_n"), "_payloads")
     root = F.array(F.struct(F.lit(None).cast("string").alias("path"), F.col("_v").alias("value")))
 
     def level(state, _):
@@ -83,7 +100,7 @@ def path_counts(events: DataFrame, payload: str = "raw_payload_json") -> DataFra
     start = F.struct(root.alias("nodes"), F.array().cast("array<string>").alias("paths"))
     paths = F.aggregate(F.sequence(F.lit(0), "_n"), start, level, lambda state: state["paths"])
     listed = F.when(F.col("_v").isNull(), F.array(F.lit(UNREADABLE))).otherwise(paths)
-    return rows.select(F.explode(listed).alias("path")).groupBy("path").agg(F.count("*").alias("payloads"))
+    return rows.select(F.explode(listed).alias("path"), "_payloads").groupBy("path").agg(F.sum("_payloads").alias("payloads"))
 
 
 def unmapped_fields(

@@ -92,6 +92,21 @@ def payload_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drifting_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with fields that no column is made from: below seven levels for purchases, only in the
+    second list element for clicks, among elements of several kinds for some errors."""
+    kind = F.col("event_type")
+    deep = F.lit(',"deep":{"a":{"b":{"c":{"d":{"e":{"f":1}}}}}}}')
+    whole = weather_text()
+    weather = F.when(kind == "purchase", F.concat(F.substring(whole, 1, F.length(whole) - 1), deep)).otherwise(whole)
+    second = F.when(kind == "click", F.lit(',{"late":{"by":1}}]}')).when(
+        (kind == "error") & (F.col("humidity") % 10 == 5), F.lit(',7,null,[{"odd":1}]]}')
+    )
+    air, filled = air_text(), F.col("humidity") % 10 != 9
+    listed = F.when(filled & second.isNotNull(), F.concat(F.substring(air, 1, F.length(air) - 2), second)).otherwise(air)
+    return sensor_events(spark, sf_dir).select("city_id", "poll_timestamp", weather.alias("weather"), listed.alias("air_pollution"))
+
+
 def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attempts of a fleet of a hundred cities, one city and cycle per event. The kind of event tells
     how its two calls went."""

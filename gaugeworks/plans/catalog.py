@@ -286,7 +286,7 @@ def rate_budget(spark, sf_dir):
 
 @query
 def schema_drift(spark, sf_dir):
-    pairs = adapters.payload_pairs(spark, sf_dir)
+    pairs = adapters.drifting_pairs(spark, sf_dir)
     return drift.unmapped_fields(flatten.flatten(pairs))
 
 

@@ -268,10 +268,18 @@ SELECT count(*) AS calls, time_bucket(INTERVAL 1 MINUTE, responded_at) + INTERVA
        count(*) > 5 AS over_budget
 FROM responses GROUP BY time_bucket(INTERVAL 1 MINUTE, responded_at)""",
     "schema_drift": f"""
-WITH {EVENTS}, kept AS (SELECT * FROM sensor_events WHERE event_id % 100 <> 99)
-SELECT 'weather.uvi' AS path, count(*) AS payloads FROM kept WHERE event_type = 'view'
-UNION ALL SELECT 'weather.uvi.now', count(*) FROM kept WHERE event_type = 'view'
-UNION ALL SELECT 'air_pollution.coord', count(*) FROM kept WHERE humidity % 10 <> 9""",
+WITH {EVENTS}, counted AS (
+  SELECT event_type, count(*) AS n, count(*) FILTER (WHERE humidity % 10 <> 9) AS filled,
+         count(*) FILTER (WHERE humidity % 10 = 5) AS fifth
+  FROM sensor_events GROUP BY ALL)
+SELECT 'weather.uvi' || below AS path, n AS payloads FROM counted, (VALUES (''), ('.now')) v(below) WHERE event_type = 'view'
+UNION ALL
+SELECT 'weather.deep' || below, n FROM counted,
+       (VALUES (''), ('.a'), ('.a.b'), ('.a.b.c'), ('.a.b.c.d'), ('.a.b.c.d.e'), ('.a.b.c.d.e.f')) v(below)
+WHERE event_type = 'purchase'
+UNION ALL SELECT 'air_pollution.coord', CAST(sum(filled) AS BIGINT) FROM counted
+UNION ALL SELECT 'air_pollution.list.late' || below, filled FROM counted, (VALUES (''), ('.by')) v(below) WHERE event_type = 'click'
+UNION ALL SELECT 'air_pollution.list.odd', fifth FROM counted WHERE event_type = 'error'""",
     "trend_30d": f"""
 WITH {EVENTS}, {ROLLING_7DAY},
 stats AS (SELECT city_id, ingestion_date AS date, {DAILY} FROM sensor_events GROUP BY ALL)

@@ -149,9 +149,15 @@ def decode(records: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -
     """The JSON body of (key, value) records as columns, with record columns to ``keep`` beside them,
     such as the broker's ``timestamp``, which is the time of arrival. Records that are no JSON are those
     of ``unreadable``."""
-    body = F.from_json(F.col("value").cast("string"), wire(schema, corrupt=False))
-    readable = records.filter(F.col("value").isNotNull() & F.try_parse_json(F.col("value").cast("string")).isNotNull())
-    events = readable.select(body.alias("event"), *keep).select("event.*", *keep)
+    text = F.col("value").cast("string")
+    body = F.from_json(text, wire(schema), {"columnNameOfCorruptRecord": CORRUPT})
+    # The explode keeps the filter above the parsing; only records that did not parse cleanly are looked at again.
+    parsed = records.where(F.col("value").isNotNull()).select(
+        text.alias("_text"), *keep, F.explode(F.array(F.struct(body.alias("_event")))).alias("_p")
+    )
+    doubtful = F.col("_p._event").isNull() | F.col(f"_p._event.{CORRUPT}").isNotNull()
+    readable = parsed.where(F.when(doubtful, F.try_parse_json("_text").isNotNull()).otherwise(F.lit(True)))
+    events = readable.select("_p._event.*", *keep)
     return events.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], *keep)
 
 
