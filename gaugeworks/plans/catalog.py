@@ -18,7 +18,7 @@ from gaugeworks.plans.adapters import sensor_events, table
 from gaugeworks.schemas import ALERT, BRONZE, BROKER_LOG, GOLD, ROLLING, SILVER, STREAM_EVENT, conform, wire
 from gaugeworks.session import work_dir
 from gaugeworks.sources import changes, lake, sinks
-from gaugeworks.streaming import jobs, sliding, stateful
+from gaugeworks.streaming import fanout, jobs, sliding, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -641,6 +641,40 @@ def stream_event_time_policy(spark, sf_dir):
     return plain_time(changes.newest(spark, path, ROLLING, ROLLING_KEYS), "window_end_time")
 
 
+@query
+def stream_fan_out(spark, sf_dir):
+    """One read of a topic with unreadable records for four tables, over three starts: how many rows each
+    holds, and a sum over them."""
+    root, topic, checkpoint = work_dir(spark, "lake"), work_dir(spark, "topic"), work_dir(spark, "checkpoint")
+    events = adapters.bronze_events(spark, sf_dir)
+    begin, last = span(spark, sf_dir)
+    handler = sliding.SlidingAlerts(f"{root}/alerts", f"{root}/memory")
+    sinks_of = fanout.FanOut(
+        f"{root}/ledger",
+        {
+            "raw": fanout.raw_sink(f"{root}/raw"),
+            "dead": fanout.dead_letter_sink(f"{root}/dead"),
+            "rolling": fanout.rolling_sink(f"{root}/rolling"),
+            "alerts": fanout.events_sink(BRONZE, handler),
+        },
+    )
+    for k in range(PARTS):
+        part = flatten.to_wire(events.where(least_part(F.col("poll_timestamp"), begin, (last - begin) / PARTS) == k))
+        seventh = F.get_json_object("value", "$.humidity").cast("int") % 7 == 0
+        part.withColumn("value", F.when(seventh, F.substring("value", 1, 25)).otherwise(F.col("value"))).write.mode("append").parquet(topic)
+        finish(fanout.fan_out_job(lake.folder_stream(spark, topic), BRONZE, sinks_of, checkpoint, ("key",), None))
+    raw = conform(spark.read.schema(wire(BRONZE, corrupt=False)).json(f"{root}/raw"), BRONZE)
+    rolling = fanout.rolling_table(spark, f"{root}/rolling")
+    dead = spark.read.schema("key STRING, value STRING, reason STRING").parquet(f"{root}/dead")
+    held = [
+        raw.agg(F.lit("raw").alias("sink"), F.count("*").alias("n"), F.sum("dt").alias("total")),
+        dead.agg(F.lit("dead"), F.count("*"), F.sum(F.length("value")).cast("long")),
+        rolling.agg(F.lit("rolling"), F.count("*"), F.sum("observation_count")),
+        lake.read_or_none(spark, handler.alerts).agg(F.lit("alerts"), F.count("*"), F.sum(F.unix_seconds("detected_at"))),
+    ]
+    return held[0].union(held[1]).union(held[2]).union(held[3])
+
+
 @query
 def stream_passthrough(spark, sf_dir):
     """Every event through the unwindowed stream into the raw folder."""

@@ -426,3 +426,15 @@ SELECT a.city_id, a.detected_at, count(*) AS events, CAST(sum(e.event_id) AS BIG
 FROM alerts a JOIN sensor_events e
   ON a.city_id = e.city_id AND e.poll_timestamp <= a.detected_at AND e.poll_timestamp > a.detected_at - INTERVAL 15 MINUTE
 GROUP BY a.city_id, a.detected_at"""
+ORACLES["stream_fan_out"] = f"""
+WITH {EVENTS.replace('sensor_events AS', 'sent AS')},
+sensor_events AS (SELECT * FROM sent WHERE humidity % 7 <> 0),
+{SLIDING},
+due AS (SELECT alerts.* FROM alerts JOIN (SELECT city_id, max(poll_timestamp) AS clock FROM sensor_events GROUP BY city_id)
+        USING (city_id) WHERE detected_at <= clock),
+kept AS (SELECT * FROM due QUALIFY row_number() OVER (PARTITION BY id ORDER BY detected_at DESC) = 1),
+rolled AS ({hopping('poll_timestamp')})
+SELECT 'raw' AS sink, count(*) AS n, CAST(sum(dt) AS BIGINT) AS total FROM sensor_events
+UNION ALL SELECT 'dead', count(*), count(*) * 25 FROM sent WHERE humidity % 7 = 0
+UNION ALL SELECT 'rolling', count(*), CAST(sum(observation_count) AS BIGINT) FROM rolled
+UNION ALL SELECT 'alerts', count(*), CAST(sum(epoch_us(detected_at) // 1000000) AS BIGINT) FROM kept"""

@@ -145,20 +145,32 @@ def folder_stream(
     return reader.load(path)
 
 
+def parse(records: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(value, event, readable, and what to ``keep``): the JSON body of (key, value) records, parsed once.
+
+    A body is readable if it is JSON; a field of a wrong type is null and the rest of the event stays. Only
+    records that did not parse cleanly are looked at again. The explode keeps filters above the parsing.
+    """
+    text = F.col("value").cast("string")
+    body = F.from_json(text, wire(schema), {"columnNameOfCorruptRecord": CORRUPT})
+    others = [c for c in keep if c != "value"]
+    parsed = records.select(text.alias("value"), *others, F.explode(F.array(F.struct(body.alias("event")))).alias("_p"))
+    doubtful = F.col("_p.event").isNull() | F.col(f"_p.event.{CORRUPT}").isNotNull()
+    readable = F.when(F.col("value").isNull(), F.lit(False)).when(doubtful, F.try_parse_json("value").isNotNull())
+    return parsed.select("value", *others, F.col("_p.event").alias("event"), readable.otherwise(F.lit(True)).alias("readable"))
+
+
+def events_of(parsed: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The readable records of ``parse`` as columns, cast; what does not fit is null."""
+    events = parsed.where("readable").select("event.*", *keep)
+    return events.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], *keep)
+
+
 def decode(records: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """The JSON body of (key, value) records as columns, with record columns to ``keep`` beside them,
     such as the broker's ``timestamp``, which is the time of arrival. Records that are no JSON are those
     of ``unreadable``."""
-    text = F.col("value").cast("string")
-    body = F.from_json(text, wire(schema), {"columnNameOfCorruptRecord": CORRUPT})
-    # The explode keeps the filter above the parsing; only records that did not parse cleanly are looked at again.
-    parsed = records.where(F.col("value").isNotNull()).select(
-        text.alias("_text"), *keep, F.explode(F.array(F.struct(body.alias("_event")))).alias("_p")
-    )
-    doubtful = F.col("_p._event").isNull() | F.col(f"_p._event.{CORRUPT}").isNotNull()
-    readable = parsed.where(F.when(doubtful, F.try_parse_json("_text").isNotNull()).otherwise(F.lit(True)))
-    events = readable.select("_p._event.*", *keep)
-    return events.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields], *keep)
+    return events_of(parse(records, schema, keep), schema, keep)
 
 
 def unreadable(records: DataFrame, arrival: str | None = None) -> DataFrame:
