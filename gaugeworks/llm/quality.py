@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeworks.llm.common import byte_hashes, text_of, word_hashes
+from gaugeworks.llm.common import byte_hashes, stored, text_of, word_hashes
 
 #: Hashed features of the content view, and of each of source and language.
 CONTENT = 1024
@@ -79,17 +80,31 @@ def features(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield content_view(data), metadata_view(data, source, lang)
 
 
+def packed(content: np.ndarray, metadata: np.ndarray) -> bytes:
+    """Both views of a document in little room: a byte for each content feature, two for the others."""
+    return np.rint(255 * np.sqrt(content)).astype(np.uint8).tobytes() + metadata.astype("<f2").tobytes()
+
+
+def restored(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The views of packed documents. Training and scoring both see documents this way."""
+    size = CONTENT + 2 * (SHAPE + 2 * NAMES)
+    data = np.frombuffer(b"".join(rows), dtype=np.uint8).reshape(len(rows), size)
+    content = np.square(data[:, :CONTENT].astype(np.float32) / 255)
+    return content, np.ascontiguousarray(data[:, CONTENT:]).view("<f2").astype(np.float32)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
 def fit(x: np.ndarray, y: np.ndarray, decay: float, steps: int = 300) -> np.ndarray:
     """Logistic regression by accelerated gradient steps; the last weight is the intercept."""
-    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
-    rate = 4 / (np.square(x).sum(1).mean() + 4 * decay)
-    weights = ahead = np.zeros(x.shape[1])
+    x = x.astype(np.float32, copy=False)
+    rate = 4 / (float(np.square(x).sum(1).mean()) + 1 + 4 * decay)
+    weights = ahead = np.zeros(x.shape[1] + 1)
     for step in range(steps):
-        slope = x.T @ (sigmoid(x @ ahead) - y) / len(y) + decay * np.append(ahead[:-1], 0)
+        wrong = sigmoid(x @ ahead[:-1].astype(np.float32) + ahead[-1]) - y
+        slope = np.append(x.T @ wrong.astype(np.float32) / len(y) + decay * ahead[:-1], wrong.mean())
         new = ahead - rate * slope
         ahead = new + step / (step + 3) * (new - weights)
         weights = new
@@ -111,91 +126,115 @@ class Model:
     calibration: np.ndarray
     combined: np.ndarray
 
+    def margins(self, content: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return margin(content, self.content), margin((metadata - self.mean) / self.scale, self.metadata)
+
     def scores(self, content: np.ndarray, metadata: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probability of good quality by the content, by the metadata, and by both."""
-        a = margin(content, self.content)
-        b = margin((metadata - self.mean) / self.scale, self.metadata)
-        a, b = a * self.calibration[0, 0] + self.calibration[0, 1], b * self.calibration[1, 0] + self.calibration[1, 1]
+        a, b = (m * c[0] + c[1] for m, c in zip(self.margins(content, metadata), self.calibration, strict=True))
         return sigmoid(a), sigmoid(b), sigmoid(margin(np.stack([a, b], axis=1), self.combined))
 
 
-def co_train(
-    content: np.ndarray,
-    metadata: np.ndarray,
-    label: np.ndarray,
-    held: np.ndarray,
-    rounds: int = 4,
-    confident: float = 0.95,
-    share: float = 0.1,
-) -> Model:
-    """Trains on rows with label 0 or 1, and on rows labelled -1 as the views come to agree on them.
-
-    In each round each view labels, for the other, up to ``share`` of the unlabelled rows about which it
-    is surest, in the proportion of the classes and none below ``confident``. Rows marked ``held``
-    train nothing; they calibrate the views and weigh them against each other.
-    """
+def fit_views(content: np.ndarray, metadata: np.ndarray, labels: np.ndarray, held: np.ndarray) -> Model:
+    """A model of both views. ``labels`` has a column for each, -1 where a row does not train it. Rows
+    marked ``held`` train nothing; they calibrate the views and weigh them against each other."""
     mean, scale = metadata.mean(0), metadata.std(0) + 1e-3
     views = [content, (metadata - mean) / scale]
-    train = (label >= 0) & ~held
-    given = [np.where(train, label, -1) for _ in views]
-    for turn in range(rounds + 1):
-        weights = [fit(v[g >= 0], g[g >= 0], 1e-4) for v, g in zip(views, given, strict=True)]
-        if turn == rounds:
-            break
-        for k, view in enumerate(views):
-            other = given[1 - k]
-            free = np.flatnonzero((label < 0) & (other < 0))
-            p = sigmoid(margin(view[free], weights[k]))
-            for value, sure in ((1, p), (0, 1 - p)):
-                portion = max(1, int(share * len(free) * (label[train] == value).mean()))
-                best = np.argsort(-sure, kind="stable")[:portion]
-                other[free[best[sure[best] >= confident]]] = value
-    test = (label >= 0) & held
-    if len(np.unique(label[test])) < 2:
-        test = train
-    y = label[test]
+    weights = []
+    for view, label in zip(views, labels.T, strict=True):
+        rows = (label >= 0) & ~held
+        weights.append(fit(view[rows], label[rows], 1e-4))
+    test = held if len(np.unique(labels[held, 0])) == 2 else (labels >= 0).all(1) & ~held
+    y = labels[test, 0]
     margins = [margin(v[test], w) for v, w in zip(views, weights, strict=True)]
     calibration = np.array([fit(m[:, None], y, 1e-3) for m in margins])
     both = np.stack([m * c[0] + c[1] for m, c in zip(margins, calibration, strict=True)], axis=1)
     return Model(weights[0], weights[1], mean, scale, calibration, fit(both, y, 1e-3))
 
 
-def sample(docs: DataFrame, labels: DataFrame, labelled: int, unlabelled: int) -> tuple[np.ndarray, ...]:
-    """Features of a bounded sample: at most ``labelled`` documents with a label, ``unlabelled`` without.
+def fitted(sample: DataFrame) -> Model:
+    """The model of (_id, content_label, metadata_label, held, features), a sample of bounded size: one task
+    fits it, and only the weights come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).sort_by([("_id", "ascending"), ("features", "ascending")])
+        labels = np.stack([table[c].to_numpy() for c in ("content_label", "metadata_label")], axis=1)
+        held = table["held"].to_numpy(zero_copy_only=False)
+        model = fit_views(*restored(table["features"].to_pylist()), labels, held)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    Rows are chosen by a hash of their id. Only their features come to the driver, two kilobytes each.
+    return pickle.loads(sample.repartition(1).mapInArrow(run, "model binary").first().model)
+
+
+def views_of(docs: DataFrame) -> DataFrame:
+    """(_id, features): the packed views of every document that has an id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 256):
+                batch = whole.slice(begin, 256)
+                rows = pa.array([packed(*views) for views in features(batch)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), rows], ["_id", "features"])
+
+    return prepared(docs).where("doc_id IS NOT NULL").mapInArrow(run, "_id long, features binary")
+
+
+def sure(rows: DataFrame, model: Model, confident: float) -> DataFrame:
+    """(_id, by_content, by_metadata): the rows on which a view is confident, with its label, -1 if it is not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1024):
+                batch = whole.slice(begin, 1024)
+                views = restored(batch.column("features").to_pylist())
+                said = [np.where(p >= confident, 1, np.where(p <= 1 - confident, 0, -1)) for p in map(sigmoid, model.margins(*views))]
+                some = (said[0] >= 0) | (said[1] >= 0)
+                columns = [batch.column("_id").filter(pa.array(some)), *(pa.array(x[some], pa.int32()) for x in said)]
+                yield pa.RecordBatch.from_arrays(columns, ["_id", "by_content", "by_metadata"])
+
+    return rows.mapInArrow(run, "_id long, by_content int, by_metadata int")
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, labelled: int = 6000, pseudo: int = 2000, rounds: int = 3, confident: float = 0.95
+) -> Model | None:
+    """A co-trained model; None if the labels of documents are not of two kinds.
+
+    At most ``labelled`` labelled documents train it, chosen by a hash of their id among those that
+    ``docs`` holds; a quarter of them is held out to calibrate. In each round the two views label all
+    other documents, and each teaches the other up to ``pseudo`` of those on which it is ``confident``,
+    in the proportion of the classes and chosen by the hash among all of them.
     """
+    rows = stored(views_of(docs), "quality-views")
     one = (
         labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
         .groupBy(F.col("doc_id").cast("long").alias("_id"))
-        .agg(F.min("quality").alias("_label"))
-    )
-    known = one.orderBy(F.xxhash64("_id"), "_id").limit(labelled)
-    ids = docs.select(F.col("doc_id").cast("long").alias("_id")).where("_id IS NOT NULL").distinct()
-    others = (
-        ids.join(one, "_id", "left_anti").orderBy(F.xxhash64("_id"), "_id").limit(unlabelled).withColumn("_label", F.lit(-1))
+        .agg(F.min("quality").cast("int").alias("_label"))
     )
-    chosen = known.select("_id", F.col("_label").cast("int").alias("_label")).unionByName(others)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [np.concatenate(x).astype(np.float16).tobytes() for x in features(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_label"), pa.array(packed, pa.binary())], ["_id", "_label", "features"]
-            )
-
-    rows = (
-        prepared(docs)
-        .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # bounded by the two parameters
-        .dropDuplicates(["_id"])
-        .mapInArrow(run, "_id long, _label int, features binary")
-        .toPandas()
-        .sort_values("_id")
-    )
-    x = np.array([np.frombuffer(f, dtype=np.float16) for f in rows["features"]], dtype=np.float32)
-    x = x.reshape(len(rows), CONTENT + SHAPE + 2 * NAMES)
-    held = rows["_id"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(62) == 0
-    return x[:, :CONTENT], x[:, CONTENT:], rows["_label"].to_numpy(), held
+    one = stored(one.join(rows.select("_id").distinct(), "_id"), "quality-labels")
+    by_hash = [F.xxhash64("_id"), F.col("_id")]
+    known = one.orderBy(*by_hash).limit(labelled)
+    base = rows.join(F.broadcast(known), "_id").dropDuplicates(["_id"])  # bounded by the parameter
+    held = (F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(4)) == 0).alias("held")
+    base = stored(base.select("_id", *[F.col("_label").alias(c) for c in LABELS], held, "features"), "quality-sample")
+    counts = {r[0]: r[1] for r in base.where("NOT held").groupBy("content_label").count().collect()}
+    if len(counts) < 2:
+        return None
+    model = fitted(base)
+    for _ in range(rounds):
+        told = stored(sure(rows, model, confident).join(one, "_id", "left_anti"), "quality-sure")
+        taught = None
+        for teacher, pupil in (("by_content", "metadata_label"), ("by_metadata", "content_label")):
+            for value, times in sorted(counts.items()):
+                most = max(1, round(pseudo * times / sum(counts.values())))
+                part = told.where(F.col(teacher) == value).orderBy(*by_hash).limit(most)
+                part = part.select("_id", *[F.lit(value if c == pupil else -1).alias(c) for c in LABELS])
+                taught = part if taught is None else taught.unionByName(part)
+        taught = taught.groupBy("_id").agg(*[F.max(c).alias(c) for c in LABELS])
+        more = rows.join(F.broadcast(taught), "_id").dropDuplicates(["_id"])  # bounded by the parameter
+        more = more.select("_id", *LABELS, F.lit(False).alias("held"), "features")
+        model = fitted(base.unionByName(more))
+    return model
 
 
 def prepared(docs: DataFrame) -> DataFrame:
@@ -204,27 +243,20 @@ def prepared(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *extra)
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = 6000, unlabelled: int = 6000) -> Model | None:
-    """The model of a bounded sample; None if the labels are not of two kinds."""
-    content, metadata, label, held = sample(docs, labels, labelled, unlabelled)
-    if len(np.unique(label[(label >= 0) & ~held])) < 2:
-        return None
-    return co_train(content, metadata, label, held)
-
-
+LABELS = ("content_label", "metadata_label")
 SCORES = ("content_score", "metadata_score", "score")
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **bounds: int) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **bounds: float) -> DataFrame:
     """All rows of ``docs`` with content_score, metadata_score, score and keep.
 
     Two logistic regressions see a document, one its wording, the other its metadata and shape. They
-    train each other on a sample of at most ``labelled`` and ``unlabelled`` rows, and score every row by
-    its whole text. ``score`` is the probability of good quality by both; a row is kept from
-    ``threshold`` on.
+    train each other (``train``, which takes ``bounds``) and score every row by its whole text. ``score`` is
+    the probability of good quality by both; a row is kept from ``threshold`` on, ties included.
 
     A null text counts as empty; null source or language is a value of its own. Labels that
-    contradict each other count as bad. Without labels of both kinds every score is 1. Columns of
+    contradict each other count as bad; labels of absent documents, or without one, are not used. Of rows
+    with one id, one may train. Without labels of both kinds every score is 1. Columns of
     ``docs`` with the names of results are replaced, the others passed on.
     """
     model = train(docs, labels, **bounds)
@@ -240,8 +272,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **bounds:
                 if model is None:
                     values = [np.ones(batch.num_rows)] * 3
                 else:
-                    views = list(features(batch))
-                    values = model.scores(np.array([v[0] for v in views]), np.array([v[1] for v in views]))
+                    values = model.scores(*restored([packed(*views) for views in features(batch)]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("_given"), *(pa.array(np.asarray(v, dtype=np.float64)) for v in values)], ["_given", *SCORES]
                 )

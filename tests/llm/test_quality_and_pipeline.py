@@ -1,8 +1,11 @@
 import random
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from test_benchmarks import brute
 from test_duplicates import plain_components, plain_lines
 
@@ -46,6 +49,51 @@ def test_held_out_accuracy(spark, tables):
     assert pick(rows) == pick(again)
 
 
+def test_training_equals_a_plain_version(spark, tables):
+    """Bounds that bind: which rows train and teach in each round, and the weights that come out."""
+    folder, _, _ = tables
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    absent = spark.createDataFrame([(10**6 + i, i % 2, 0) for i in range(500)], labels.schema)
+    model = quality.train(docs, labels.unionByName(absent), labelled=60, pseudo=12, rounds=2, confident=0.8)
+
+    rows = {r._id: bytes(r.features) for r in quality.views_of(docs.dropDuplicates(["doc_id"])).collect()}
+    given = {r.doc_id: r.quality for r in labels.collect() if r.doc_id in rows and r.quality is not None}
+    ids = spark.createDataFrame([(k,) for k in rows], "_id long")
+    hashed = {r[0]: (r[1], r[2]) for r in ids.select("_id", F.xxhash64("_id"), F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(4))).collect()}
+    first = lambda keys, n: sorted(keys, key=lambda k: (hashed[k][0], k))[:n]
+    base = {k: (given[k], given[k], hashed[k][1] == 0) for k in first(given, 60)}
+    counts = Counter(v[0] for v in base.values() if not v[2])
+
+    def fit(sample):
+        order = sorted(sample, key=lambda k: (k, rows[k]))
+        views = quality.restored([rows[k] for k in order])
+        return quality.fit_views(*views, np.array([sample[k][:2] for k in order]), np.array([sample[k][2] for k in order]))
+
+    want = fit(base)
+    for _ in range(2):
+        free = [k for k in rows if k not in given]
+        said = [quality.sigmoid(m) for m in want.margins(*quality.restored([rows[k] for k in free]))]
+        taught = {}
+        for view, p in enumerate(said):
+            for value, n in counts.items():
+                sure = [k for k, x in zip(free, p) if (x >= 0.8 if value else x <= 1 - 0.8)]
+                for k in first(sure, max(1, round(12 * n / sum(counts.values())))):
+                    taught.setdefault(k, [-1, -1])[1 - view] = value
+        assert taught
+        want = fit(base | {k: (*v, False) for k, v in taught.items()})
+    for name in ("content", "metadata", "calibration", "combined"):
+        assert np.allclose(getattr(model, name), getattr(want, name), atol=1e-4), name
+
+
+def test_labels_of_absent_documents_use_nothing_up(spark, tables):
+    folder, _, _ = tables
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    absent = spark.createDataFrame([(10**6 + i, i % 2, 0) for i in range(500)], labels.schema)
+    scored = quality.score(docs, labels.unionByName(absent), labelled=80)
+    assert scored.where("score < 1").count() > 100
+    assert all(r.keep and r.score == 1 for r in quality.score(docs, absent).collect())
+
+
 def test_without_labels_everything_is_kept(documents, no_documents, spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = quality.score(documents, none).collect()
@@ -95,3 +143,23 @@ def test_stages_against_brute_force(spark, tables):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     got = sorted(((r.doc_id, list(r.token_ids)) for r in token_stage(spark, clean, folder).collect()), key=repr)
     assert got == sorted(((k, library.encode_ordinary(t or "")) for k, t in pairs(clean)), key=repr)
+
+
+def test_the_whole_pipeline(spark, tables):
+    """``run`` on all stages equals the stages by hand; further columns and empty tables go through."""
+    folder, _, _ = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, folder).write.mode("overwrite").parquet(f"{folder}/by-hand-{k}")
+        docs = spark.read.parquet(f"{folder}/by-hand-{k}")
+    rows = lambda frame: sorted(((r.doc_id, r.n_tokens, list(r.token_ids), r.decoded_sha256) for r in frame.collect()), key=repr)
+    got = corpus_pipeline.run(spark, folder)
+    assert got.columns == ["doc_id", "n_tokens", "token_ids", "decoded_sha256"] and rows(got) == rows(docs)
+
+
+def test_the_whole_pipeline_on_empty_tables_with_more_columns(spark, tables, tmp_path):
+    folder, _, _ = tables
+    for name in ("documents", "labels", "benchmark"):
+        table = spark.read.parquet(f"{folder}/{name}.parquet").limit(0)
+        table.withColumn("_given", F.lit("x")).withColumn("spans", F.lit(1)).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
