@@ -33,6 +33,7 @@ def run(spark, folder, sinks_of):
     try:
         query.awaitTermination()
     except StreamingQueryException as error:
+        spark.streams.resetTerminated()  # else whoever waits for any query next is told of this one
         return error
     return None
 
