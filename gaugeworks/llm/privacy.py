@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import accumulate, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -74,15 +75,32 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def neighbours(text: str, spans: list[tuple[str, int, int]], reach: int) -> list[dict]:
-    """For each mention the words up to ``reach`` words before and after it in its line."""
+    """For each mention the words up to ``reach`` words before and after it in its line.
+
+    Words are whole words of the line; one that runs into a mention is no neighbour. A mention without
+    neighbours gives one row without a term. Each line is read once, however many mentions it has.
+    """
     out = []
-    for _, start, end in spans:
-        left = max(text.rfind("\n", 0, start) + 1, start - 40 * reach)
-        right = min(text.find("\n", end) % (len(text) + 1), end + 40 * reach)
-        words = list(WORD.finditer(text, left, start))[-reach:] + list(WORD.finditer(text, end, right))[:reach]
-        words = [w for w in words if not any(w.start() < e and s < w.end() for _, s, e in spans)]
+    ordered = sorted((start, end) for _, start, end in spans)
+    starts = [start for start, _ in ordered]
+    reached = list(accumulate((end for _, end in ordered), max))  # how far the first mentions reach
+
+    def free(word: re.Match) -> bool:
+        before = bisect_left(starts, word.end())
+        return not before or reached[before - 1] <= word.start()
+
+    line_end, words, begins, ends = -1, [], [], []
+    for _, start, end in sorted(spans, key=lambda s: s[1]):
+        if start >= line_end:
+            line_end = text.find("\n", start) % (len(text) + 1)
+            words = list(WORD.finditer(text, text.rfind("\n", 0, start) + 1, line_end))
+            begins, ends = [w.start() for w in words], [w.end() for w in words]
+        before, behind = bisect_right(ends, start), bisect_left(begins, end)
+        near = [w for w in words[max(0, before - reach) : before] + words[behind : behind + reach] if free(w)]
         entity = hashlib.md5(re.sub(r"[^0-9A-Za-z@.+_%]", "", text[start:end]).lower().encode()).digest()
-        out += [{"entity": entity, "term": w[0].lower(), "start": w.start(), "end": w.end()} for w in words]
+        out += [{"entity": entity, "term": w[0].lower(), "start": w.start(), "end": w.end()} for w in near]
+        if not near:
+            out.append({"entity": entity, "term": None, "start": None, "end": None})
     return out
 
 
@@ -96,6 +114,11 @@ NEAR_ARROW = pa.list_(
 )
 
 
+def words_of(text: str) -> set[str]:
+    """The distinct lower-cased words of a text, each lower-cased by itself as neighbours are."""
+    return {word.lower() for word in set(WORD.findall(text))}
+
+
 def digest_of(text: str) -> bytes:
     return hashlib.md5(text.encode()).digest()
 
@@ -143,10 +166,10 @@ def document_counts(texts: DataFrame, copied: bytes) -> DataFrame:
                     digest = digest_of(text)
                     slot = int.from_bytes(digest[:4], "big") % SLOTS
                     if not bits[slot >> 3] >> (slot & 7) & 1:
-                        counts.update(set(WORD.findall(text.lower())))
+                        counts.update(words_of(text))
                     elif digest not in seen:
                         seen.add(digest)
-                        words = list(set(WORD.findall(text.lower())))
+                        words = list(words_of(text))
                         yield rows(words, digest, [1] * len(words))
                 if len(counts) > COUNTED:
                     yield rows(list(counts), None, list(counts.values()))
@@ -174,7 +197,9 @@ def find(docs: DataFrame, share: float = 0.8, reach: int = 6) -> DataFrame:
     in few texts is trusted less, by the ``DOUBT`` d. It discloses log(p(e | t) / p(e)) of the -log p(e)
     bits of the entity. Where that is at least ``share`` of them, the term's occurrences next to the
     entity become spans too: "remove" if the term occurs nowhere else, else "general". Every pair that
-    meets is judged, also one of a single text. Counts are those of all documents.
+    meets is judged, also one of a single text. Counts are those of all documents; n(e) includes texts
+    in which the entity has no word beside it. Words are looked for to the ends of the line, however far
+    apart and however long they are.
 
     A null text counts as empty and has no spans. Copies of a text count once, and each row has its
     spans. ``spans`` of ``docs`` itself is replaced.
@@ -206,7 +231,7 @@ def find(docs: DataFrame, share: float = 0.8, reach: int = 6) -> DataFrame:
 
     near = found.select("_row", "_digest", F.explode("_near").alias("near")).select("_row", "_digest", "near.*")
     entities = near.groupBy("entity").agg(F.count_distinct("_digest").alias("n_e"))
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("_digest").alias("n_te"))
+    pairs = near.where("term IS NOT NULL").groupBy("entity", "term").agg(F.count_distinct("_digest").alias("n_te"))
     p_e = F.col("n_e") / F.lit(float(total))
     disclosed = (
         pairs.join(entities, "entity")
@@ -251,24 +276,27 @@ def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join([*out, text[free:]])
 
 
-def sanitise(docs: DataFrame, key: str = "doc_id", **options: float) -> DataFrame:
-    """``docs`` with personal data and revealing terms masked in the text. Rows are matched by ``key``.
+def sanitise(docs: DataFrame, **options: float) -> DataFrame:
+    """``docs`` with personal data and revealing terms masked in the text.
 
-    Needs a key that is unique and not null; other rows should go through ``find`` and ``masked``.
+    A null text stays null, repeated rows give repeated results, and no column has to be a key. A column
+    ``spans`` is dropped; others are passed on, whatever their names.
     """
-    spans = find(docs.select(key, "text"), **options)
+    names = docs.drop("spans").columns
+    whole = "_whole"
+    while whole in names:
+        whole += "_"
+    found = find(docs.withColumn(whole, F.col("text")), **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                x if x is None else masked(x, [tuple(s.values()) for s in found or ()])
-                for x, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)
+                x if x is None else masked(x, [tuple(s.values()) for s in spans or ()])
+                for x, spans in zip(batch.column(whole).to_pylist(), batch.column("spans").to_pylist(), strict=True)
             ]
-            at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, "text", pa.array(texts, pa.string())).select(names)
+            yield batch.append_column("text", pa.array(texts, pa.string())).select(names)
 
-    names = docs.drop("spans").columns
-    return docs.drop("spans").join(spans, key).mapInArrow(run, docs.drop("spans").schema)
+    return found.mapInArrow(run, docs.drop("spans").schema)
 
 
 def digests(docs: DataFrame) -> DataFrame:

@@ -112,6 +112,47 @@ def test_every_pair_is_judged_by_distinct_texts(spark, prose):
         assert all(bool(more[i]) == (others is plain) for i, t in enumerate(texts) if t in copied)
 
 
+def test_neighbours_by_words_to_the_ends_of_the_line():
+    def near(text, reach=2):
+        return [(r["term"], r["start"], r["end"]) for r in privacy.neighbours(text, privacy.base_spans(text), reach)]
+
+    gap, long = " " * 300, "x" * 400
+    text = f"above\none two{gap}a@b.cd{gap}three four five\nbelow"
+    assert [t for t, _, _ in near(text)] == ["one", "two", "three", "four"]
+    assert [t for t, _, _ in near(f"{long} a@b.cd {long}y")] == [long, long + "y"]
+    assert near("a@b.cd") == near("12 a@b.cd .") == [(None, None, None)]
+    # a word that runs into a mention is none of the line's words beside it, nor is one inside a mention
+    assert [t for t, _, _ in near("öff éaaa@b.cd weit", 3)] == ["öff", "weit"]
+    assert [t for t, _, _ in near("see 1.2.3.4 a@b.cd", 3)] == ["see", "see"]
+    assert [t for t, _, _ in near("x@y.zz\n\nfar x@y.zz")] == [None, "far"]
+
+
+def test_many_mentions_in_one_line_take_linear_time():
+    text = "word a@b.cd " * 30_000
+    rows = privacy.neighbours(text, privacy.base_spans(text), 6)
+    assert len(rows) > 100_000 and {r["term"] for r in rows} == {"word"}
+
+
+def test_entities_without_neighbours_count(spark, prose):
+    """The entity stands alone in nine of ten texts, so the one with a word beside it discloses little."""
+    plain = [prose(25, i) for i in range(60)]
+    for alone in (0, 40):
+        texts = [*plain, *["x@corp.example\n" + prose(5, 900 + i) for i in range(alone)], "zanzibar x@corp.example"]
+        found = privacy.find(spark.createDataFrame([(t,) for t in texts], "text string"), share=0.6).collect()
+        n_e, n = alone + 1, len(texts)
+        pmi = math.log((1 + 2 * n_e / n) / 3 / (n_e / n))
+        assert any(s.kind == "remove" for r in found for s in r.spans) == (pmi > 0 and pmi >= -0.6 * math.log(n_e / n)) == (not alone)
+
+
+def test_masks_without_a_key(spark):
+    rows = [(None, "mail x@y.z", 1, "s"), (None, "mail x@y.z", 1, "s"), (7, None, 2, "s"), (7, "", 3, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _whole int, spans string")
+    got = privacy.sanitise(docs)
+    assert got.columns == ["doc_id", "text", "_whole"] and got.limit(0).count() == 0
+    want = [(None, "mail [EMAIL]", 1)] * 2 + [(7, None, 2), (7, "", 3)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
 def test_masks(spark):
     assert privacy.masked("ask x@y.z or zed", [("email", 4, 9), ("remove", 13, 16)]) == "ask [EMAIL] or "
     docs = spark.createDataFrame([(1, "mail x@y.z", "k"), (2, None, "k")], "doc_id long, text string, extra string")
