@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -46,6 +46,11 @@ APART_NAMED = frozenset(
     "notice notices notification popup promo promotion related replies respond search share sharing sidebar social "
     "sponsor sponsored subscribe toolbar widget".split()
 )
+#: Those that hold no main text even where they hold most of a page's text.
+NEVER_MAIN = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments consent cookie cookies disqus replies respond "
+    "sponsor sponsored".split()
+)
 #: Prefixes and suffixes such names come with.
 AFFIXES = re.compile(
     r"^(?:site|page|main|top|bottom|left|right|user|reader)[-_]"
@@ -58,7 +63,8 @@ class Tree(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.apart, self.link = ["#root"], [-1], [False], [False]
+        self.tag, self.parent, self.link = ["#root"], [-1], [False]
+        self.name = [""]  # the word of a class, id or role that sets an element apart
         self.text: list[tuple[int, int, str]] = []  # element, block, text
         self.open = [0]
         self.held: Counter[str] = Counter()  # open elements by tag, so that none is looked for in vain
@@ -90,8 +96,10 @@ class Tree(HTMLParser):
         index = len(self.tag)
         self.tag.append(tag)
         self.parent.append(above)
-        self.apart.append(tag in APART or named_apart(attrs))
+        self.name.append(name_apart(attrs))
         self.link.append(tag == "a" or self.link[above])
+        if tag == "br":
+            self.text.append((above, self.block, "\n"))  # white space of the block
         if tag not in VOID:
             self.open.append(index)
             self.held[tag] += 1
@@ -109,13 +117,15 @@ class Tree(HTMLParser):
         self.text.append((self.open[-1], self.block, data))
 
 
-def named_apart(attrs: list[tuple[str, str | None]]) -> bool:
+def name_apart(attrs: list[tuple[str, str | None]]) -> str:
+    """The word of a class, id or role that says the element holds no main text; empty if none does."""
     for name, value in attrs:
         if value and name in ("class", "id", "role"):
             for word in value.lower().split():
-                if word in APART_NAMED or AFFIXES.sub("", word) in APART_NAMED:
-                    return True
-    return False
+                for bare in (word, AFFIXES.sub("", word)):
+                    if bare in APART_NAMED:
+                        return bare
+    return ""
 
 
 def parsed(html: str) -> Tree:
@@ -161,29 +171,83 @@ def densities(tree: Tree, apart: list[bool]) -> tuple[list[float], list[float]]:
     return density, total
 
 
+def greatest(tree: Tree, total: list[float]) -> list[int]:
+    """The element of greatest sum in each subtree, the outermost among equals."""
+    best = list(range(len(total)))
+    for i in range(len(total) - 1, 0, -1):
+        up = tree.parent[i]
+        if total[best[i]] > total[best[up]]:
+            best[up] = best[i]
+    return best
+
+
+def set_apart(tree: Tree) -> list[bool]:
+    """Which elements hold no main text, by their tag or by what they are called.
+
+    An article or main element, and what holds one, is not set apart. On a page without text in such an
+    element the density may speak against a name: where the core lies in named wrappers, in two blocks
+    or more with fewer characters in links than out of them, and has more of the latter than all that is not
+    set apart, the wrappers around it are no longer. Adverts, consent and reader comments always are.
+    """
+    n = len(tree.tag)
+    holds = [tag in ("article", "main", "body") for tag in tree.tag]
+    inside = [tag in ("article", "main") for tag in tree.tag]
+    for i in range(n - 1, 0, -1):
+        holds[tree.parent[i]] |= holds[i]
+
+    def spread(named: Callable[[int], bool]) -> list[bool]:
+        apart = [False] * n
+        for i in range(1, n):
+            apart[i] = apart[tree.parent[i]] or not holds[i] and (tree.tag[i] in APART or named(i))
+        return apart
+
+    apart = spread(lambda i: bool(tree.name[i]))
+    for i in range(1, n):
+        inside[i] |= inside[tree.parent[i]]
+    if any(inside[i] and not apart[i] and not text.isspace() for i, _, text in tree.text):
+        return apart
+    by_tag = spread(lambda i: tree.name[i] in NEVER_MAIN)
+    if by_tag == apart:
+        return apart
+    core = i = greatest(tree, densities(tree, by_tag)[1])[0]
+    wrappers = set()
+    while i > 0:
+        if tree.name[i] and not holds[i]:
+            wrappers.add(i)
+        i = tree.parent[i]
+    if not wrappers:
+        return apart
+    within = [i == core for i in range(n)]
+    for i in range(1, n):
+        within[i] |= within[tree.parent[i]]
+    plain, linked, rest, blocks = 0, 0, 0, set()
+    for i, block, text in tree.text:
+        size = len("".join(text.split()))
+        if within[i] and not by_tag[i] and size:
+            blocks.add(block)
+            linked += size * tree.link[i]
+            plain += size * (not tree.link[i])
+        elif not apart[i]:
+            rest += size * (not tree.link[i])
+    if len(blocks) < 2 or plain <= linked or plain <= rest:
+        return apart
+    return spread(lambda i: bool(tree.name[i]) and i not in wrappers)
+
+
 def main_text(html: str) -> str:
     """The main text: blocks in page order, one to a line.
 
     The element with the greatest sum of child densities is the core. The least density on the path
     from the body to the core is the threshold; under every element that reaches it, the element
     of greatest sum belongs to the main text. So do headings beside the path, and the whole of an
-    article or main element around the core, however short its blocks. Menus, forms and the like
-    never do.
+    article or main element around the core, however short its blocks. What ``set_apart`` names never
+    does. A ``<br>`` is white space inside its block.
     """
     tree = parsed(html)
     n = len(tree.tag)
-    holds = [tag in ("article", "main", "body") for tag in tree.tag]
-    for i in range(n - 1, 0, -1):
-        holds[tree.parent[i]] |= holds[i]
-    apart = [False] * n
-    for i in range(1, n):
-        apart[i] = apart[tree.parent[i]] or tree.apart[i] and not holds[i]
+    apart = set_apart(tree)
     density, total = densities(tree, apart)
-    best = list(range(n))  # the element of greatest sum in each subtree, the outermost among equals
-    for i in range(n - 1, 0, -1):
-        up = tree.parent[i]
-        if total[best[i]] > total[best[up]]:
-            best[up] = best[i]
+    best = greatest(tree, total)
     path, i = set(), best[0]
     while i > 0 and tree.tag[i] != "html":
         path.add(i)

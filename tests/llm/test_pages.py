@@ -37,6 +37,39 @@ def test_odd_pages(html, want):
     assert re.sub(r"\s", "", got) == re.sub(r"\s", "", want)
 
 
+def test_line_breaks_are_white_space():
+    assert pages.main_text("<article><p>a<br>b<br/> c<wbr>d</p></article>") == "a b cd"
+    assert pages.main_text("<p>a<br>b</p>") == "a b"
+
+
+STORY = "<h1>Head</h1>" + "".join(f"<p>Sentence {i} of a story that goes on for some words, as they do.</p>" for i in range(4))
+STORY_TEXT = "Head\n" + "\n".join(f"Sentence {i} of a story that goes on for some words, as they do." for i in range(4))
+
+
+@pytest.mark.parametrize("name", ["social", "widget", "related", "alert", "notice", "nav-list", "story"])
+def test_density_overrules_the_name_of_a_wrapper(name):
+    """Where a page has no article or main element; a nested wrapper too."""
+    assert pages.main_text(f'<body><div class="{name}">{STORY}</div></body>') == STORY_TEXT
+    assert pages.main_text(f'<body><div id="{name}"><div class="widget">{STORY}</div></div><div class="share">Tell all</div></body>') == STORY_TEXT
+
+
+@pytest.mark.parametrize("name", ["comments", "cookie", "ad", "notice", "related"])
+def test_names_stand_beside_an_article(name):
+    """Also with more text than the article, where there is one."""
+    aside = f'<div class="{name}"><p>One short line.</p><p>{"Many more words than that. " * 30}</p></div>'
+    assert pages.main_text(f"<body><article>{STORY}</article>{aside}</body>") == STORY_TEXT
+    short = '<div class="notice">We have moved.</div><div class="nav"><a href=x>One</a> <a href=y>Two</a></div>'
+    assert pages.main_text(f"<body><div>{STORY}</div>{short}</body>") == STORY_TEXT
+    if name in pages.NEVER_MAIN:
+        assert pages.main_text(f"<body>{aside}</body>") == ""
+
+
+def test_links_and_single_notices_stay_apart():
+    menu = "".join(f"<p><a href={i}>Entry {i} of the list</a></p>" for i in range(9))
+    assert pages.main_text(f'<body><div class="related">{menu}</div></body>') == ""
+    assert pages.main_text('<body><div class="notice">We have moved.</div></body>') == ""
+
+
 def test_deep_and_long_pages():
     assert pages.main_text("<article>" + "<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
     assert pages.main_text("<article><p>" + "<b>" * 20_000 + "x<p>y") == "x\ny"
