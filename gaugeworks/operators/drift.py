@@ -46,19 +46,22 @@ MAPPED_PATHS = (
 UNREADABLE = "(unreadable)"
 
 
-def opened(nodes: Column) -> Column:
+def opened(nodes: Column, element: str = "") -> Column:
     """The fields of all objects and the elements of all lists among (path, value) nodes; an element has
-    the path of its list."""
+    the path of its list with ``element`` behind it. The path of a root is null or empty."""
 
     def fields(node):
         entries = F.map_entries(F.try_variant_get(node["value"], "$", "map<string,variant>"))
         return F.transform(
-            entries, lambda e: F.struct(F.concat_ws(".", node["path"], e["key"]).alias("path"), e["value"].alias("value"))
+            entries, lambda e: F.struct(F.concat_ws(".", F.nullif(node["path"], F.lit("")), e["key"]).alias("path"), e["value"].alias("value"))
         )
 
+    def of_element(path):
+        return F.concat(path, F.lit(element)) if element else path
+
     def elements(node):
         items = F.try_variant_get(node["value"], "$", "array<variant>")
-        return F.transform(items, lambda x: F.struct(node["path"].alias("path"), x.alias("value")))
+        return F.transform(items, lambda x: F.struct(of_element(node["path"]).alias("path"), x.alias("value")))
 
     return F.flatten(F.transform(nodes, lambda node: F.coalesce(fields(node), elements(node), F.array())))
 

@@ -27,14 +27,16 @@ def alerts_for_city(alerts: DataFrame, city_id: str) -> DataFrame:
 
 
 def recent_alerts(
-    alerts: DataFrame, since: str | datetime | None = None, until: str | datetime | None = None
+    alerts: DataFrame, since: str | datetime | None = None, until: str | datetime | None = None, newest: int | None = None
 ) -> DataFrame:
-    """All alerts of a time range, newest first; a caller that shows some adds a limit."""
+    """Alerts of a time range, newest first, ties by id; all of them, or the ``newest`` so many. With a
+    number each task keeps that many and one task merges them, so the range is not sorted."""
     kept = alerts
     for bound, keep in ((since, lambda c, b: c >= b), (until, lambda c, b: c < b)):
         if bound is not None:
             kept = kept.filter(keep(F.col("detected_at"), F.lit(bound).cast(alerts.schema["detected_at"].dataType)))
-    return kept.orderBy(F.col("detected_at").desc(), "id")
+    listed = kept.orderBy(F.col("detected_at").desc(), "id")
+    return listed if newest is None else listed.limit(newest)
 
 
 def current_readings(events: DataFrame, time: str = "poll_timestamp", ties: tuple[str, ...] = ()) -> DataFrame:

@@ -107,6 +107,21 @@ def drifting_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_events(spark, sf_dir).select("city_id", "poll_timestamp", weather.alias("weather"), listed.alias("air_pollution"))
 
 
+def changing_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A weather payload per event, some unlike what is declared: the time is a text for signups, the visibility
+    a list for some clicks, and every hundredth payload is cut off."""
+    kind, whole = F.col("event_type"), weather_text()
+    quoted = F.regexp_replace(whole, r'"dt":(\d+)', r'"dt":"$1"')
+    listed = F.concat(F.substring(whole, 1, F.length(whole) - 1), F.lit(',"visibility":[1]}'))
+    text = (
+        F.when(F.col("event_id") % 100 == 99, F.lit('{"coord":{"lat":1.0'))
+        .when(kind == "signup", quoted)
+        .when((kind == "click") & (F.col("humidity") % 10 == 5), listed)
+        .otherwise(whole)
+    )
+    return sensor_events(spark, sf_dir).select("ingestion_date", text.alias("weather"))
+
+
 def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attempts of a fleet of a hundred cities, one city and cycle per event. The kind of event tells
     how its two calls went."""

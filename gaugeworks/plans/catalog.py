@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType, TimestampType
 
 from gaugeworks.functions.stats import count, maximum, mean, minimum
-from gaugeworks.operators import alerts, daily, drift, flatten, gate, intervals, monitor, responses, serving, windows
+from gaugeworks.operators import alerts, conformance, daily, drift, flatten, gate, intervals, monitor, responses, serving, windows
 from gaugeworks.plans import adapters, daily_run, ingest
 from gaugeworks.plans.adapters import sensor_events, table
-from gaugeworks.schemas import ALERT, BRONZE, BROKER_LOG, GOLD, ROLLING, SILVER, STREAM_EVENT, conform, wire
+from gaugeworks.schemas import ALERT, BRONZE, BROKER_LOG, GOLD, ROLLING, SILVER, STREAM_EVENT, WEATHER_PAYLOAD, conform, wire
 from gaugeworks.session import work_dir
-from gaugeworks.sources import changes, lake, sinks
+from gaugeworks.sources import changes, history, lake, sinks
 from gaugeworks.streaming import fanout, jobs, sliding, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -290,6 +290,12 @@ def schema_drift(spark, sf_dir):
     return drift.unmapped_fields(flatten.flatten(pairs))
 
 
+@query
+def schema_conformance(spark, sf_dir):
+    declared = StructType([f for f in StructType.fromDDL(WEATHER_PAYLOAD) if f.name != "_corrupt"])
+    return conformance.conformance(adapters.changing_payloads(spark, sf_dir), declared, "weather")
+
+
 # --- serving ----------------------------------------------------------------------------------
 
 
@@ -310,6 +316,11 @@ def recent_alerts(spark, sf_dir):
     return serving.recent_alerts(alerts_upserted(spark, sf_dir), "2024-01-10", "2024-01-20")
 
 
+@query
+def newest_alerts(spark, sf_dir):
+    return serving.recent_alerts(alerts_upserted(spark, sf_dir), "2024-01-10", newest=25)
+
+
 @query
 def current_tiles(spark, sf_dir):
     return serving.current_readings(sensor_events(spark, sf_dir), ties=("event_id",))
@@ -442,6 +453,22 @@ def gold_merge(spark, sf_dir):
     return lake.read_or_none(spark, path).select("city_id", "date", "avg_temp", "max_temp", "observation_count")
 
 
+@query
+def gold_restored(spark, sf_dir):
+    """Two merges into stored gold, the second of which is taken back: it replaced rows of two days, one of them
+    of the first merge too, and brought a day that was not there."""
+    path, keys = work_dir(spark, "gold"), ["city_id", "date"]
+    events = sensor_events(spark, sf_dir)
+    sinks.upsert(daily.gold_range(events, *span(spark, sf_dir)), path, keys, "date", cluster=["city_id"])
+    for kind, first, last in (("purchase", "2024-01-15", "2024-01-16"), ("view", "2024-01-16", "2024-01-17")):
+        some = daily.gold_range(events.filter(F.col("event_type") == kind), first, last)
+        if kind == "view":
+            some = some.unionByName(some.withColumn("date", F.date_add("date", 5000)))
+        version = history.upsert_kept(some, path, keys, "date", cluster=["city_id"])
+    history.restore(spark, path, lake.read_or_none(spark, path).schema, "date", version)
+    return lake.read_or_none(spark, path).select("city_id", "date", "avg_temp", "max_temp", "observation_count")
+
+
 @query
 def lake_table(spark, sf_dir):
     """Gold written clustered by city, declared as a table, and aggregated through SQL."""
@@ -703,6 +730,27 @@ def stream_dedup(spark, sf_dir):
     return plain_time(rows.select("city_id", "poll_timestamp", "temp", "humidity", "aqi"), "poll_timestamp")
 
 
+@query
+def stream_replays(spark, sf_dir):
+    """Observations published again, with the operator's own keys: at once by a third of the cities, with a later
+    poll, and by all of them in the next start, which the state or the watermark keeps out."""
+    topic, folder, checkpoint = (work_dir(spark, n) for n in ("topic", "unique", "checkpoint"))
+    begin, last = span(spark, sf_dir)
+    columns = "city_id STRING, observation_timestamp TIMESTAMP, poll_timestamp TIMESTAMP, humidity INT, aqi INT"
+    schema = StructType.fromDDL(columns)
+    events = sensor_events(spark, sf_dir).withColumn("poll_timestamp", F.col("poll_timestamp").cast("timestamp"))
+    events = conform(events.withColumn("observation_timestamp", F.col("poll_timestamp")), schema)
+    part = least_part(F.col("observation_timestamp"), begin, (last - begin) / PARTS)
+    again = events.withColumn("poll_timestamp", F.col("poll_timestamp") + F.expr("INTERVAL 2 MINUTES"))
+    hot = F.substring("city_id", 6, 2).cast("int") % 3 == 0
+    for k in range(PARTS):
+        copies = again.where((part == k) & hot).unionByName(again.where(part == k - 1))
+        sinks.publish(events.where(part == k).unionByName(copies), topic)
+        once = jobs.without_duplicates(lake.decode(lake.folder_stream(spark, topic), schema))
+        finish(jobs.start(once, checkpoint, state_partitions=state_partitions(spark), fmt="parquet", path=folder))
+    return plain_time(spark.read.schema(schema).parquet(folder).select("city_id", "observation_timestamp"), "observation_timestamp")
+
+
 @query
 def stream_pairing(spark, sf_dir):
     """Weather and air payloads as two streams, joined by city and cycle."""

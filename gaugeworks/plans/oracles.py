@@ -280,6 +280,22 @@ WHERE event_type = 'purchase'
 UNION ALL SELECT 'air_pollution.coord', CAST(sum(filled) AS BIGINT) FROM counted
 UNION ALL SELECT 'air_pollution.list.late' || below, filled FROM counted, (VALUES (''), ('.by')) v(below) WHERE event_type = 'click'
 UNION ALL SELECT 'air_pollution.list.odd', fifth FROM counted WHERE event_type = 'error'""",
+    "schema_conformance": f"""
+WITH {EVENTS},
+said AS (SELECT ingestion_date, event_type, humidity, event_id % 100 = 99 AS cut,
+                event_type = 'click' AND humidity % 10 = 5 AS listed FROM sensor_events),
+rows_of AS (
+  SELECT ingestion_date, '(unreadable)' AS field, 'unreadable' AS difference, NULL AS expected, NULL AS found FROM said WHERE cut
+  UNION ALL
+  SELECT ingestion_date, name, 'missing', kind, NULL
+  FROM said, (VALUES ('main.feels_like', 'number'), ('main.temp_min', 'number'), ('main.temp_max', 'number'),
+                     ('main.pressure', 'number'), ('wind', 'object'), ('clouds', 'object')) v(name, kind) WHERE NOT cut
+  UNION ALL SELECT ingestion_date, 'visibility', 'missing', 'number', NULL FROM said WHERE NOT cut AND NOT listed
+  UNION ALL SELECT ingestion_date, 'coord', 'missing', 'object', NULL FROM said WHERE NOT cut AND humidity % 4 = 1
+  UNION ALL SELECT ingestion_date, 'uvi', 'extra', NULL, 'object' FROM said WHERE NOT cut AND event_type = 'view'
+  UNION ALL SELECT ingestion_date, 'dt', 'type', 'number', 'string' FROM said WHERE NOT cut AND event_type = 'signup'
+  UNION ALL SELECT ingestion_date, 'visibility', 'type', 'number', 'list' FROM said WHERE NOT cut AND listed)
+SELECT *, count(*) AS payloads FROM rows_of GROUP BY ALL""",
     "trend_30d": f"""
 WITH {EVENTS}, {ROLLING_7DAY},
 stats AS (SELECT city_id, ingestion_date AS date, {DAILY} FROM sensor_events GROUP BY ALL)
@@ -290,6 +306,9 @@ WHERE date >= DATE '2024-02-10' - 30 ORDER BY city_id, date""",
 WITH {EVENTS}, {SLIDING}, {UPSERTED}
 SELECT * FROM upserted WHERE detected_at >= TIMESTAMP '2024-01-10' AND detected_at < TIMESTAMP '2024-01-20'
 ORDER BY detected_at DESC, id""",
+    "newest_alerts": f"""
+WITH {EVENTS}, {SLIDING}, {UPSERTED}
+SELECT * FROM upserted WHERE detected_at >= TIMESTAMP '2024-01-10' ORDER BY detected_at DESC, id LIMIT 25""",
     "current_tiles": f"""
 WITH {EVENTS}
 SELECT city_id, poll_timestamp, temp, aqi FROM sensor_events
@@ -355,6 +374,14 @@ again AS (SELECT city_id, ingestion_date AS date, {DAILY} FROM sensor_events
           WHERE event_type = 'purchase' AND ingestion_date IN (DATE '2024-01-15', DATE '2024-01-16') GROUP BY ALL)
 SELECT city_id, date, avg_temp, max_temp, observation_count FROM again
 UNION ALL
+SELECT city_id, date, avg_temp, max_temp, observation_count FROM stored ANTI JOIN again USING (city_id, date)""",
+    "gold_restored": f"""
+WITH {EVENTS},
+stored AS (SELECT city_id, ingestion_date AS date, {DAILY} FROM sensor_events GROUP BY ALL),
+again AS (SELECT city_id, ingestion_date AS date, {DAILY} FROM sensor_events
+          WHERE event_type = 'purchase' AND ingestion_date IN (DATE '2024-01-15', DATE '2024-01-16') GROUP BY ALL)
+SELECT city_id, date, avg_temp, max_temp, observation_count FROM again
+UNION ALL
 SELECT city_id, date, avg_temp, max_temp, observation_count FROM stored ANTI JOIN again USING (city_id, date)""",
     "lake_table": f"""
 WITH {EVENTS}
@@ -389,6 +416,7 @@ SELECT * FROM due QUALIFY row_number() OVER (PARTITION BY id ORDER BY detected_a
     "stream_passthrough": f"""
 WITH {EVENTS} SELECT city_id, poll_timestamp, ingestion_date, dt, temp, aqi, pm10 FROM sensor_events""",
     "stream_dedup": f"WITH {EVENTS} SELECT city_id, poll_timestamp, temp, humidity, aqi FROM sensor_events",
+    "stream_replays": f"WITH {EVENTS} SELECT DISTINCT city_id, poll_timestamp AS observation_timestamp FROM sensor_events",
     "stream_pairing": f"""
 WITH {EVENTS}
 SELECT 'city_' || (event_id % 100) AS city_id, poll_timestamp, temp, humidity,
