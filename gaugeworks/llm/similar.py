@@ -22,6 +22,8 @@ BUCKET_TOKENS = 2_000_000
 BLOCK = 256
 #: Lists up to this length are compared pair by pair, longer ones block by block.
 SHORT_LIST = 32
+#: Tokens of sets that one task compares with a pivot, on average.
+PIVOT_TOKENS = 4_000_000
 #: Columns of the incidence matrix that are multiplied at once.
 COLUMNS = 4096
 
@@ -138,11 +140,13 @@ def common_counts(pieces: DataFrame) -> DataFrame:
 ROWS = "part long, row long, doc_id long, h long, class binary, n long, common long"
 
 
-def sieve(frame: DataFrame, make, fields: str, buckets: int, name: str) -> DataFrame:
-    """The rows that ``make`` makes of batches of ``frame``, with ``common``: tokens that others hold.
+def sieve(frame: DataFrame, make, buckets: int, name: str, wide: str = "") -> tuple[DataFrame, DataFrame]:
+    """The rows that ``make`` makes of batches of ``frame``, with ``common``: tokens that others hold; and
+    beside them (part, row, and the columns of ``wide``), which take no part in the counting and its joins.
 
     Rows and dealt-out tokens of all tasks are written in one pass, as two kinds of a table.
     """
+    fields = ", ".join(filter(None, (ROWS, wide)))
     columns = [f.split() for f in fields.split(", ")]
     pieces = "kind int, bucket int, tokens binary, owners binary"
 
@@ -163,14 +167,15 @@ def sieve(frame: DataFrame, make, fields: str, buckets: int, name: str) -> DataF
     schema = pa.schema([(n, kinds[k]) for n, k in columns + [f.split() for f in pieces.split(", ")]])
     both = stored(frame.mapInArrow(run, f"{fields}, {pieces}"), name, "kind")
     found = common_counts(both.where("kind = 1").select("part", "bucket", "tokens", "owners"))
-    return (
-        both.where("kind = 0")
-        .select(*[n for n, _ in columns])
+    rows_of = both.where("kind = 0")
+    counted = (
+        rows_of.select(*[f.split()[0] for f in ROWS.split(", ")])
         .withColumnRenamed("common", "_own")
         .join(found, ["part", "row"], "left")
         .withColumn("common", F.col("_own") + F.coalesce("common", F.lit(0)))
-        .drop("_own", "part", "row")
+        .drop("_own")
     )
+    return counted, rows_of.select("part", "row", *[n for n, _ in columns[len(ROWS.split(", ")) :]])
 
 
 def sets_of(batch: pa.RecordBatch, width: int) -> Iterator[tuple[dict, np.ndarray]]:
@@ -259,12 +264,16 @@ def possible(rule: Rule, left: str = "", right: str = "_2") -> Column:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rule: Rule, salt: int = 64) -> DataFrame:
-    """Those of the pairs (a, b) whose sets link. The set of ``b`` is sent to the sets of its ``a``s.
+def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Those of the pairs (a, b) whose sets link; ``n`` is the size of a's. The set of ``b`` is sent to the
+    sets of its ``a``s.
 
-    The members of a popular ``b`` are dealt out over ``salt`` tasks, each getting b's set once.
+    The members of a popular ``b`` are dealt out by their counted tokens, ``PIVOT_TOKENS`` a group, and each
+    group gets b's set once.
     """
-    dealt_out = stored(pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(salt)).cast("int")), "pairs")
+    groups_of = pairs.groupBy("b").agg(F.ceil(F.sum("n") / PIVOT_TOKENS).alias("salts"))
+    salt = F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")
+    dealt_out = stored(pairs.join(groups_of, "b").select("a", "b", salt.alias("salt")), "pairs")
     left = dealt_out.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
     right = (
         dealt_out.select(F.col("b").alias("pivot"), F.col("salt").alias("deal"))
@@ -423,7 +432,7 @@ def linked(sets: DataFrame, rule: Rule, rounds: int = 2) -> DataFrame:
         short.join(other, "key")
         .where("id < id_2 AND component != component_2")
         .where(possible(rule) & first)
-        .select(F.col("id").alias("a"), F.col("id_2").alias("b"))
+        .select(F.col("id").alias("a"), F.col("id_2").alias("b"), "n")
         .distinct()
     )
     long = rest.where(F.col("length") > SHORT_LIST)
@@ -439,7 +448,7 @@ def still_open(found: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def star(members: DataFrame, rule: Rule, turn: int) -> DataFrame:
-    """For each set the pivot (a, b) that it meets in most lists.
+    """For each set the pivot (a, b, and n of a) that it meets in most lists.
 
     A list's pivot is the set with the fewest tokens of its own: the nearest to the centre of a group
     of near copies. In a later turn it is chosen among those outside the first pivot's component.
@@ -452,8 +461,9 @@ def star(members: DataFrame, rule: Rule, turn: int) -> DataFrame:
         outside = members
     pivots = outside.groupBy("key").agg(F.min(own).alias("p"))
     pivots = pivots.select("key", F.col("p.id").alias("b"), F.col("p.n").alias("n_2"), F.col("p.v").alias("v_2"))
-    met = members.join(pivots, "key").where("id != b").where(possible(rule)).groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("k"))
-    return met.groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b"))
+    met = members.join(pivots, "key").where("id != b").where(possible(rule))
+    met = met.groupBy(F.col("id").alias("a"), "n", "b").agg(F.count("*").alias("k"))
+    return met.groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b"), F.max("n").alias("n"))
 
 
 def remaining(members: DataFrame, rule: Rule) -> DataFrame:
@@ -518,7 +528,7 @@ def named_sets(docs: DataFrame, width: int, threshold: str) -> DataFrame:
         for row, tokens in sets_of(batch, width):
             yield row | {"set": tokens.tobytes(), "tokens": mixed(tokens)}
 
-    first = stored(sieve(texts, prefixes, ROWS, buckets, "sieve"), "sieved")
+    first = stored(sieve(texts, prefixes, buckets, "sieve")[0].drop("part", "row"), "sieved")
     # Equal sets have one class; the row with the smallest id stands for it.
     heads = (
         first.where("n > 0")
@@ -529,12 +539,16 @@ def named_sets(docs: DataFrame, width: int, threshold: str) -> DataFrame:
         .hint("merge")
     )
     left = texts.join(heads, F.expr("doc_id <=> doc_id_2 AND h = h_2"), "left_semi")
-    second = sieve(left, whole_sets, f"{ROWS}, set binary", buckets, "second-sieve")
-    sets = stored(
+    second, wide = sieve(left, whole_sets, buckets, "second-sieve", "set binary")
+    # Rows are chosen, one of each class, before their sets are fetched.
+    chosen = (
         second.where(f"common * {rule.den} >= n * {rule.num}")
-        .dropDuplicates(["class"])
-        .select(F.col("class").alias("id"), "n", F.col("common").alias("v"), F.col("set").alias("tokens")),
-        "similar-sets",
+        .groupBy(F.col("class").alias("id"))
+        .agg(F.min(F.struct("part", "row", "n", "common")).alias("_r"))
+        .select("id", "_r.part", "_r.row", "_r.n", F.col("_r.common").alias("v"))
+    )
+    sets = stored(
+        wide.join(chosen, ["part", "row"]).select("id", "n", "v", F.col("set").alias("tokens")), "similar-sets"
     )
     labels = components(linked(sets, rule)).withColumnRenamed("id", "class")
     return first.join(labels, "class", "left").select(
