@@ -23,7 +23,7 @@ BLOCK = 256
 #: Lists up to this length are compared pair by pair, longer ones block by block.
 SHORT_LIST = 32
 #: Tokens of sets that one task compares with a pivot, on average.
-PIVOT_TOKENS = 4_000_000
+PIVOT_TOKENS = 500_000
 #: Columns of the incidence matrix that are multiplied at once.
 COLUMNS = 4096
 
