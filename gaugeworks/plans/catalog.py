@@ -730,6 +730,28 @@ def stream_dedup(spark, sf_dir):
     return plain_time(rows.select("city_id", "poll_timestamp", "temp", "humidity", "aqi"), "poll_timestamp")
 
 
+@query
+def stream_late_dropped(spark, sf_dir):
+    """Without the late policy: every seventh event comes a start late, and windows that the watermark has passed are
+    lost to it. What is left of the windows, with the number of lost (city, window, batch)."""
+    topic, checkpoint, path, lost = (work_dir(spark, n) for n in ("topic", "checkpoint", "rolling", "lost"))
+    begin, last = span(spark, sf_dir)
+    events = sensor_events(spark, sf_dir).withColumn("poll_timestamp", F.col("poll_timestamp").cast("timestamp"))
+    late = F.when(F.col("humidity") % 7 == 0, 1).otherwise(0)
+    part = F.least(least_part(F.col("poll_timestamp"), begin, (last - begin) / PARTS) + late, F.lit(PARTS - 1))
+    for k in range(PARTS):
+        sinks.publish(events.where(part == k).select(*STREAM_EVENT.fieldNames()), topic)
+        timed = jobs.event_time(lake.decode(lake.folder_stream(spark, topic), STREAM_EVENT))
+        parts = state_partitions(spark)
+        running = jobs.start(jobs.rolling_windows(timed), checkpoint, changes.append_each(path), "update", state_partitions=parts)
+        finish(running)
+        jobs.note_dropped(spark, running, lost, "rolling_averages")
+    total = jobs.dropped_counts(spark, lost).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    kept = changes.newest(spark, path, ROLLING, ROLLING_KEYS).withColumn("windows_lost", F.lit(total).cast("long"))
+    columns = ("city_id", "window_end_time", "avg_temp", "max_temp", "observation_count", "windows_lost")
+    return plain_time(kept.select(*columns), "window_end_time")
+
+
 @query
 def stream_replays(spark, sf_dir):
     """Observations published again, with the operator's own keys: at once by a third of the cities, with a later

@@ -416,6 +416,22 @@ SELECT * FROM due QUALIFY row_number() OVER (PARTITION BY id ORDER BY detected_a
     "stream_passthrough": f"""
 WITH {EVENTS} SELECT city_id, poll_timestamp, ingestion_date, dt, temp, aqi, pm10 FROM sensor_events""",
     "stream_dedup": f"WITH {EVENTS} SELECT city_id, poll_timestamp, temp, humidity, aqi FROM sensor_events",
+    "stream_late_dropped": f"""
+WITH {EVENTS},
+days AS (SELECT min(ingestion_date) AS first, max(ingestion_date) AS last FROM sensor_events),
+parted AS (
+  SELECT sensor_events.*, CASE WHEN ingestion_date >= first + CAST((last - first) * 2 // 3 AS INTEGER) THEN 2
+                               WHEN ingestion_date >= first + CAST((last - first) // 3 AS INTEGER) THEN 1 ELSE 0 END AS own
+  FROM sensor_events, days),
+arriving AS (SELECT *, least(own + CASE WHEN humidity % 7 = 0 THEN 1 ELSE 0 END, 2) AS part FROM parted),
+marks AS (SELECT p.part, max(a.poll_timestamp) - INTERVAL 5 MINUTE AS mark
+          FROM (SELECT DISTINCT part FROM arriving) p LEFT JOIN arriving a ON a.part < p.part GROUP BY p.part),
+spread AS (
+  SELECT arriving.*, mark, make_timestamp((epoch_us(poll_timestamp) // 120000000 + 1 + hop) * 120000000) AS window_end_time
+  FROM arriving JOIN marks USING (part), range(0, 5) AS hops(hop))
+SELECT city_id, window_end_time, {mean('temp')} AS avg_temp, max(temp) AS max_temp, count(*) AS observation_count,
+       (SELECT count(DISTINCT (city_id, window_end_time, part)) FROM spread WHERE window_end_time <= mark) AS windows_lost
+FROM spread WHERE mark IS NULL OR window_end_time > mark GROUP BY ALL""",
     "stream_replays": f"WITH {EVENTS} SELECT DISTINCT city_id, poll_timestamp AS observation_timestamp FROM sensor_events",
     "stream_pairing": f"""
 WITH {EVENTS}

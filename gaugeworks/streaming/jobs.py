@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from gaugeworks.operators.alerts import ROLLING_SIZE, ROLLING_SLIDE, rolling_stats
 from gaugeworks.operators.windows import adjust_late
 from gaugeworks.schemas import BRONZE, ROLLING, conform
-from gaugeworks.sources.lake import unreadable
+from gaugeworks.sources.lake import read_or_none, unreadable
 from gaugeworks.sources.sinks import upsert
 
 # --- Fixed values: tolerance and trigger intervals ---
@@ -23,6 +24,9 @@ LATE_TOLERANCE = "5 minutes"
 ROLLING_TRIGGER = "2 minutes"
 ALERT_TRIGGER = "1 minute"
 
+DROPPED = "query STRING, batch BIGINT, operator INT, rows BIGINT"
+DROPPED_KEYS = ("query", "batch", "operator")
+
 
 def start(
     df: DataFrame,
@@ -166,6 +170,31 @@ def paired_payloads(weather: DataFrame, air: DataFrame, within: str = "5 minutes
     )
 
 
+def dropped(query: StreamingQuery) -> list[tuple[int, int, int]]:
+    """(batch, position of the stateful operator, rows) of what fell behind the watermark, for the batches the query
+    still remembers. For an aggregation a row is a group of a batch, such as a city's window, and not an event."""
+    found = []
+    for progress in query.recentProgress:
+        for position, operator in enumerate(progress["stateOperators"]):
+            if rows := operator["numRowsDroppedByWatermark"]:
+                found.append((progress["batchId"], position, rows))
+    return found
+
+
+def note_dropped(spark: SparkSession, query: StreamingQuery, folder: str, name: str) -> None:
+    """Adds ``dropped`` to a table of counters, as many as batches that dropped something. A batch that is noted
+    again counts once when the table is read."""
+    rows = [(name, batch, position, count) for batch, position, count in dropped(query)]
+    if rows:
+        spark.createDataFrame(rows, DROPPED).write.mode("append").parquet(folder)
+
+
+def dropped_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """(query, batch, operator, rows) as noted, once for each batch and operator."""
+    found = read_or_none(spark, folder, StructType.fromDDL(DROPPED))
+    return spark.createDataFrame([], DROPPED) if found is None else found.dropDuplicates(list(DROPPED_KEYS))
+
+
 def console(df: DataFrame, checkpoint: str, mode: str = "append", every: str | None = None) -> StreamingQuery:
     return start(df, checkpoint, mode=mode, every=every, fmt="console")
 
