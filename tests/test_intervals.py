@@ -5,6 +5,7 @@ import random
 from instants import at
 from pyspark.sql import functions as F
 
+from gaugeworks.functions.stats import count, maximum, mean
 from gaugeworks.operators import alerts, intervals
 from gaugeworks.sources import lake
 from gaugeworks.streaming import jobs
@@ -64,3 +65,22 @@ def test_streams_over_restarts(spark, folder):
         assert query.exception() is None
     got = spark.read.schema("w INT, n INT").parquet(folder("out")).select(F.col("w"), F.col("n"))
     assert sorted(map(tuple, got.collect())) == counted(events, windows)
+
+
+def test_statistics_equal_those_of_the_listed_pairs(spark):
+    events, windows = sides(4)
+    windows = spark.createDataFrame(windows + windows[:5], WINDOWS)
+    events = spark.createDataFrame(events + events[:9], EVENTS)
+    named = (["city_id"], "detected_at", "poll_timestamp", "15 minutes")
+    stats = [count("held"), maximum("n", "most"), mean("n", "middle")]
+    listed = intervals.contents(windows.select("city_id", "detected_at").distinct(), events, *named)
+    wanted = listed.groupBy("city_id", "detected_at").agg(*[s.aggregate() for s in stats])
+    got = intervals.contents(windows, events, *named, stats)
+    assert got.columns == wanted.columns and got.count() > 20
+    assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
+
+
+def test_no_pair_is_made_for_statistics(spark, readings):
+    """Twice the events in as much time are twice the rows anywhere in the plan, not four times the pairs."""
+    plan = intervals.anomalies_by_contents(readings([("a", at(0), 1.0, 5)]))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
