@@ -96,14 +96,21 @@ def anomalies_by_contents(
 
 
 def stream_contents(
-    windows: DataFrame, events: DataFrame, keys: Sequence[str], end: str, time: str, size: str, late: str = "5 minutes"
+    windows: DataFrame, events: DataFrame, keys: Sequence[str], end: str, time: str, size: str, late: str = "5 minutes",
+    stats: Sequence[Stat] | None = None,
 ) -> DataFrame:
     """``contents`` of two streams: a pair is given as soon as both sides are there, whichever comes first.
 
     Both carry a watermark ``late`` behind their newest row, and the interval bounds how long the other side
     is awaited, so state is freed: events once ``size`` old by the windows' watermark, windows once the
     events' watermark has passed their end.
+
+    With ``stats``, the rows of both that these need, as one stream: a window lacks a time, an event an end.
+    ``streaming.members.WindowContents`` joins them batch by batch, without listing pairs.
     """
+    if stats is not None:
+        needed = [c for c in dict.fromkeys(s.column for s in stats) if c and c != time]
+        return windows.select(*keys, end).unionByName(events.select(*keys, time, *needed), allowMissingColumns=True)
     windows, events = bucketed(windows.withWatermark(end, late), events.withWatermark(time, late), end, time, size)
     keys = [*keys, "_bucket"]
     events = events.withColumnsRenamed({k: f"_{k}" for k in keys})

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions.stats import count, maximum, mean
 from gaugeworks.operators import alerts, intervals
 from gaugeworks.sources import lake
-from gaugeworks.streaming import jobs
+from gaugeworks.streaming import jobs, members
 
 EVENTS, WINDOWS = "city_id STRING, poll_timestamp TIMESTAMP, n INT", "city_id STRING, detected_at TIMESTAMP, w INT"
 
@@ -84,3 +84,28 @@ def test_no_pair_is_made_for_statistics(spark, readings):
     """Twice the events in as much time are twice the rows anywhere in the plan, not four times the pairs."""
     plan = intervals.anomalies_by_contents(readings([("a", at(0), 1.0, 5)]))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_statistics_of_streams_over_restarts(spark, folder):
+    """Windows ahead of their events, events ahead of their windows, a window sent again, and a batch run twice."""
+    events, windows = sides(5)
+    named, stats = (("city_id",), "detected_at", "poll_timestamp", "15 minutes"), (count("held"), maximum("n", "most"))
+    handler = members.WindowContents(folder("out"), folder("memory"), *named, stats)
+    cut = lambda rows, low, high: [r for r in rows if r[1] is not None and at(low) <= r[1] < at(high)]
+    sent = [(cut(events, 0, 40), cut(windows, 0, 55)), (cut(events, 40, 75), cut(windows, 55, 70)[:1] + cut(windows, 50, 70)), (cut(events, 75, 200), cut(windows, 70, 200))]
+    for some_events, some_windows in sent:
+        spark.createDataFrame(some_events, EVENTS).write.mode("append").parquet(folder("e"))
+        spark.createDataFrame(some_windows, WINDOWS).write.mode("append").parquet(folder("w"))
+        both = intervals.stream_contents(
+            lake.folder_stream(spark, folder("w"), WINDOWS), lake.folder_stream(spark, folder("e"), EVENTS), *named, stats=stats
+        )
+        twice = lambda batch, n: (handler(batch, n), handler(batch, n))
+        query = jobs.start(both, folder("c"), twice)
+        query.awaitTermination()
+        assert query.exception() is None
+    got = members.contents_table(spark, folder("out"), ["city_id"], "detected_at", stats)
+    listed = intervals.contents(spark.createDataFrame(windows, WINDOWS).select("city_id", "detected_at").distinct(), spark.createDataFrame(events, EVENTS), *named)
+    wanted = listed.groupBy("city_id", "detected_at").agg(*[s.aggregate() for s in stats])
+    assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty() and got.count() > 20
+    kept = spark.read.schema(both.schema).parquet(f"{folder('memory')}/slot=0")
+    assert 0 < kept.count() < 90  # of some 180 rows
