@@ -71,7 +71,8 @@ class SlidingWindows(StatefulProcessor):
     """Evaluates the window (t - size, t] of a key at each instant t at which an event enters or leaves.
 
     State: the key's clock, and its events in reach, packed by pane of time, so that a batch appends to
-    the panes it touches and removes those that no later window can contain. A batch gives the
+    the panes it touches and removes those that no later window can contain; what a long batch has left
+    behind at its end is not stored at all. A batch gives the
     evaluations it changes: those from its first event, or from where the clock stood, up to where the
     clock stands now, without those whose values stay the same. Windows are swept once, in time order,
     with the running extremes that pandas keeps for windows of time.
@@ -96,10 +97,12 @@ class SlidingWindows(StatefulProcessor):
         until = max(seen, int(at.max()))
         known = self._kept()
         yield self._changed(key[0], known, fresh, seen, min(int(at.min()), seen + 1), until)
-        self._keep(fresh, at // self.pane)
+        reach = until - self.tolerance - self.size
+        self._forget(reach)
+        later = ~self._left(at // self.pane, reach)
+        self._keep(fresh[later], at[later] // self.pane)
         if until > seen:
             self.clock.update((until,))
-        self._forget(until - self.tolerance - self.size)
 
     def close(self) -> None:
         pass
@@ -109,15 +112,20 @@ class SlidingWindows(StatefulProcessor):
         return np.concatenate([np.empty((0, 1 + len(VALUES))), *packed])
 
     def _keep(self, fresh: np.ndarray, panes: np.ndarray) -> None:
-        for pane in np.unique(panes).tolist():
-            rows = fresh[panes == pane].tobytes()
+        order = np.argsort(panes, kind="stable")
+        each, begins = np.unique(panes[order], return_index=True)
+        for pane, some in zip(each.tolist(), np.split(fresh[order], begins[1:])):
+            rows = some.tobytes()
             known = self.panes.getValue((pane,)) if self.panes.containsKey((pane,)) else None
             self.panes.updateValue((pane,), ((bytes(known[0]) if known else b"") + rows,))
 
+    def _left(self, panes, reach: int):
+        """Whether all of a pane is at or before ``reach``, and so in no later window."""
+        return (panes + 1) * self.pane <= reach + 1
+
     def _forget(self, reach: int) -> None:
-        """Events at or before ``reach`` are in no later window."""
         for (pane,) in list(self.panes.keys()):
-            if (pane + 1) * self.pane <= reach + 1:
+            if self._left(pane, reach):
                 self.panes.removeKey((pane,))
 
     def _swept(self, events: np.ndarray, begin: int, until: int) -> pd.DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 from instants import at
 from pyspark.sql import functions as F
 
@@ -151,3 +152,39 @@ def test_an_incomplete_batch_is_not_read(spark, folder):
     changes.append_changes(make([("a", 1)]), path, 0)
     make([("b", 1)]).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/changes/batch=1")
     assert changes.batches(spark, path) == [0]
+
+
+def test_only_what_stays_in_reach_is_stored():
+    """A long batch of a key costs its state as many writes as panes stay in reach, not as it spans."""
+    minute = 60_000_000
+    panes, writes = {}, []
+
+    class Panes:
+        values = lambda self: panes.values()
+        keys = lambda self: iter(list(panes))
+        containsKey = lambda self, key: key in panes
+        getValue = lambda self, key: panes[key]
+        removeKey = lambda self, key: panes.pop(key)
+
+        def updateValue(self, key, value):
+            writes.append(key)
+            panes[key] = value
+
+    class Clock:
+        at = None
+        exists = lambda self: self.at is not None
+        get = lambda self: self.at
+
+        def update(self, value):
+            self.at = value
+
+    processor = stateful.SlidingWindows(15 * minute, minute // 2, minute)
+    processor.panes, processor.clock = Panes(), Clock()
+    for begin in (0, 2000 * minute):
+        times = np.arange(begin, begin + 1000 * minute, minute // 2)
+        rows = pd.DataFrame({"at_us": times, "arrived_us": times, "temp": 1.0, "aqi": 1.0, "pm2_5": 1.0})
+        list(processor.handleInputRows(("a",), iter([rows]), None))
+        reach = int(times[-1]) - minute // 2 - 15 * minute
+        assert sorted(k for k, in panes) == list(range((reach + 1) // minute, int(times[-1]) // minute + 1))
+        assert sum(len(v[0]) for v in panes.values()) == 4 * 8 * 2 * len(panes)
+    assert len(writes) == 2 * len(panes)
