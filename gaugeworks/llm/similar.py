@@ -26,6 +26,8 @@ SHORT_LIST = 32
 PIVOT_TOKENS = 500_000
 #: Columns of the incidence matrix that are multiplied at once.
 COLUMNS = 4096
+#: Places of a set's sketch.
+SKETCH = 512
 
 
 class Rule:
@@ -49,6 +51,10 @@ class Rule:
     def prefix(self, n):
         return n - self.least(n) + 1
 
+    def index_prefix(self, n):
+        """Length of the prefix in which a set of n meets any set it links with that is not smaller."""
+        return n - self.overlap(n, n) + 1
+
     def links(self, both, n, m):
         return self.den * both >= self.num * (n + m - both)
 
@@ -216,43 +222,80 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def sketch_of(tokens: np.ndarray) -> np.ndarray:
+    """For each of ``SKETCH`` places, whether an odd number of tokens falls there, as 64-bit numbers."""
+    odd = np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view("<i8")
+
+
 def lists(sets: DataFrame, rule: Rule, light: int) -> DataFrame:
-    """(key, id, n, v, pos): the lists by which sets that may link meet. ``pos`` counts the tokens ahead.
+    """(id, n, v, sketch, lists): a row per set, with the lists (key, pos, own) by which sets that may link meet.
+    ``pos`` counts the tokens ahead.
 
     Light sets, of up to ``light`` tokens, meet by a common subset: itself and all that lack one token.
     Heavy sets meet in the inverted lists of the tokens of their prefix, the smallest hashes; light
     sets that are large enough to link with a heavy one are in those lists as well. A key belongs to
-    a pair of neighbouring size classes, so a list holds sets of similar size only.
+    a size class, and holds sets of that class (``own``) and of the one below it, so a list holds sets of similar
+    size only. Two sets of the class below meet in its own lists as well; and being smaller than any
+    set of the class, they need the shorter prefix only that sets no larger than their partner need.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, who, ahead = [], [], []
-            for i, value in enumerate(batch.column("tokens")):
+            keys, ahead, own, sketches, ends = [], [], [], [], [0]
+            for value in batch.column("tokens"):
                 tokens = np.frombuffer(value.as_buffer(), dtype="<u8")
                 n = len(tokens)
+                sketches.append(sketch_of(tokens))
+                total = ends[-1]
                 if n <= light:
-                    total = tokens.sum(dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                    subset = np.append(total - tokens * np.uint64(0x9E3779B97F4A7C15), total)
+                    whole = tokens.sum(dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    subset = np.append(whole - tokens * np.uint64(0x9E3779B97F4A7C15), whole)
                     keys.append(subset ^ np.uint64(0x5555555555555555))
                     ahead.append(np.zeros(len(subset), dtype=np.int64))
+                    own.append(np.ones(len(subset), dtype=bool))
+                    total += len(subset)
                 if n >= rule.least(light + 1):
                     level = int(np.floor(np.log(n) / np.log(rule.den / rule.num) + 1e-9))
-                    for near in (level, level + 1):
-                        keys.append(tokens[: rule.prefix(n)] + np.uint64(near * 0x2545F4914F6CDD1D % 2**64))
-                        ahead.append(np.arange(len(keys[-1])))
-                who += [i] * (sum(map(len, keys)) - len(who))
-            rows = batch.select(["id", "n", "v"]).take(pa.array(who, pa.int64()))
-            key = np.concatenate([np.empty(0, dtype=np.uint64), *keys]).view(np.int64)
-            pos = np.concatenate([np.empty(0, dtype=np.int64), *ahead])
+                    for near, length in ((level, rule.prefix(n)), (level + 1, rule.index_prefix(n))):
+                        keys.append(tokens[:length] + np.uint64(near * 0x2545F4914F6CDD1D % 2**64))
+                        ahead.append(np.arange(length))
+                        own.append(np.full(length, near == level))
+                        total += length
+                ends.append(total)
+            entries = pa.StructArray.from_arrays(
+                [
+                    pa.array(np.concatenate([np.empty(0, dtype=np.uint64), *keys]).view(np.int64)),
+                    pa.array(np.concatenate([np.empty(0, dtype=np.int64), *ahead])),
+                    pa.array(np.concatenate([np.empty(0, dtype=bool), *own])),
+                ],
+                ["key", "pos", "own"],
+            )
+            words = np.concatenate([np.empty(0, dtype=np.int64), *sketches])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), *rows.columns, pa.array(pos, pa.int64())], ["key", "id", "n", "v", "pos"]
+                [
+                    *batch.select(["id", "n", "v"]).columns,
+                    pa.ListArray.from_arrays(np.arange(0, len(words) + 1, SKETCH // 64, dtype=np.int32), pa.array(words)),
+                    pa.ListArray.from_arrays(np.array(ends, dtype=np.int32), entries),
+                ],
+                ["id", "n", "v", "sketch", "lists"],
             )
 
-    found = sets.select("id", "n", "v", "tokens").mapInArrow(run, "key long, id binary, n long, v long, pos long")
-    # A list of one meets nobody. Counting combines ahead of the shuffle, so no list is gathered.
-    alone = found.groupBy("key").agg(F.count("*").alias("length")).where("length > 1")
-    return stored(found.join(alone, "key"), "similar-lists")
+    return sets.select("id", "n", "v", "tokens").mapInArrow(
+        run,
+        "id long, n long, v long, sketch array<long>, lists array<struct<key: long, pos: long, own: boolean>>",
+    )
+
+
+def entries(found: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """(id, n, v, key, pos, own): the lists of all sets, entry by entry; with labels also the component of the set.
+
+    Labels are joined with sets, which are far fewer than their entries.
+    """
+    if labels is None:
+        return found.select("id", "n", "v", F.inline("lists"))
+    named = found.select("id", "n", "v", "lists").join(labels, "id", "left")
+    return named.select("id", "n", "v", F.coalesce("component", "id").alias("component"), F.inline("lists"))
 
 
 def possible(rule: Rule, left: str = "", right: str = "_2") -> Column:
@@ -264,16 +307,30 @@ def possible(rule: Rule, left: str = "", right: str = "_2") -> Column:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def near(pairs: DataFrame, found: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs (a, b, n) without those whose sketches tell that they do not link. Nothing that links is lost.
+
+    Each token that only one of two sets has changes one place of a sketch, so sketches differ in no
+    more places than sets in tokens; linked sets differ in n + m - 2 * overlap at most.
+    """
+    sketches = found.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
+    others = found.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y"))
+    differ = "aggregate(zip_with(x, y, (p, q) -> bit_count(p ^ q)), 0, (s, k) -> s + k)"
+    most = f"n + m - 2 * (({rule.num} * (n + m) + {rule.num + rule.den - 1}) div {rule.num + rule.den})"
+    return pairs.join(sketches, "a").join(others, "b").where(f"{differ} <= {most}").select("a", "b", "n")
+
+
+def verified(pairs: DataFrame, found: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Those of the pairs (a, b) whose sets link; ``n`` is the size of a's. The set of ``b`` is sent to the
-    sets of its ``a``s.
+    sets of its ``a``s, for pairs that the sketches in ``found`` leave.
 
     The members of a popular ``b`` are dealt out by their counted tokens, ``PIVOT_TOKENS`` a group, and each
     group gets b's set once.
     """
+    pairs = stored(near(pairs, found, rule), "pairs")
     groups_of = pairs.groupBy("b").agg(F.ceil(F.sum("n") / PIVOT_TOKENS).alias("salts"))
     salt = F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")
-    dealt_out = stored(pairs.join(groups_of, "b").select("a", "b", salt.alias("salt")), "pairs")
+    dealt_out = pairs.join(groups_of, "b").select("a", "b", salt.alias("salt"))
     left = dealt_out.join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
     right = (
         dealt_out.select(F.col("b").alias("pivot"), F.col("salt").alias("deal"))
@@ -293,15 +350,16 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             keep.append(rule.links(both, len(mine), len(other)))
         return x.loc[keep, ["a", "b"]]
 
-    return left.groupBy("b", "salt").cogroup(right.groupBy("pivot", "deal")).applyInPandas(compare, "a binary, b binary")
+    return left.groupBy("b", "salt").cogroup(right.groupBy("pivot", "deal")).applyInPandas(compare, "a long, b long")
 
 
-def block_links(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def block_links(members: DataFrame, found: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Links between sets of one list that are not in one component yet, found block by block.
 
-    ``members`` has key, id, n, v, component and ``rest``: false for the list's largest component, whose
+    ``members`` has key, id, n, v, pos, own, component and ``rest``: false for the list's largest component, whose
     sets need not be compared with each other. Blocks hold up to about ``BLOCK`` sets, and each task
-    compares two of them, so no task grows with the length of the list.
+    compares two of them, so no task grows with the length of the list. Two blocks are compared by the
+    sketches in ``found`` first; tokens are fetched for the sets only that this leaves with a partner.
     """
     sizes = members.groupBy("key").agg(
         F.ceil(F.sum(F.col("rest").cast("int")) / BLOCK).cast("int").alias("rests"),
@@ -322,22 +380,42 @@ def block_links(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         "component",
         "n",
         "v",
+        "pos",
+        "own",
     )
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"a": [], "b": []}, dtype=object)
-        if len(pdf) < 2 or pdf["component"].nunique() < 2:
-            return none
-        pdf = pdf.sort_values("id")
-        n, v = pdf["n"].to_numpy(), pdf["v"].to_numpy()
+    def may_link(pdf: pd.DataFrame) -> np.ndarray:
+        n, v, pos, own = (pdf[c].to_numpy() for c in ("n", "v", "pos", "own"))
         group, block = pd.factorize(pdf["component"])[0], pdf["block"].to_numpy()
         may = (
             (rule.num * np.maximum.outer(n, n) <= rule.den * np.minimum.outer(n, n))
             & (rule.num * np.add.outer(n, n) <= (rule.num + rule.den) * np.minimum.outer(v, v))
             & np.not_equal.outer(group, group)
+            # Where two sets first meet, what stands ahead in either is not in common; later meetings may go.
+            & (rule.num * np.add.outer(n, n) <= (rule.num + rule.den) * np.minimum.outer(n - pos, n - pos))
+            & np.logical_or.outer(own, own)
         )
         if block.min() != block.max():
             may &= np.not_equal.outer(block, block)
+        a, b = np.nonzero(np.triu(may))
+        if len(a):
+            words = np.stack(pdf["sketch"].to_list()).view(np.uint64)
+            differ = sum(np.bitwise_count(words[a, k] ^ words[b, k]).astype(np.int64) for k in range(words.shape[1]))
+            gone = differ > n[a] + n[b] - 2 * rule.overlap(n[a], n[b])
+            may[a[gone], b[gone]] = may[b[gone], a[gone]] = False
+        return may
+
+    def meeting(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) < 2 or pdf["component"].nunique() < 2:
+            return pdf.iloc[:0]
+        return pdf[may_link(pdf).any(1)]
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+        if len(pdf) < 2:
+            return none
+        pdf = pdf.sort_values("id")
+        n, may = pdf["n"].to_numpy(), may_link(pdf)
         if not may.any():
             return none
         keep = np.flatnonzero(may.any(1))
@@ -358,21 +436,23 @@ def block_links(members: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         linked = may & rule.links(both.astype(np.int64), m[:, None], m[None, :])
         a, b = np.nonzero(np.triu(linked))
         ids = pdf["id"].to_numpy()[keep]
-        return pd.DataFrame(spanning(ids[a], ids[b]), columns=["a", "b"], dtype=object)
+        return pd.DataFrame(spanning(ids[a], ids[b]), columns=["a", "b"], dtype=np.int64)
 
+    sketched = copies.join(found.select("id", "sketch"), "id")
+    met = stored(sketched.groupBy("key", "i", "j").applyInPandas(meeting, sketched.schema), "meeting")
     return (
-        copies.join(sets.select("id", "tokens"), "id")
+        met.join(sets.select("id", "tokens"), "id")
         .groupBy("key", "i", "j")
-        .applyInPandas(compare, "a binary, b binary")
+        .applyInPandas(compare, "a long, b long")
         .distinct()
     )
 
 
-def spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[bytes, bytes]]:
+def spanning(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """As many of the edges as connect what all of them connect."""
-    root: dict[bytes, bytes] = {}
+    root: dict[int, int] = {}
 
-    def top(x: bytes) -> bytes:
+    def top(x: int) -> int:
         while root.setdefault(x, x) != x:
             root[x] = root[root[x]]
             x = root[x]
@@ -412,39 +492,62 @@ def one_apart(rule: Rule) -> int:
 
 def linked(sets: DataFrame, rule: Rule, rounds: int = 2) -> DataFrame:
     """Links (a, b) between the given sets that connect whatever all their links connect."""
-    bound = one_apart(rule)
-    found = lists(sets, rule, 0)
-    small = found.where(F.col("n") <= bound).groupBy("n")
-    sizes = small.agg(F.count_distinct("id"), F.sum("length")).collect()  # a row per size up to the bound
-    if light := light_bound([(n, sets_, met // 2) for n, sets_, met in sizes], rule):
-        found = lists(sets, rule, light)
-    edges = None
+    found = stored(lists(sets, rule, light_size(sets, rule)), "similar-lists")
+    members, edges = entries(found), None
     for turn in range(rounds):
-        pairs = star(found if edges is None else still_open(found, components(edges)), rule, turn)
-        new = stored(verified(pairs, sets, rule), "links")
+        if turn:
+            labels = components(edges)
+            members = still_open(entries(found, labels) if turn == 1 else renamed(members, labels))
+        new = stored(verified(star(members, rule, turn), found, sets, rule), "links")
         edges = new if edges is None else edges.unionByName(new)
-    rest = stored(remaining(still_open(found, components(edges)), rule), "remaining")
+    labels = components(edges)
+    members = still_open(renamed(members, labels) if rounds > 1 else entries(found, labels))
+    rest = stored(remaining(members, rule), "remaining")
     short = rest.where(F.col("length") <= SHORT_LIST)
-    other = short.select("key", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "v", "pos", "component")])
+    other = short.select("key", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "v", "pos", "own", "component")])
     # Where two sets first meet, what stands ahead in either is not in common; later meetings may go.
     first = F.expr(f"{rule.num} * (n + n_2) <= {rule.num + rule.den} * least(n - pos, n_2 - pos_2)")
     pairs = (
         short.join(other, "key")
-        .where("id < id_2 AND component != component_2")
+        .where("id < id_2 AND component != component_2 AND (own OR own_2)")
         .where(possible(rule) & first)
         .select(F.col("id").alias("a"), F.col("id_2").alias("b"), "n")
         .distinct()
     )
     long = rest.where(F.col("length") > SHORT_LIST)
-    last = verified(pairs, sets, rule).unionByName(block_links(long, sets, rule))
+    last = verified(pairs, found, sets, rule).unionByName(block_links(long, found, sets, rule))
     return edges.unionByName(stored(last, "links"))
 
 
-def still_open(found: DataFrame, labels: DataFrame) -> DataFrame:
-    """The lists that hold several components, with the component of each set."""
-    named = found.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    several = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-    return named.join(several.select("key"), "key")
+def light_size(sets: DataFrame, rule: Rule) -> int:
+    """The bound of light sets for these sets, by counts of the lists that sets of few tokens are in."""
+    bound = one_apart(rule)
+    # No set in one list with a set up to the bound is larger than two size classes further.
+    reach = bound * rule.den**2 // rule.num**2 + 2
+    small = entries(lists(sets.where(F.col("n") <= reach), rule, 0))
+    length = small.groupBy("key").agg(F.count("*").alias("length"), F.bool_or("own").alias("any"))
+    met = small.where(F.col("n") <= bound).join(length.where("length > 1 AND any"), "key")
+    sizes = met.groupBy("n").agg(F.count_distinct("id"), F.sum("length")).collect()  # a row per size up to the bound
+    return light_bound([tuple(r) for r in sizes], rule)
+
+
+def renamed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The entries with new components."""
+    named = members.drop("component").join(labels, "id", "left")
+    return named.withColumn("component", F.coalesce("component", "id"))
+
+
+def still_open(named: DataFrame) -> DataFrame:
+    """The entries of lists that hold several components, of entries with components; written, as they are read several times.
+
+    A list without a set of its own size class goes as well: its sets meet in another.
+    """
+    several = (
+        named.groupBy("key")
+        .agg(F.min("component").alias("x"), F.max("component").alias("y"), F.bool_or("own").alias("any"))
+        .where("x != y AND any")
+    )
+    return stored(named.join(several.select("key"), "key"), "open")
 
 
 def star(members: DataFrame, rule: Rule, turn: int) -> DataFrame:
@@ -459,7 +562,9 @@ def star(members: DataFrame, rule: Rule, turn: int) -> DataFrame:
         outside = members.join(centre, "key").where("component != centre")
     else:
         outside = members
-    pivots = outside.groupBy("key").agg(F.min(own).alias("p"))
+    pivots = outside.groupBy("key").agg(F.min(own).alias("p"), F.bool_or("own").alias("any"))
+    if not turn:
+        pivots = pivots.where("any")  # else its sets meet in another list
     pivots = pivots.select("key", F.col("p.id").alias("b"), F.col("p.n").alias("n_2"), F.col("p.v").alias("v_2"))
     met = members.join(pivots, "key").where("id != b").where(possible(rule))
     met = met.groupBy(F.col("id").alias("a"), "n", "b").agg(F.count("*").alias("k"))
@@ -474,7 +579,7 @@ def remaining(members: DataFrame, rule: Rule) -> DataFrame:
     """
     span = members.groupBy("key").agg(F.min("n").alias("n_2"), F.max("v").alias("v_2"))
     fit = F.expr(f"{rule.num} * (n + n_2) <= {rule.num + rule.den} * least(v, v_2)")
-    able = members.drop("length").join(span, "key").where(fit).drop("n_2", "v_2")
+    able = members.join(span, "key").where(fit).drop("n_2", "v_2")
     parts = able.groupBy("key", "component").agg(F.count("*").alias("size"))
     main = (
         parts.groupBy("key")
@@ -543,16 +648,19 @@ def named_sets(docs: DataFrame, width: int, threshold: str) -> DataFrame:
     # Rows are chosen, one of each class, before their sets are fetched.
     chosen = (
         second.where(f"common * {rule.den} >= n * {rule.num}")
-        .groupBy(F.col("class").alias("id"))
+        .groupBy("class")
         .agg(F.min(F.struct("part", "row", "n", "common")).alias("_r"))
-        .select("id", "_r.part", "_r.row", "_r.n", F.col("_r.common").alias("v"))
+        .select("class", "_r.part", "_r.row", "_r.n", F.col("_r.common").alias("v"))
     )
+    # A set is named by its part and row in one number, half as long as its class; a part holds fewer than 2^22 rows.
+    name = F.expr("shiftleft(part, 22) + row AS id")
     sets = stored(
-        wide.join(chosen, ["part", "row"]).select("id", "n", "v", F.col("set").alias("tokens")), "similar-sets"
+        wide.join(chosen, ["part", "row"]).select(name, "class", "n", "v", F.col("set").alias("tokens")), "similar-sets"
     )
-    labels = components(linked(sets, rule)).withColumnRenamed("id", "class")
+    labels = sets.select("id", "class").join(components(linked(sets, rule)), "id").select("class", "component")
+    # Bytes of a number are up to 8, those of a class 16.
     return first.join(labels, "class", "left").select(
-        "doc_id", "h", "n", F.coalesce("component", "class").alias("component")
+        "doc_id", "h", "n", F.coalesce(F.unhex(F.hex("component")), "class").alias("component")
     )
 
 

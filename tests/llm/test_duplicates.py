@@ -1,8 +1,11 @@
 """Operators 2, 8 and 10 against brute force."""
 
 import hashlib
+import itertools
 from collections import Counter, defaultdict
+from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from gaugeworks.llm import lines, similar, suffixes
@@ -120,6 +123,62 @@ def test_hot_lists_are_compared_by_blocks(spark, prose, monkeypatch):
     assert got == {i: min(j for j, u in enumerate(top) if u == t) for i, t in enumerate(top)}
 
 
+@pytest.mark.parametrize("threshold", ["9/10", "4/5"])
+def test_linked_sets_meet_in_lists(spark, threshold):
+    """Every linked pair shares a list, first within reach, and has sketches close enough; a set has fewer entries
+    than two whole prefixes."""
+    rule, rng = similar.Rule(Fraction(threshold)), np.random.default_rng(3)
+    rows = []
+    for n in (1, 2, 5, 9, 10, 18, 19, 20, 21, 40, 60, 61, 90, 400):
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for gone, more in ((0, 0), (0, 1), (1, 0), (1, 1), (2, 2), (n // 20, 0), (n // 20, n // 20), (n // 9, 0), (0, n // 9)):
+            tokens = np.unique(np.append(rng.permutation(base)[: n - gone], rng.integers(0, 2**63, more, dtype=np.uint64)))
+            rows.append((len(rows), len(tokens), len(tokens), bytearray(tokens.tobytes())))
+    sets = spark.createDataFrame([r for r in rows if r[1]], "id long, n long, v long, tokens binary")
+    token_sets = {i: set(np.frombuffer(bytes(x), dtype="<u8").tolist()) for i, n, _, x in rows if n}
+    for light in (0, similar.one_apart(rule)):
+        found = {r.id: r for r in similar.lists(sets, rule, light).collect()}
+        if not light:
+            assert all(len(r.lists) == rule.prefix(r.n) + rule.index_prefix(r.n) for r in found.values())
+            assert sum(len(r.lists) for r in found.values()) < 0.85 * sum(2 * rule.prefix(r.n) for r in found.values())
+        linked = 0
+        for i, j in itertools.combinations(token_sets, 2):
+            x, y = token_sets[i], token_sets[j]
+            if not rule.links(len(x & y), len(x), len(y)):
+                continue
+            linked += 1
+            mine, other = ({e.key: e for e in found[k].lists} for k in (i, j))
+            assert any(
+                (mine[k].own or other[k].own)
+                and rule.num * (len(x) + len(y)) <= (rule.num + rule.den) * min(len(x) - mine[k].pos, len(y) - other[k].pos)
+                for k in mine.keys() & other.keys()
+            )
+            differ = sum(((p ^ q) % 2**64).bit_count() for p, q in zip(found[i].sketch, found[j].sketch, strict=True))
+            assert differ <= len(x) + len(y) - 2 * rule.overlap(len(x), len(y))
+        assert linked > 100
+
+
+def test_tokens_of_unlike_sets_are_not_fetched(spark, prose, monkeypatch):
+    """Texts of two passages, each of which is in many: they meet in long lists, but none links."""
+    monkeypatch.setattr(similar, "SHORT_LIST", 4)
+    monkeypatch.setattr(similar, "BLOCK", 5)
+    kept = {}
+
+    def stored(df, name, *by, write=similar.stored):
+        kept.setdefault(name, []).append(out := write(df, name, *by))
+        return out
+
+    monkeypatch.setattr(similar, "stored", stored)
+    passages = [prose(100, 700 + i) for i in range(9)]
+    rows = [(k, f"{x} {y}") for k, (x, y) in enumerate(itertools.combinations(passages, 2))]
+    got = dict(similar.groups(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id").collect())
+    assert got == {k: k for k, _ in rows}
+    assert kept["similar-sets"][0].count() == len(rows)
+    assert kept["remaining"][0].where("length > 4").count() > 100
+    assert kept["meeting"][0].count() == 0
+    assert all(pairs.count() == 0 for pairs in kept["pairs"])
+
+
 def test_chains_are_one_component(spark):
     edges = spark.createDataFrame([(bytes([i]), bytes([i + 1])) for i in range(40)], "a binary, b binary")
     assert {bytes(r.component) for r in similar.components(edges).collect()} == {b"\0"}
